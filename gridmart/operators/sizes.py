@@ -1,0 +1,16 @@
+"""Broadcasting behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 10_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast when it has at most ``rows`` rows, otherwise unchanged.
+
+    Unchanged, the join is planned as a shuffle, which adaptive execution keeps free of skew.
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
