@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmart.fixed_values import (
     CLIMATE_FILE_PREFIX,
-    CLIMATE_STATES,
     DEFAULT_MIN_YEAR,
     NATIONAL_STATE,
     RAW_FOLDER,
@@ -23,7 +22,7 @@ from gridmart.functions.dates import month_start
 from gridmart.functions.labels import sheet_status
 from gridmart.functions.numbers import to_number, to_whole
 from gridmart.functions.text import strip
-from gridmart.operators.checks import duplicates, first_rows, unexpected
+from gridmart.operators.checks import duplicates, first_rows
 from gridmart.operators.merge import merge_metrics
 from gridmart.schemas import CLIMATE_METRICS, GRAIN, RETAIL_METRICS, SHEET_ROWS, STAGING
 from gridmart.session import spill
@@ -62,14 +61,18 @@ def climate_months(values: DataFrame) -> DataFrame:
 def climate_frame(
     lines: Mapping[str, DataFrame], *, min_year: int = DEFAULT_MIN_YEAR
 ) -> DataFrame:
-    """Text lines per metric to checked climate rows; broken input raises ``ValueError``."""
-    watch = Observation("climate lines")
-    checked = climate_lines(lines, min_year=min_year)
-    observed = checked.observe(watch, F.count_if(F.col("problem").isNotNull()).alias("problems"))
-    frame = spill(climate_months(monthly_values(observed)), "climate")
-    if watch.get["problems"]:
-        found = checked.where(F.col("problem").isNotNull()).select("metric", "line", "problem")
-        raise ValueError(f"Broken climate lines: {first_rows(found)}")
+    """Text lines per metric to checked climate rows; broken input raises ``ValueError``.
+
+    The text is read once. Of the written lines the check reads one column, and skips the parts
+    without a problem by their statistics.
+    """
+    lines_read = climate_lines(lines, min_year=min_year).where("kept or problem is not null")
+    text = F.when(F.col("problem").isNotNull(), F.col("line"))
+    checked = spill(lines_read.withColumn("line", text), "climate-lines")
+    broken = checked.where("problem is not null").select("metric", "line", "problem")
+    if not broken.isEmpty():
+        raise ValueError(f"Broken climate lines: {first_rows(broken)}")
+    frame = spill(climate_months(monthly_values(checked)), "climate")
     repeated = frame.where("copies > 1")
     if not repeated.isEmpty():
         raise ValueError(f"Duplicate climate rows: {first_rows(repeated.select(*GRAIN['climate']))}")
@@ -153,6 +156,8 @@ def generation_frame(sheet_rows: DataFrame, *, min_year: int = DEFAULT_MIN_YEAR)
     problems = sheet_problems(sheet_rows, headers)
     if not problems.isEmpty():
         raise ValueError(f"Unreadable generation sheets: {first_rows(problems)}")
+    if headers.isEmpty():
+        raise ValueError("No generation data found")
     frame = spill(generation_rows(sheet_rows, headers, min_year=min_year), "generation")
     check_rows(frame, "generation")
     return frame
@@ -160,25 +165,39 @@ def generation_frame(sheet_rows: DataFrame, *, min_year: int = DEFAULT_MIN_YEAR)
 
 # --- checks -----------------------------------------------------------------
 
+ALLOWED_MEMBERS = {"retail": {"sector": SECTORS}}
+
 
 def check_rows(frame: DataFrame, dataset: str) -> None:
-    """Raise ``ValueError`` on a repeated grain, a month outside 1-12 or an unknown member."""
-    repeated = duplicates(frame, GRAIN[dataset])
-    if not repeated.isEmpty():
-        raise ValueError(f"Duplicate {dataset} rows: {first_rows(repeated)}")
-    if not frame.where(~F.col("month").between(1, 12)).isEmpty():
-        raise ValueError(f"Month outside 1-12 in {dataset}")
-    for column, names in ALLOWED_MEMBERS.get(dataset, {}).items():
-        allowed = frame.sparkSession.createDataFrame([(name,) for name in names], f"{column} string")
-        unknown = unexpected(frame, column, allowed)
-        if not unknown.isEmpty():
-            raise ValueError(f"Unexpected {column} in {dataset}: {first_rows(unknown)}")
-
-
-ALLOWED_MEMBERS = {
-    "climate": {"state_code": tuple(abbreviation for _, abbreviation, _ in CLIMATE_STATES)},
-    "retail": {"sector": SECTORS},
-}
+    """Raise ``ValueError`` on a repeated grain, a month outside 1-12 or an unknown member.
+
+    All rules look at columns of the grain, so one pass with one shuffle answers them; rows are
+    looked up only for the message of a rule that is broken.
+    """
+    grain = GRAIN[dataset]
+    bad_month = ~F.col("month").between(1, 12)
+    unknown = {
+        column: ~F.col(column).isin(*names)
+        for column, names in ALLOWED_MEMBERS.get(dataset, {}).items()
+    }
+    found = (
+        frame.groupBy(*grain)
+        .agg(F.count(F.lit(1)).alias("copies"))
+        .agg(
+            F.count_if(F.col("copies") > 1).alias("repeated"),
+            F.count_if(bad_month).alias("bad_month"),
+            *[F.count_if(rows).alias(f"unknown_{column}") for column, rows in unknown.items()],
+        )
+        .first()
+    )
+    if found.repeated:
+        raise ValueError(f"Duplicate {dataset} rows: {first_rows(duplicates(frame, grain))}")
+    if found.bad_month:
+        raise ValueError(f"Month outside 1-12 in {dataset}: {first_rows(frame.where(bad_month))}")
+    for column, rows in unknown.items():
+        if found[f"unknown_{column}"]:
+            members = frame.where(rows).select(column).distinct()
+            raise ValueError(f"Unexpected {column} in {dataset}: {first_rows(members)}")
 
 
 # --- jobs -------------------------------------------------------------------

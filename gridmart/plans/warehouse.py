@@ -46,12 +46,17 @@ class Warehouse:
         return f"{self.root}/{area}/{name}"
 
     def create(self) -> None:
-        for name, schema in STAGING.items():
-            create_table(self.spark, self.path("stg", name), schema, by=("period",))
-        for name, schema in DIMENSIONS.items():
-            create_table(self.spark, self.path("dw", name), schema)
-        for name, schema in FACTS.items():
-            create_table(self.spark, self.path("dw", f"fact_{name}"), schema, by=("date_key",))
+        """Create the tables that do not exist yet."""
+        tables = [
+            *[(self.path("stg", name), schema, ("period",)) for name, schema in STAGING.items()],
+            *[(self.path("dw", name), schema, ()) for name, schema in DIMENSIONS.items()],
+            *[
+                (self.path("dw", f"fact_{name}"), schema, ("date_key",))
+                for name, schema in FACTS.items()
+            ],
+        ]
+        with ThreadPoolExecutor(len(tables)) as pool:
+            list(pool.map(lambda table: create_table(self.spark, *table), tables))
 
     def staging(self, dataset: str) -> DataFrame:
         return read_table(self.spark, self.path("stg", dataset), STAGING[dataset])

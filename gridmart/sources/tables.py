@@ -36,7 +36,7 @@ def create_table(
     spark: SparkSession, path: str, schema: T.StructType, by: Sequence[str] = ()
 ) -> None:
     """An empty table at ``path``, unless there is one."""
-    writer = spark.createDataFrame([], schema).write.mode("ignore")
+    writer = spark.createDataFrame([], schema).coalesce(1).write.mode("ignore")
     (writer.partitionBy(*by) if by else writer).parquet(path)
 
 
