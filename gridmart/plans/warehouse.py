@@ -15,6 +15,7 @@ from gridmart.functions.labels import state_label
 from gridmart.operators.gate import validate_staging
 from gridmart.operators.keys import number_rows
 from gridmart.schemas import DATASETS, DIMENSIONS, FACT_GRAIN, FACTS, STAGING
+from gridmart.session import spill
 from gridmart.sources.tables import create_table, read_table, write_partitioned
 
 
@@ -122,15 +123,17 @@ def new_members(members: DataFrame, existing: DataFrame, natural: str) -> DataFr
     return members.join(existing.select(natural), natural, "left_anti")
 
 
-def keyed_members(
-    members: DataFrame, existing: DataFrame, natural: str, key: str
-) -> DataFrame:
+def keyed_members(members: DataFrame, existing: DataFrame, natural: str, key: str) -> DataFrame:
     """The members not in ``existing`` yet, numbered on from its highest key.
 
     The first load numbers members in the order of their names; later ones leave old keys alone.
+    The new members are written down first, so staging is read once and not for every step.
     """
+    new = spill(new_members(members, existing, natural), f"new-{natural}")
+    if new.isEmpty():
+        return new.withColumn(key, F.lit(None).cast("int"))
     highest = existing.agg(F.coalesce(F.max(key), F.lit(0))).first()[0]
-    return number_rows(new_members(members, existing, natural), natural, key, highest)
+    return number_rows(new, natural, key, highest)
 
 
 def _append(wh: Warehouse, name: str, rows: DataFrame) -> None:
@@ -141,8 +144,9 @@ def _append(wh: Warehouse, name: str, rows: DataFrame) -> None:
 
 
 def load_dates(wh: Warehouse, frames: list[DataFrame]) -> None:
-    new = new_members(date_members(frames), wh.dimension("dim_date"), "date_key")
-    _append(wh, "dim_date", new)
+    _append(
+        wh, "dim_date", new_members(date_members(frames), wh.dimension("dim_date"), "date_key")
+    )
 
 
 def load_dimensions(wh: Warehouse) -> None:
@@ -229,9 +233,11 @@ def fact_delta(staged: DataFrame, star: Star, dataset: str) -> DataFrame:
     )
 
 
-def load_fact(wh: Warehouse, dataset: str) -> None:
+def load_fact(wh: Warehouse, dataset: str, *, add_dates: bool = True) -> None:
+    """Append the new rows of a dataset, after its new months unless those are there for sure."""
     staged = wh.staging(dataset)
-    load_dates(wh, [staged])
+    if add_dates:
+        load_dates(wh, [staged])
     write_partitioned(
         fact_delta(staged, wh.star(), dataset),
         wh.path("dw", f"fact_{dataset}"),
@@ -242,9 +248,14 @@ def load_fact(wh: Warehouse, dataset: str) -> None:
 
 
 def load_facts(wh: Warehouse) -> None:
-    """Load all facts. With the dimensions in place they do not depend on each other."""
+    """Load all facts after the dimensions. They do not depend on each other."""
     with ThreadPoolExecutor(len(FACTS)) as pool:
-        list(pool.map(lambda dataset: load_fact(wh, dataset), ("retail", "generation", "climate")))
+        list(
+            pool.map(
+                lambda dataset: load_fact(wh, dataset, add_dates=False),
+                ("retail", "generation", "climate"),
+            )
+        )
 
 
 def load_warehouse(wh: Warehouse) -> DataFrame:

@@ -50,7 +50,8 @@ def _state(nation: str) -> Column:
 
 
 def _decimal(column: str) -> Column:
-    return F.col(column).cast("decimal(18,2)")
+    # Exact sums do not depend on the order of rows; twelve digits keep products in a machine word.
+    return F.col(column).cast("decimal(12,2)")
 
 
 def _as_staging(rows: DataFrame, dataset: str) -> DataFrame:
