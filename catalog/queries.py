@@ -43,7 +43,7 @@ from gridmart.schemas import (
     RETAIL_METRICS,
     STAGING,
 )
-from gridmart.session import new_scratch
+from gridmart.session import new_scratch, spill
 from gridmart.sources import sheets, tables
 from gridmart.sources.climate_lines import checked_lines, monthly_values, with_state_names
 from gridmart.sources.files import latest_input
@@ -284,7 +284,8 @@ def ingest_line_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sheet_header_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ingest.generation_frame(raw_generation_sheets(spark, sf_dir), min_year=1995)
+    rows = spill(raw_generation_sheets(spark, sf_dir), "workbook")
+    return ingest.generation_frame(rows, min_year=1995)
 
 
 def noaa_state_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -311,7 +312,7 @@ def doubled_sales(rows: DataFrame, months: Column) -> DataFrame:
 
 def curated_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     curated = new_scratch(spark, "curated")
-    tables.write_curated(SAMPLE["retail"](spark, sf_dir), curated, "retail")
+    tables.write_curated(warehouse(spark, sf_dir).staging("retail"), curated, "retail")
     return tables.read_curated(spark, curated, "retail")
 
 

@@ -32,7 +32,12 @@ def reload_dataset(
     if watermark <= newest:
         loaded = read_curated_months(wh.spark, curated, dataset, watermark, newest)
         write_partitioned(
-            loaded, wh.path("stg", dataset), by=("period",), sort=GRAIN[dataset], mode="overwrite"
+            loaded,
+            wh.path("stg", dataset),
+            by=("period",),
+            sort=GRAIN[dataset],
+            mode="overwrite",
+            gather=False,
         )
 
 

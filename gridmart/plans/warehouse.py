@@ -244,6 +244,7 @@ def load_fact(wh: Warehouse, dataset: str, *, add_dates: bool = True) -> None:
         by=("date_key",),
         sort=FACT_GRAIN[dataset],
         mode="append",
+        gather=False,
     )
 
 

@@ -49,9 +49,18 @@ def _state(nation: str) -> Column:
     return F.when(F.col(nation) == DC_NATION, DC_CODE).otherwise(code)
 
 
-def _decimal(column: str) -> Column:
-    # Exact sums do not depend on the order of rows; twelve digits keep products in a machine word.
-    return F.col(column).cast("decimal(12,2)")
+def _cents(column: str) -> Column:
+    """An amount with two decimals as a whole number, so that sums do not depend on the order."""
+    return F.rint(F.col(column) * 100).cast("long")
+
+
+def _wide(whole: Column) -> Column:
+    """A whole number to be summed without overflow, however many rows share a key."""
+    return whole.cast("decimal(18,0)")
+
+
+def _amount(total: Column, decimals: int) -> Column:
+    return (total.cast("decimal(38,4)") / F.lit(10**decimals).cast("decimal(6,0)")).cast("double")
 
 
 def _as_staging(rows: DataFrame, dataset: str) -> DataFrame:
@@ -76,10 +85,8 @@ def retail_staging(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "lineitem")
         .groupBy("l_orderkey")
         .agg(
-            F.sum(
-                _decimal("l_extendedprice") * (1 - F.col("l_discount").cast("decimal(4,2)"))
-            ).alias("revenue"),
-            F.sum(_decimal("l_quantity")).alias("quantity"),
+            F.sum(_wide(_cents("l_extendedprice") * (100 - _cents("l_discount")))).alias("revenue"),
+            F.sum(_cents("l_quantity")).alias("quantity"),
         )
     )
     orders = table(spark, folder, "orders").select(
@@ -109,8 +116,8 @@ def retail_staging(spark: SparkSession, folder: str) -> DataFrame:
         "period", "state_code", "sector",
     ).agg(
         F.grouping("sector").alias("is_total"),
-        (F.sum("revenue").cast("double") / 1000).alias("revenue_thousand_dollars"),
-        F.sum("quantity").cast("double").alias("sales_mwh"),
+        (_amount(F.sum("revenue"), 4) / 1000).alias("revenue_thousand_dollars"),
+        _amount(F.sum("quantity"), 2).alias("sales_mwh"),
         F.sum("customers").cast("double").alias("customer_count"),
     )
     return _as_staging(
@@ -137,7 +144,7 @@ def generation_staging(spark: SparkSession, folder: str) -> DataFrame:
         "l_suppkey",
         month_of(F.col("l_shipdate")).alias("period"),
         F.col("l_returnflag").alias("producer_type"),
-        _decimal("l_quantity").alias("quantity"),
+        _cents("l_quantity").alias("quantity"),
     )
     parts = table(spark, folder, "part").select(
         F.col("p_partkey").alias("l_partkey"),
@@ -165,7 +172,7 @@ def generation_staging(spark: SparkSession, folder: str) -> DataFrame:
     ).agg(
         F.grouping("producer_type").alias("all_producers"),
         F.grouping("energy_source").alias("all_sources"),
-        F.sum("quantity").cast("double").alias("generation_mwh"),
+        _amount(F.sum("quantity"), 2).alias("generation_mwh"),
     )
     return _as_staging(
         with_totals.withColumns(
@@ -188,7 +195,7 @@ def climate_staging(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "orders")
         .groupBy(F.col("o_custkey").alias("c_custkey"), month_of(F.col("o_orderdate")).alias("period"))
         .agg(
-            F.sum(_decimal("o_totalprice")).alias("price"),
+            F.sum(_wide(_cents("o_totalprice"))).alias("price"),
             F.count(F.lit(1)).alias("orders"),
             F.max("o_totalprice").alias("highest"),
             F.min("o_totalprice").alias("lowest"),
@@ -203,7 +210,7 @@ def climate_staging(spark: SparkSession, folder: str) -> DataFrame:
         per_customer.join(customers, "c_custkey")
         .groupBy("period", "n_nationkey")
         .agg(
-            (F.sum("price").cast("double") / F.sum("orders") / 10000).alias("mean_price"),
+            (_amount(F.sum("price"), 2) / F.sum("orders") / 10000).alias("mean_price"),
             F.sum("orders").alias("orders"),
             F.max("highest").alias("heating_degree_days"),
             F.min("lowest").alias("precipitation"),

@@ -14,17 +14,24 @@ from gridmart.schemas import GRAIN, STAGING
 
 
 def write_partitioned(
-    df: DataFrame, path: str, by: Sequence[str], sort: Sequence[str], mode: str
+    df: DataFrame,
+    path: str,
+    by: Sequence[str],
+    sort: Sequence[str],
+    mode: str,
+    *,
+    gather: bool = True,
 ) -> None:
     """Write ``df`` under ``path`` with one folder per value of ``by``.
 
-    The rebalance brings the rows of a folder together, so folders do not fill up with small
-    files, and lets adaptive execution cut a folder that is too large for one task.
-    ``mode="overwrite"`` replaces only the folders that ``df`` has rows for.
+    ``mode="overwrite"`` replaces only the folders that ``df`` has rows for. ``gather`` rebalances
+    the rows, so that folders do not fill up with small files from every task; adaptive execution
+    cuts a folder that is too large for one task. Rows that come from a table with the same folders
+    are together already and need no shuffle.
     """
+    rows = df.hint("rebalance", *[F.col(name) for name in by]) if gather else df
     (
-        df.hint("rebalance", *[F.col(name) for name in by])
-        .sortWithinPartitions(*by, *[name for name in sort if name not in by])
+        rows.sortWithinPartitions(*by, *[name for name in sort if name not in by])
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by)
