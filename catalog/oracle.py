@@ -285,7 +285,7 @@ def _gate(dataset: str, source: str) -> str:
     )
     first = 50001 + _CODES[dataset]
     return f"""
-        SELECT {first} AS code, '{dataset}' AS dataset, 'empty' AS rule,
+        SELECT {first}::BIGINT AS code, '{dataset}' AS dataset, 'empty' AS rule,
                CASE WHEN count(*) = 0 THEN 1 ELSE 0 END AS violations FROM {source}
         UNION ALL SELECT {first + 3}, '{dataset}', 'null_required',
                count(*) FILTER (WHERE {required}) FROM {source}
@@ -347,7 +347,7 @@ def _alerts(closed_only: bool) -> str:
     return f"""
         SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start,
                strftime(window_start + INTERVAL 15 MINUTE, '%Y-%m-%d %H:%M:%S') AS window_end,
-               event_type AS name, count(*) AS failures, 2 AS severity
+               event_type AS name, count(*) AS failures, 2::BIGINT AS severity
         FROM (SELECT event_type,
                      time_bucket(INTERVAL 5 MINUTE, ts) - back * INTERVAL 5 MINUTE AS window_start
               FROM events JOIN (VALUES (0), (1), (2)) AS b(back) ON true
@@ -457,7 +457,7 @@ _QUERIES: dict[str, str] = {
         SELECT (SELECT count(*) FROM early) + row_number() OVER (ORDER BY state_code), state_code
         FROM codes WHERE state_code < '12')""",
     "fact_rerun_delta": "\nUNION ALL\n".join(
-        f"SELECT '{dataset}' AS dataset, count(*) AS fact_rows, 0 AS rows_to_add FROM f_{dataset}"
+        f"SELECT '{dataset}' AS dataset, count(*) AS fact_rows, 0::BIGINT AS rows_to_add FROM f_{dataset}"
         for dataset in _STG
     ),
     # quality gate and validation
