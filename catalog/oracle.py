@@ -10,6 +10,7 @@ import re
 
 from gridmart.fixed_values import CLIMATE_STATES
 
+_KEY = "CAST(strftime({}, '%Y%m01') AS BIGINT)"
 _DAY = "strftime({}, '%Y-%m-%d')"
 
 _STATE = "CASE WHEN {0} = 24 THEN 'DC' ELSE lpad(CAST({0} AS VARCHAR), 2, '0') END"
@@ -378,6 +379,20 @@ _QUERIES: dict[str, str] = {
     "min_year_filter": f"{_UNPIVOTED} WHERE m.year >= 1998",
     "fixed_width_parse": _PARSED_CLIMATE,
     "ingest_climate_files": _PARSED_CLIMATE,
+    "ingest_retail_files": _UNPIVOTED,
+    "ingest_generation_files": _view("stg_generation", "period"),
+    "pipeline_run": f"""
+        SELECT 'climate' AS dataset, count(*) AS fact_rows, count(precipitation) AS known_values,
+               {_KEY.format('min(period)')} AS first_key, {_KEY.format('max(period)')} AS last_key
+        FROM stg_climate
+        UNION ALL
+        SELECT 'retail', count(*) * 5, (SELECT count(*) FROM stg_retail),
+               {_KEY.format('min(period)')}, {_KEY.format('max(period)')}
+        FROM {_SHEET_MONTHS}
+        UNION ALL
+        SELECT 'generation', count(*), count(generation_mwh),
+               {_KEY.format('min(period)')}, {_KEY.format('max(period)')}
+        FROM stg_generation""",
     "latest_file_pick": """
         SELECT 'avg_temperature' AS metric, code AS noaa_state_code, y.year, m.month,
                avg_temperature AS value

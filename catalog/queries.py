@@ -17,6 +17,7 @@ from gridmart.fixed_values import (
     CLIMATE_MISSING,
     NOTES_SHEET,
     RAW_FOLDER,
+    RAW_WORKBOOK,
     RETAIL_SHEET,
     SECTORS,
 )
@@ -24,7 +25,8 @@ from gridmart.operators import checks
 from gridmart.operators.gate import gate_report, validate_staging
 from gridmart.operators.merge import full_outer_merge, merge_metrics
 from gridmart.plans import ingest, measures, reports, views
-from gridmart.plans.staging import load_staging, reload_dataset, staging_watermark
+from gridmart.plans.pipeline import run_pipeline
+from gridmart.plans.staging import reload_dataset, staging_watermark
 from gridmart.plans.warehouse import (
     Warehouse,
     fact_delta,
@@ -263,6 +265,46 @@ def ingest_climate_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_curated(spark, curated, "climate")
 
 
+def write_raw_workbook(rows: DataFrame, raw: str, dataset: str) -> None:
+    rows.write.parquet(f"{raw}/{RAW_FOLDER[dataset]}/{RAW_WORKBOOK[dataset]}")
+
+
+def ingest_retail_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw, curated = new_scratch(spark, "raw"), new_scratch(spark, "curated")
+    write_raw_workbook(raw_retail_sheet(spark, sf_dir), raw, "retail")
+    ingest.ingest_retail(spark, raw, curated, min_year=1995)
+    return tables.read_curated(spark, curated, "retail")
+
+
+def ingest_generation_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw, curated = new_scratch(spark, "raw"), new_scratch(spark, "curated")
+    write_raw_workbook(raw_generation_sheets(spark, sf_dir), raw, "generation")
+    ingest.ingest_generation(spark, raw, curated, min_year=1995)
+    return tables.read_curated(spark, curated, "generation")
+
+
+def pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw files of all datasets through to the facts, and what they hold then."""
+    raw = write_raw_climate(spark, sf_dir)
+    write_raw_workbook(raw_retail_sheet(spark, sf_dir), raw, "retail")
+    write_raw_workbook(raw_generation_sheets(spark, sf_dir), raw, "generation")
+    root = new_scratch(spark, "warehouse")
+    run_pipeline(spark, raw, new_scratch(spark, "curated"), root, 1995, FIRST_MONTH)
+    wh = Warehouse(spark, root)
+    measured = {"climate": "precipitation", "retail": "sales_mwh", "generation": "generation_mwh"}
+    return labelled(
+        {
+            dataset: wh.fact(dataset).agg(
+                F.count(F.lit(1)).alias("fact_rows"),
+                F.count(column).alias("known_values"),
+                F.min("date_key").alias("first_key"),
+                F.max("date_key").alias("last_key"),
+            )
+            for dataset, column in measured.items()
+        }
+    )
+
+
 def ingest_line_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     value, year = F.col("value"), F.col("year")
     damaged = (
@@ -602,6 +644,9 @@ _QUERIES: dict[str, Query] = {
     "min_year_filter": min_year_filter,
     "fixed_width_parse": fixed_width_parse,
     "ingest_climate_files": ingest_climate_files,
+    "ingest_retail_files": ingest_retail_files,
+    "ingest_generation_files": ingest_generation_files,
+    "pipeline_run": pipeline_run,
     "latest_file_pick": latest_file_pick,
     "ingest_line_violations": ingest_line_violations,
     "sheet_header_map": sheet_header_map,
