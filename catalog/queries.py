@@ -613,9 +613,15 @@ def alert_windows_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def alert_windows_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same windows from a stream that reads all events there are; open ones are left out."""
+    """The same windows from a stream that reads all events there are; open ones are left out.
+
+    Each shuffle partition keeps a state store, so the stream gets one per core and not the
+    session's number.
+    """
     schema = table(spark, sf_dir, "events").schema
-    files = spark.readStream.schema(schema).option("pathGlobFilter", "events*.parquet")
+    streaming = spark.newSession()
+    streaming.conf.set("spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism)
+    files = streaming.readStream.schema(schema).option("pathGlobFilter", "events*.parquet")
     runs = files.parquet(sf_dir)
     out = new_scratch(spark, "alerts")
     alerts = alert_windows(runs, is_failure(), "event_type")

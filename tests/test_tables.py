@@ -151,3 +151,5 @@ def test_choosing_inputs(spark, tmp_path):
         latest_input(spark, folder, "climdiv-hddcst-")
     with pytest.raises(FileNotFoundError):
         named_input(spark, folder, "generation_monthly")
+    with pytest.raises(FileNotFoundError):
+        latest_input(spark, str(tmp_path / "nowhere"), "climdiv-tmpcst-")
