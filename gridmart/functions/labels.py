@@ -19,10 +19,8 @@ def sheet_status(sheet: Column) -> Column:
 
 
 def energy_category(source: Column) -> Column:
-    label = F
-    for category, members in ENERGY_CATEGORIES.items():
-        label = label.when(source.isin(*members), category)
-    return label.otherwise(OTHER_CATEGORY)
+    named = [F.when(source.isin(*members), c) for c, members in ENERGY_CATEGORIES.items()]
+    return F.coalesce(*named, F.lit(OTHER_CATEGORY))
 
 
 def state_label(code: Column, climate_name: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,12 +17,14 @@ SETTINGS = {
 }
 
 
-def build_session(app: str = "gridmart", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with adaptive execution on; ``conf`` takes further settings with ``_`` for ``.``."""
+def build_session(
+    app: str = "gridmart", master: str | None = None, settings: Mapping[str, str] | None = None
+) -> SparkSession:
+    """A session with adaptive execution on; ``settings`` come on top."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **{k.replace("_", "."): v for k, v in conf.items()}}.items():
+    for key, value in {**SETTINGS, **(settings or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

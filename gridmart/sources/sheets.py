@@ -53,10 +53,7 @@ def find_headers(rows: DataFrame) -> DataFrame:
 
 
 def _column_for(header: Column) -> Column:
-    chosen = F
-    for name, rule in HEADER_RULES.items():
-        chosen = chosen.when(rule(header), name)
-    return chosen
+    return F.coalesce(*[F.when(rule(header), name) for name, rule in HEADER_RULES.items()])
 
 
 def _only_position(name: str) -> Column:

@@ -38,10 +38,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def _mapped(column: str, names: dict[str, str]) -> Column:
-    chosen = F
-    for key, value in names.items():
-        chosen = chosen.when(F.col(column) == key, value)
-    return chosen.otherwise(F.col(column))
+    return F.coalesce(
+        *[F.when(F.col(column) == key, value) for key, value in names.items()], F.col(column)
+    )
 
 
 def _state(nation: str) -> Column:
@@ -90,7 +89,9 @@ def retail_staging(spark: SparkSession, folder: str) -> DataFrame:
         )
     )
     orders = table(spark, folder, "orders").select(
-        F.col("o_orderkey").alias("l_orderkey"), "o_custkey", month_of(F.col("o_orderdate")).alias("period")
+        F.col("o_orderkey").alias("l_orderkey"),
+        "o_custkey",
+        month_of(F.col("o_orderdate")).alias("period"),
     )
     per_customer = (
         per_order.join(orders, "l_orderkey")
