@@ -34,6 +34,7 @@ from gridmart.plans.warehouse import (
     keyed_members,
     load_dimensions,
     load_fact,
+    staged_members,
     state_members,
 )
 from gridmart.schemas import (
@@ -43,10 +44,9 @@ from gridmart.schemas import (
     FACT_GRAIN,
     GRAIN,
     RETAIL_METRICS,
-    STAGING,
 )
 from gridmart.session import new_scratch, spill
-from gridmart.sources import sheets, tables
+from gridmart.sources import tables
 from gridmart.sources.climate_lines import checked_lines, monthly_values, with_state_names
 from gridmart.sources.files import latest_input
 from gridmart.sources.star_schema import SAMPLE, table
@@ -472,8 +472,8 @@ def fact_after_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dim_state_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """States join in two loads; the second one numbers on and leaves the first alone."""
     frames = warehouse(spark, sf_dir).all_staging()
-    members = state_members(frames).where("state_code is not null").join(
-        frames["retail"].select("state_code"), "state_code", "left_semi"
+    members = state_members(staged_members(frames)).join(
+        frames["retail"].select("state_code").distinct(), "state_code", "left_semi"
     )
     none = spark.createDataFrame([], DIMENSIONS["dim_state"])
     first = keyed_members(members.where("state_code >= '12'"), none, "state_code", "state_key")

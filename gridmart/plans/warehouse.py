@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmart.functions.dates import date_key, key_to_date
@@ -82,11 +82,53 @@ class Warehouse:
 # --- dimensions ---------------------------------------------------------------
 
 
-def date_members(frames: list[DataFrame]) -> DataFrame:
-    """Calendar rows of all months that occur."""
-    periods = reduce(DataFrame.union, [df.select("period") for df in frames]).distinct()
+MEMBER_COLUMNS = {
+    "climate": {"dim_date": "period", "dim_state": "state_code"},
+    "retail": {"dim_date": "period", "dim_state": "state_code", "dim_sector": "sector"},
+    "generation": {
+        "dim_date": "period",
+        "dim_state": "state_code",
+        "dim_energy_source": "energy_source",
+        "dim_producer_type": "producer_type",
+    },
+}
+
+
+def staged_members(frames: Mapping[str, DataFrame]) -> DataFrame:
+    """The members of all dimensions as rows ``(dimension, member, label)``.
+
+    Each dataset is scanned once, whatever the number of its dimensions, and repeated members
+    fall together before the shuffle. The label is the state name of the climate rows.
+    """
+    no_label = F.lit(None).cast("string")
+
+    def pairs(dataset: str) -> DataFrame:
+        def label(dimension: str) -> Column:
+            named = dataset == "climate" and dimension == "dim_state"
+            return F.col("state_name") if named else no_label
+
+        members = [
+            F.struct(
+                F.lit(dimension).alias("dimension"),
+                F.col(column).cast("string").alias("member"),
+                label(dimension).alias("label"),
+            )
+            for dimension, column in MEMBER_COLUMNS[dataset].items()
+        ]
+        return frames[dataset].select(F.inline(F.array(*members)))
+
+    return (
+        reduce(DataFrame.unionByName, [pairs(dataset) for dataset in DATASETS])
+        .where("member is not null")
+        .groupBy("dimension", "member")
+        .agg(F.max("label").alias("label"))
+    )
+
+
+def date_members(periods: DataFrame) -> DataFrame:
+    """Calendar rows of the months in the only column."""
     day = F.col("full_date")
-    return periods.where("period is not null").select(F.col("period").alias("full_date")).select(
+    return periods.toDF("full_date").where("full_date is not null").distinct().select(
         date_key(day).alias("date_key"),
         day,
         F.year(day).cast("short").alias("year"),
@@ -95,28 +137,15 @@ def date_members(frames: list[DataFrame]) -> DataFrame:
     )
 
 
-def state_members(frames: Mapping[str, DataFrame]) -> DataFrame:
-    """State codes of all datasets; names come from the climate rows."""
-    codes = reduce(
-        DataFrame.unionByName,
-        [
-            frames["climate"].select("state_code", "state_name"),
-            *[
-                frames[other].select("state_code", F.lit(None).cast("string").alias("state_name"))
-                for other in ("retail", "generation")
-            ],
-        ],
-    )
-    return (
-        codes.where("state_code is not null")
-        .groupBy("state_code")
-        .agg(F.max("state_name").alias("state_name"))
-        .withColumn("state_name", state_label(F.col("state_code"), F.col("state_name")))
+def state_members(members: DataFrame) -> DataFrame:
+    return members.where("dimension = 'dim_state'").select(
+        F.col("member").alias("state_code"),
+        state_label(F.col("member"), F.col("label")).alias("state_name"),
     )
 
 
-def name_members(df: DataFrame, column: str, name: str) -> DataFrame:
-    return df.where(F.col(column).isNotNull()).select(F.col(column).alias(name)).distinct()
+def name_members(members: DataFrame, dimension: str, name: str) -> DataFrame:
+    return members.where(F.col("dimension") == dimension).select(F.col("member").alias(name))
 
 
 def new_members(members: DataFrame, existing: DataFrame, natural: str) -> DataFrame:
@@ -127,9 +156,8 @@ def keyed_members(members: DataFrame, existing: DataFrame, natural: str, key: st
     """The members not in ``existing`` yet, numbered on from its highest key.
 
     The first load numbers members in the order of their names; later ones leave old keys alone.
-    The new members are written down first, so staging is read once and not for every step.
     """
-    new = spill(new_members(members, existing, natural), f"new-{natural}")
+    new = new_members(members, existing, natural)
     if new.isEmpty():
         return new.withColumn(key, F.lit(None).cast("int"))
     highest = existing.agg(F.coalesce(F.max(key), F.lit(0))).first()[0]
@@ -143,44 +171,37 @@ def _append(wh: Warehouse, name: str, rows: DataFrame) -> None:
         )
 
 
-def load_dates(wh: Warehouse, frames: list[DataFrame]) -> None:
-    _append(
-        wh, "dim_date", new_members(date_members(frames), wh.dimension("dim_date"), "date_key")
-    )
+def load_dates(wh: Warehouse, periods: DataFrame) -> None:
+    new = new_members(date_members(periods), wh.dimension("dim_date"), "date_key")
+    _append(wh, "dim_date", new)
 
 
 def load_dimensions(wh: Warehouse) -> None:
     """Add members that are new in staging; existing rows are never changed.
 
-    The five tables do not depend on each other, so their small jobs run side by side.
+    The members of all dimensions are collected in one pass and written down. The five tables do
+    not depend on each other, so their small jobs run side by side.
     """
-    frames = wh.all_staging()
-    generation = frames["generation"]
+    members = spill(staged_members(wh.all_staging()), "members")
     named = {
-        "dim_state": (state_members(frames), "state_code", "state_key"),
-        "dim_sector": (
-            name_members(frames["retail"], "sector", "sector_name"),
-            "sector_name",
-            "sector_key",
-        ),
-        "dim_energy_source": (
-            name_members(generation, "energy_source", "energy_source_name"),
-            "energy_source_name",
-            "energy_source_key",
-        ),
-        "dim_producer_type": (
-            name_members(generation, "producer_type", "producer_type_name"),
-            "producer_type_name",
-            "producer_type_key",
-        ),
+        "dim_state": (state_members(members), "state_code", "state_key"),
+        **{
+            dimension: (name_members(members, dimension, f"{name}_name"), f"{name}_name", f"{name}_key")
+            for dimension, name in (
+                ("dim_sector", "sector"),
+                ("dim_energy_source", "energy_source"),
+                ("dim_producer_type", "producer_type"),
+            )
+        },
     }
 
     def load(name: str) -> None:
         if name == "dim_date":
-            load_dates(wh, list(frames.values()))
+            months = members.where("dimension = 'dim_date'")
+            load_dates(wh, months.select(F.col("member").cast("date")))
         else:
-            members, natural, key = named[name]
-            _append(wh, name, keyed_members(members, wh.dimension(name), natural, key))
+            found, natural, key = named[name]
+            _append(wh, name, keyed_members(found, wh.dimension(name), natural, key))
 
     with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
         list(pool.map(load, DIMENSIONS))
@@ -237,7 +258,7 @@ def load_fact(wh: Warehouse, dataset: str, *, add_dates: bool = True) -> None:
     """Append the new rows of a dataset, after its new months unless those are there for sure."""
     staged = wh.staging(dataset)
     if add_dates:
-        load_dates(wh, [staged])
+        load_dates(wh, staged.select("period"))
     write_partitioned(
         fact_delta(staged, wh.star(), dataset),
         wh.path("dw", f"fact_{dataset}"),
