@@ -157,23 +157,24 @@ def keyed_members(members: DataFrame, existing: DataFrame, natural: str, key: st
 
     The first load numbers members in the order of their names; later ones leave old keys alone.
     """
-    new = new_members(members, existing, natural)
-    if new.isEmpty():
-        return new.withColumn(key, F.lit(None).cast("int"))
     highest = existing.agg(F.coalesce(F.max(key), F.lit(0))).first()[0]
-    return number_rows(new, natural, key, highest)
+    return number_rows(new_members(members, existing, natural), natural, key, highest)
 
 
 def _append(wh: Warehouse, name: str, rows: DataFrame) -> None:
-    if not rows.isEmpty():  # a rerun leaves no empty files behind
-        rows.select(*DIMENSIONS[name].fieldNames()).write.mode("append").parquet(
-            wh.path("dw", name)
-        )
+    rows.select(*DIMENSIONS[name].fieldNames()).write.mode("append").parquet(wh.path("dw", name))
 
 
 def load_dates(wh: Warehouse, periods: DataFrame) -> None:
     new = new_members(date_members(periods), wh.dimension("dim_date"), "date_key")
-    _append(wh, "dim_date", new)
+    if not new.isEmpty():  # a rerun leaves no empty files behind
+        _append(wh, "dim_date", new)
+
+
+def load_names(wh: Warehouse, name: str, members: DataFrame, natural: str, key: str) -> None:
+    existing = wh.dimension(name)
+    if not new_members(members, existing, natural).isEmpty():
+        _append(wh, name, keyed_members(members, existing, natural, key))
 
 
 def load_dimensions(wh: Warehouse) -> None:
@@ -200,8 +201,7 @@ def load_dimensions(wh: Warehouse) -> None:
             months = members.where("dimension = 'dim_date'")
             load_dates(wh, months.select(F.col("member").cast("date")))
         else:
-            found, natural, key = named[name]
-            _append(wh, name, keyed_members(found, wh.dimension(name), natural, key))
+            load_names(wh, name, *named[name])
 
     with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
         list(pool.map(load, DIMENSIONS))
