@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Mapping
 
@@ -30,19 +29,13 @@ def build_session(
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of the cluster, from ``spark.checkpoint.dir``.
+    """The folder for results that later jobs share: ``spark.checkpoint.dir``, which all executors reach.
 
-    Only a local session may go without the setting; it then gets a folder of its own.
+    Where it is unset, a folder under ``spark.sql.warehouse.dir`` takes its place, which a cluster shares as well.
     """
-    context = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not root:
-        if not context.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
-        root = tempfile.mkdtemp(prefix="gridmart-")
-        context.setCheckpointDir(root)
-        root = context.getCheckpointDir()
-    return f"{root.rstrip('/')}/gridmart-{context.applicationId}"
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    root = root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    return f"{root.rstrip('/')}/gridmart-{spark.sparkContext.applicationId}"
 
 
 def new_scratch(spark: SparkSession, label: str) -> str:
