@@ -49,5 +49,5 @@ def spill(df: DataFrame, label: str) -> DataFrame:
     Later jobs read single columns of it, and a lost executor costs a file read, not a recompute.
     """
     path = new_scratch(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
