@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridmart.llm.tables import in_tasks
+
 #: Turn marks of the default template; ``###`` and ``</turn>`` are its control strings.
 TEMPLATE = (
     "{# one turn after the other, the assistant's words are learnt #}"
@@ -426,7 +428,7 @@ def format_conversations(rows: DataFrame, template: str = TEMPLATE) -> DataFrame
         F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
     )
     dealt = wanted.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return dealt.mapInArrow(_formatted(template), "conv_id long, piece long, text string, loss boolean")
+    return in_tasks(dealt, _formatted(template), "conv_id long, piece long, text string, loss boolean")
 
 
 def read_conversations(formatted: DataFrame) -> DataFrame:
@@ -434,7 +436,8 @@ def read_conversations(formatted: DataFrame) -> DataFrame:
 
     Takes what :func:`format_conversations` returns with the default template, in its order.
     """
-    return formatted.mapInArrow(
+    return in_tasks(
+        formatted,
         _read_back,
         "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long",
     )

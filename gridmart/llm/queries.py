@@ -8,8 +8,38 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmart.llm.chat import format_conversations, read_conversations
+from gridmart.llm.html import main_text
+from gridmart.llm.packing import pack_documents
+from gridmart.llm.pieces import encoding_digests
+from gridmart.llm.rules import judged
 from gridmart.llm.tables import table
 from gridmart.llm.topk import exact_topk
+from gridmart.llm.warc import archived
+
+
+def tokenizer_path(name: str) -> str:
+    """Where the public tokenizer files are installed, on every machine."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
+def op3_warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op4_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=2, max_tokens=4096)
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = judged(table(spark, sf_dir, "documents"), columns=["doc_id"])
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return docs.select("doc_id", *(F.col(f"rules.{x}") for x in names))
 
 
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,17 +49,65 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_conversations(format_conversations(rows))
 
 
+def op9_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoding_digests(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     return exact_topk(rows, rows.where("pmod(vec_id, 100) = 0"), k=10, scale=1024.0)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_main_text": op1_main_text,
+    "op3_warc_roundtrip": op3_warc_roundtrip,
+    "op4_pack_sequences": op4_pack_sequences,
+    "op5_quality_rules": op5_quality_rules,
     "op8_chat_format": op8_chat_format,
+    "op9_piece_encoding": op9_piece_encoding,
     "op10_exact_topk": op10_exact_topk,
 }
 
+#: Base counts of documents, failures of rules by host, and the hosts' shrunk rates, as in gridmart.llm.rules.
+RULES_SQL = r"""
+    texts as (
+        select row_number() over () as r, doc_id, source, coalesce(text, '') as text,
+            list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as words,
+            list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
+        from documents
+    ), starts as (
+        select r, len(words) as n, unnest(range(1, len(words) - 3)) as i, words from texts where len(words) >= 5
+    ), windows as (
+        select r, n, i, count(*) over (partition by r, array_to_string(words[i:i + 4], ' ')) as c from starts
+    ), covered as (
+        select r, count(distinct i + k)::bigint as n_repeat_words from windows, range(5) as o(k) where c > 1 group by r
+    ), counts as (
+        select t.r, doc_id, source, len(words)::bigint as n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::bigint as word_chars,
+            length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols,
+            (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words, len(lines) as n_lines
+        from texts t left join covered using (r)
+    ), failures as (
+        select *, n_words < 10 as f1, 100 * n_repeat_words > 20 * n_words as f2, 100 * n_symbols > 10 * word_chars as f3, 100 * n_dup_lines > 30 * n_lines as f4
+        from counts
+    ), rates as (
+        select source, rule, count(*) as n, count(*) filter (where f) as x
+        from (select source, unnest([1, 2, 3, 4]) as rule, unnest([f1, f2, f3, f4]) as f from failures) group by source, rule
+    ), moments as (
+        select rule, sum(x) / sum(n) as m, count(*) / sum(n) as k, sum(x * x / n) / sum(n) - (sum(x) / sum(n)) ** 2 as s from rates group by rule
+    ), priors as (
+        select rule, m, least(greatest(case when s - m * (1 - m) * k > 0 then (m * (1 - m) - s) / (s - m * (1 - m) * k) else 10000.0 end, 1.0), 10000.0) as w
+        from moments
+    ), hosts as (
+        select source, bool_or((x + m * w) / (n + w) > 0.5) as bad from rates join priors using (rule) group by source
+    ), judged as (
+        select f.*, f1 or f2 as base_failed, not (f1 or f2) and not bad as kept
+        from failures f join hosts h on f.source is not distinct from h.source
+    )
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op5_quality_rules": f"with {RULES_SQL} "
+    "select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept from judged",
     "op8_chat_format": r"""
         with rows as (
             select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import zipfile
+from collections.abc import Callable
+from pathlib import Path
+
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 
 from gridmart.session import spill as _spill
@@ -14,3 +19,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df``, written once to the shared folder of the cluster and read from there."""
     return _spill(df, label)
+
+
+def in_tasks(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """``df.mapInArrow`` with a function of this library, which the executors get with the job."""
+    _ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
+def _ship(spark: SparkSession) -> None:
+    """Send the library to the executors, once for each Spark context."""
+    context = spark.sparkContext
+    if getattr(context, "_gridmart_sent", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    # Only the driver reads this file, to serve it; Spark removes the folder with the context.
+    archive = Path(SparkFiles.getRootDirectory()) / "library" / "gridmart.zip"
+    archive.parent.mkdir(exist_ok=True)
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._gridmart_sent = True

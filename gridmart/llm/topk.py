@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridmart.llm.tables import written
+from gridmart.llm.tables import in_tasks, written
 
 BLOCK = "block long, dim int, ids binary, numbers binary"
 FOUND = "query_id long, vec_id long, score long"
@@ -192,10 +192,10 @@ def exact_topk(
 ) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``k`` best rows of ``vectors`` for each row of ``queries``."""
     pick = [F.col(id_column).cast("long").alias("id"), F.col(vector_column).alias("vector")]
-    candidates = written(vectors.select(*pick).mapInArrow(_blocks(scale, block_rows), BLOCK), "topk-rows")
+    candidates = written(in_tasks(vectors.select(*pick), _blocks(scale, block_rows), BLOCK), "topk-rows")
     asked = queries.select(*pick).where("id is not null")
     parts = max(1, -(-asked.count() // query_rows))
-    asked = asked.repartition(parts, "id").mapInArrow(_blocks(scale, query_rows), BLOCK)
+    asked = in_tasks(asked.repartition(parts, "id"), _blocks(scale, query_rows), BLOCK)
     asked = written(asked, "topk-queries").withColumnsRenamed({"block": "q_block", "ids": "q_ids", "numbers": "q_numbers"})
 
     # Pairs of block numbers first, the matrices by number.
@@ -203,7 +203,7 @@ def exact_topk(
     both = pairs.join(candidates, "block").join(asked.drop("dim"), "q_block")
 
     lows = [f"low{j}" for j in range(slices)]
-    named = both.mapInArrow(_gather(k, slices), FOUND + "".join(f", {x} long" for x in lows))
+    named = in_tasks(both, _gather(k, slices), FOUND + "".join(f", {x} long" for x in lows))
     named = written(named, "topk-named")
     best_first = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     cutoffs = (
@@ -212,12 +212,13 @@ def exact_topk(
     )
     cutoffs = cutoffs.join(named.groupBy("query_id").agg(*(F.min(x).alias(x) for x in lows)), "query_id")
     # A block's queries are at most query_rows rows.
-    listed = asked.select("q_block", "q_ids").mapInArrow(_listed, "q_block long, query_id long").distinct()
+    listed = in_tasks(asked.select("q_block", "q_ids"), _listed, "q_block long, query_id long").distinct()
     cutoffs = (
         listed.join(cutoffs, "query_id").groupBy("q_block")
         .agg(F.collect_list(F.struct("query_id", "cutoff", *lows)).alias("cutoffs"))
     )
-    found = both.join(written(cutoffs, "topk-cutoffs"), "q_block").mapInArrow(_resolve(k, slices), FOUND)
+    both = both.join(written(cutoffs, "topk-cutoffs"), "q_block")
+    found = in_tasks(both, _resolve(k, slices), FOUND)
     return (
         found.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")

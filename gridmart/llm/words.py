@@ -19,8 +19,8 @@ _generator = np.random.Generator(np.random.PCG64(20_240_607))
 _BYTE = _generator.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[ord("A") : ord("Z") + 1] += 32
+_LOWER_BYTE = _BYTE.copy()
+_LOWER_BYTE[ord("A") : ord("Z") + 1] = _BYTE[ord("a") : ord("z") + 1]
 _BASE = 0x9E3779B97F4A7C15 | 1
 _WINDOW_BASE = 0xD6E8FEB86659FD93 | 1
 
@@ -49,6 +49,7 @@ class _Powers:
 
 
 _byte_powers = _Powers(_BASE)
+_byte_inverses = _Powers(pow(_BASE, -1, 2**64))
 _window_powers = _Powers(_WINDOW_BASE)
 _window_inverses = _Powers(pow(_WINDOW_BASE, -1, 2**64))
 
@@ -74,16 +75,20 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word."""
-        if not len(self.starts):
-            return np.zeros(0, np.uint64)
-        lengths = self.ends - self.starts
-        begin = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-        within = np.arange(int(lengths.sum())) - np.repeat(begin, lengths)
-        letters = self.data[within + np.repeat(self.starts, lengths)]
-        if self.lower:
-            letters = _LOWER[letters]
-        values = _BYTE[letters] * _byte_powers.upto(int(lengths.max()))[within]
-        return mixed(np.add.reduceat(values, begin) + lengths.astype(np.uint64))
+        return span_hashes(self.data, self.starts, self.ends, self.lower)
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
+    """A 64-bit hash of the bytes of each span, as a polynomial in an odd number, by differences of sums."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    sums = np.empty(len(data) + 1, np.uint64)
+    sums[0] = 0
+    values = (_LOWER_BYTE if lower else _BYTE)[data]
+    values *= _byte_powers.upto(len(data))
+    np.cumsum(values, out=sums[1:])
+    found = (sums[ends] - sums[starts]) * _byte_inverses.upto(len(data))[starts]
+    return mixed(found + (ends - starts).astype(np.uint64))
 
 
 def ranges(hashes: np.ndarray, starts: np.ndarray, lengths) -> np.ndarray:
@@ -112,12 +117,12 @@ def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8), at
 
 
-def words_of(column: pa.Array, lower: bool = False) -> Iterator[Words]:
-    """The words of a column in slices of about ``SLICE_BYTES``; a longer text is one slice."""
+def words_of(column: pa.Array, lower: bool = False, size: int | None = None) -> Iterator[Words]:
+    """The words of a column in slices of about ``size`` bytes; a longer text is one slice."""
     data, at = column_bytes(column)
     lo, n = 0, len(at) - 1
     while lo < n:
-        hi = max(lo + 1, int(np.searchsorted(at, at[lo] + SLICE_BYTES, "right")) - 1)
+        hi = max(lo + 1, int(np.searchsorted(at, at[lo] + (size or SLICE_BYTES), "right")) - 1)
         part = data[at[lo] : at[hi]]
         edges = at[lo : hi + 1] - at[lo]
         word = ~_SPACE[part]
