@@ -37,6 +37,11 @@ def _free(df: DataFrame, name: str) -> str:
     return name
 
 
+def _replaced(text: Column, letters: str, by: str) -> Column:
+    """Each of ``letters`` replaced in turn, which is a plain search where a letter does not occur."""
+    return reduce(lambda a, b: F.replace(a, F.lit(b), F.lit(by)), letters, text)
+
+
 def measured(docs: DataFrame, text: str, into: str) -> DataFrame:
     """``docs`` with a struct column ``into``: counts of the text and which rules it fails.
 
@@ -48,12 +53,14 @@ def measured(docs: DataFrame, text: str, into: str) -> DataFrame:
     keep = docs.columns
     c = F.col
     df = docs.withColumn(t, F.coalesce(c(text), F.lit("")))
-    df = df.withColumn(w, F.array_remove(F.split(F.translate(c(t), BLANKS, " " * len(BLANKS)), " "), ""))
+    df = df.withColumn(w, F.array_remove(F.split(_replaced(c(t), BLANKS[1:], " "), " "), ""))
     df = df.withColumn(l, F.filter(F.split(c(t), "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != ""))
     df = df.withColumn(h, F.transform(c(w), lambda x: F.xxhash64(x)))
     n = F.size(w)
-    first = F.slice(c(h), 1, F.greatest(n - (WINDOW - 1), F.lit(0)))
-    df = df.withColumn(s, F.transform(first, lambda x, i: F.xxhash64(x, *(F.get(c(h), i + k) for k in range(1, WINDOW)))))
+    # Shifted copies side by side: a window is one row of them.
+    shifted = (F.slice(c(h), k + 1, F.greatest(n, F.lit(1))).alias(f"w{k}") for k in range(WINDOW))
+    rows = F.slice(F.arrays_zip(*shifted), 1, F.greatest(n - (WINDOW - 1), F.lit(0)))
+    df = df.withColumn(s, F.transform(rows, lambda x: F.xxhash64(x)))
     none = F.array().cast("array<struct<h:bigint,i:int>>")
     pairs = F.transform(c(s), lambda x, i: F.struct(x.alias("h"), i.alias("i")))
     df = df.withColumn(d, F.when(F.size(F.array_distinct(c(s))) < F.size(s), F.sort_array(pairs)).otherwise(none))
@@ -66,8 +73,8 @@ def measured(docs: DataFrame, text: str, into: str) -> DataFrame:
     # A repeated window covers its words up to the start of the next one.
     steps = F.transform(c(p), lambda x, i: F.least(F.lit(WINDOW), F.coalesce(F.get(c(p), i + 1) - x, F.lit(WINDOW))))
     covered = F.aggregate(steps, F.lit(0).cast("long"), lambda a, x: a + x)
-    letters = F.length(F.translate(c(t), BLANKS, ""))
-    symbols = F.length(t) - F.length(F.translate(c(t), SYMBOLS, ""))
+    letters = F.length(F.array_join(c(w), ""))
+    symbols = F.length(t) - F.length(_replaced(c(t), SYMBOLS, ""))
     counts = F.struct(
         n.cast("long").alias("n_words"), letters.cast("long").alias("word_chars"), symbols.cast("long").alias("n_symbols"),
         (F.size(l) - F.size(F.array_distinct(c(l)))).cast("long").alias("n_dup_lines"), covered.alias("n_repeat_words"),
