@@ -4,7 +4,7 @@ A payload is the html in UTF-8 (null: empty), sent as an HTTP response in chunks
 one with the largest page_id is the response, the others revisit it. Blocks over ``segment_bytes`` are cut into
 a first segment and continuation records, each a record of its own with the identifier of its origin; the last one
 states the total length. Archives are written by Spark's text writer, one record a line with two line ends as the
-separator, which is the form of the format, so writing is committed like any other table.
+separator, which is the form of the format, and compressed; so writing is committed like any other table.
 
 Reading takes each archive apart by content lengths, groups segments by origin identifier, orders them by number, checks
 numbers and total length, undoes the chunks and checks the digest. A record that fails a check stays, with
@@ -17,6 +17,7 @@ responses. Repeated rows of one page_id are records of equal kind each.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 from collections.abc import Iterator
@@ -106,7 +107,7 @@ def write_archives(
         return F.concat(header, block.cast("string"))
 
     lines = records.select(F.explode(F.transform(F.sequence(F.lit(0), F.col("pieces") - 1), record)).alias("value"))
-    lines.write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", records_per_file).text(path)
+    lines.write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", records_per_file).option("compression", "gzip").text(path)
 
 
 _FIELD = re.compile(rb"([^:\r\n]+):[ \t]*([^\r\n]*)\r\n")
@@ -167,7 +168,8 @@ def _figures(kind: str, digest: str | None, block: bytes) -> tuple[int | None, s
 def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict[str, str], bytes]]:
     for batch in batches:
         for content in batch.column(0):
-            yield from parse_archive(content.as_buffer().to_pybytes())
+            data = content.as_buffer().to_pybytes()
+            yield from parse_archive(gzip.decompress(data) if data.startswith(b"\x1f\x8b") else data)
 
 
 def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
