@@ -12,8 +12,10 @@ from gridmart.llm.html import main_text
 from gridmart.llm.packing import pack_documents
 from gridmart.llm.pieces import encoding_digests
 from gridmart.llm.rules import judged
+from gridmart.llm.substrings import removal_digests
 from gridmart.llm.tables import table
 from gridmart.llm.topk import exact_topk
+from gridmart.llm.toxicity import THRESHOLD, is_held_out, scored, trained
 from gridmart.llm.warc import archived
 
 
@@ -28,6 +30,10 @@ def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(table(spark, sf_dir, "pages"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return removal_digests(table(spark, sf_dir, "documents"), min_words=50)
+
+
 def op3_warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
@@ -42,6 +48,13 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", *(F.col(f"rules.{x}") for x in names))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = scored(docs, trained(docs, table(spark, sf_dir, "labels")))
+    predicted = (F.col("score") >= THRESHOLD).cast("int")
+    return found.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = r"\### Assistant: </turn> ok"
     own = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -60,9 +73,11 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_main_text": op1_main_text,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_warc_roundtrip": op3_warc_roundtrip,
     "op4_pack_sequences": op4_pack_sequences,
     "op5_quality_rules": op5_quality_rules,
+    "op7_toxicity": op7_toxicity,
     "op8_chat_format": op8_chat_format,
     "op9_piece_encoding": op9_piece_encoding,
     "op10_exact_topk": op10_exact_topk,
@@ -106,6 +121,27 @@ RULES_SQL = r"""
 """
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_substring_dedup": r"""
+        with texts as (
+            select row_number() over () as r, doc_id,
+                list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as words
+            from documents
+        ), starts as (
+            select r, doc_id, words, unnest(range(1, len(words) - 48)) as i from texts where len(words) >= 50
+        ), windows as (
+            select r, doc_id, i, sha256(array_to_string(words[i:i + 49], ' ')) as w from starts
+        ), repeated as (
+            select r, i from (select *, min(doc_id) over (partition by w) as origin from windows) where doc_id > origin
+        ), gone as (
+            select distinct r, i + k as i from repeated, range(50) as o(k)
+        ), removed as (
+            select r, list(i) as gone, count(*) as n from gone group by r
+        )
+        select doc_id, len(words)::bigint as n_words, coalesce(n, 0)::bigint as n_removed,
+            sha256(array_to_string(case when n is null then words else
+                list_transform(list_filter(list_zip(words, range(1, len(words) + 1)), lambda x: not list_contains(gone, x[2])), lambda x: x[1]) end, ' ')) as kept_sha256
+        from texts left join removed using (r)
+    """,
     "op5_quality_rules": f"with {RULES_SQL} "
     "select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept from judged",
     "op8_chat_format": r"""
