@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gridmart.llm.chat import format_conversations, read_conversations
 from gridmart.llm.html import main_text
+from gridmart.llm.jaccard import near_duplicates
 from gridmart.llm.packing import pack_documents
 from gridmart.llm.pieces import encoding_digests
 from gridmart.llm.rules import judged
@@ -48,6 +49,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", *(F.col(f"rules.{x}") for x in names))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=5, percent=75)
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = scored(docs, trained(docs, table(spark, sf_dir, "labels")))
@@ -77,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_warc_roundtrip": op3_warc_roundtrip,
     "op4_pack_sequences": op4_pack_sequences,
     "op5_quality_rules": op5_quality_rules,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_toxicity": op7_toxicity,
     "op8_chat_format": op8_chat_format,
     "op9_piece_encoding": op9_piece_encoding,
@@ -144,6 +150,28 @@ ORACLE_SQL: dict[str, str] = {
     """,
     "op5_quality_rules": f"with {RULES_SQL} "
     "select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept from judged",
+    "op6_jaccard_join": r"""
+        with recursive texts as (
+            select row_number() over () as r, doc_id,
+                list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as words
+            from documents
+        ), shingles as (
+            select distinct doc_id, array_to_string(words[i:i + 4], ' ') as s
+            from (select doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) as i from texts where len(words) > 0)
+        ), sizes as (
+            select doc_id, count(*) as n from shingles group by doc_id
+        ), links as (
+            select a.doc_id as a, b.doc_id as b from shingles a join shingles b on a.s = b.s and a.doc_id <> b.doc_id
+            join sizes x on x.doc_id = a.doc_id join sizes y on y.doc_id = b.doc_id
+            group by a.doc_id, b.doc_id, x.n, y.n having 100 * count(*) >= 75 * (x.n + y.n - count(*))
+        ), reach as (
+            select a as node, a as seen from links union select node, b from reach join links on seen = a
+        ), labels as (
+            select node, min(seen) as label from reach group by node
+        )
+        select t.doc_id, coalesce(n, 0)::bigint as n_shingles, coalesce(label, t.doc_id) as component_id
+        from texts t left join sizes s on s.doc_id = t.doc_id left join labels l on l.node = t.doc_id
+    """,
     "op8_chat_format": r"""
         with rows as (
             select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations

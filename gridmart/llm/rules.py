@@ -136,3 +136,9 @@ def judged(docs: DataFrame, text: str = "text", host: str = "source", into: str
     base = F.col(into)["few_words"] | F.col(into)["repeated_words"]
     kept = ~base & ~F.coalesce(F.col(f"{name}_bad"), F.lit(False))
     return joined.select(*keep, F.struct(f"{into}.*", base.alias("base_failed"), kept.alias("kept")).alias(into))
+
+
+def well_formed(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
+    """The documents that are kept, with their columns."""
+    into = _free(docs, "rules")
+    return judged(docs, text, host, into).where(F.col(into)["kept"]).select(*docs.columns)

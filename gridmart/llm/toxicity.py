@@ -373,3 +373,9 @@ def scored(docs: DataFrame, model: Model, into: str = "score") -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, into])
 
     return in_tasks(docs, run, T.StructType([*docs.schema.fields, T.StructField(into, T.DoubleType())]))
+
+
+def not_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` without those whose score reaches ``threshold``."""
+    score = "_score_" + "_".join(docs.columns)
+    return scored(docs, trained(docs, labels), score).where(F.col(score) < threshold).select(*docs.columns)
