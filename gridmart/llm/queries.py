@@ -153,7 +153,7 @@ ORACLE_SQL: dict[str, str] = {
     "op6_jaccard_join": r"""
         with recursive texts as (
             select row_number() over () as r, doc_id,
-                list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as words
+                list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as words
             from documents
         ), shingles as (
             select distinct doc_id, array_to_string(words[i:i + 4], ' ') as s
