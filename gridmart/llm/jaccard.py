@@ -8,9 +8,10 @@ What one set's answers say about another's is used three times. Equal sets are o
 Sets that agree in a few minimum hashes are first compared with one leader each, and those that link are one component from
 then on: whatever a member links to, its component has. In the index, a list's members are sorted by size, and
 
-* blocks of sets that are too small for a set, and positions too late to reach the overlap, are skipped,
-* members of one component are not compared,
-* members with the same shingle before this one in order were compared in that list and are not again.
+* blocks of sets that are too large for a set are skipped,
+* lists, blocks and pairs of members of one component are skipped,
+* a pair counts what it shares by position: among the first shingles it must share so many that the positions after
+  them can make up the rest of the needed intersection.
 
 What is left is compared exactly, on the whole texts. Candidates are no pairs within a group, as long as its members
 link to their leaders; nothing is capped, and what the leaders do not settle is compared pair by pair.
@@ -96,11 +97,6 @@ def _sketched(shingle: int) -> Callable:
     return run
 
 
-def overlap_needed(x: int, y: int, percent: int) -> int:
-    """The least intersection of linked sets of such sizes: percent * (x + y) / (100 + percent), rounded up."""
-    return -(-percent * (x + y) // (100 + percent))
-
-
 def _compared(shingle: int, percent: int) -> Callable:
     """Which of the pairs link, on both texts."""
 
@@ -148,9 +144,7 @@ def _indexed(shingle: int, percent: int, common, parts: int) -> Callable:
                         if is_late.any():
                             rest = own[is_late][np.argsort(ranks[place[is_late]])]
                             own = np.concatenate((own[~is_late], rest))
-                    own = own[:first]
-                    before = np.concatenate((np.zeros(1, np.uint64), own[:-1]))
-                    out.append((own, before, np.full(first, ids[i]), np.full(first, labels[i]), np.full(first, n, np.int32), np.arange(first, dtype=np.int32)))
+                    out.append((own[:first], np.full(first, ids[i]), np.full(first, labels[i]), np.full(first, n, np.int32)))
             if not out:
                 continue
             columns = [np.concatenate(x) for x in zip(*out, strict=True)]
@@ -166,7 +160,7 @@ def _indexed(shingle: int, percent: int, common, parts: int) -> Callable:
     return run
 
 
-_KINDS = (np.uint64, np.uint64, np.int64, np.int64, np.int32, np.int32)
+_KINDS = (np.uint64, np.int64, np.int64, np.int32)
 
 
 def _candidates(percent: int) -> Callable:
@@ -177,8 +171,8 @@ def _candidates(percent: int) -> Callable:
 
         def pairs() -> Iterator[pa.RecordBatch]:
             found = candidates([np.concatenate([x[i] for x in held]) for i in range(len(_KINDS))], percent)
-            for a, b in found:
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            for columns in found:
+                yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in columns], names=["a", "b", "a_size", "b_size", "n"])
 
         for batch in batches:
             for p, n, blob in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
@@ -196,65 +190,71 @@ def _candidates(percent: int) -> Callable:
     return run
 
 
-def candidates(columns: list[np.ndarray], percent: int, block: int = 1024) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Distinct pairs of one part's lists that no relation settles: smaller id first."""
-    order = np.lexsort((columns[4], columns[0]))  # by shingle, then by size
-    h, before, ids, labels, size, at = (x[order] for x in columns)
-    change = np.flatnonzero(h[1:] != h[:-1]) + 1
-    begin = np.concatenate(([0], change))
-    end = np.append(change, len(h))
-    # Lists whose members are all of one component, or all came together before, have nothing to compare.
-    several = end - begin > 1
-    several &= np.minimum.reduceat(labels, begin) < np.maximum.reduceat(labels, begin)
-    same = (np.minimum.reduceat(before, begin) == np.maximum.reduceat(before, begin)) & (np.minimum.reduceat(at, begin) > 0)
-    begin, end = begin[several & ~same], end[several & ~same]
-
-    def settled(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """Of two arrays of members, ``x`` the smaller sets: which pairs need a comparison."""
-        need = labels[x] != labels[y]
-        need &= (before[x] != before[y]) | (at[x] == 0) | (at[y] == 0)
-        need &= 100 * size[x].astype(np.int64) >= percent * size[y].astype(np.int64)
-        most = 1 + np.minimum(size[x] - at[x], size[y] - at[y]).astype(np.int64) - 1
-        return need & (100 * most >= percent * (size[x].astype(np.int64) + size[y] - most))
+def candidates(columns: list[np.ndarray], percent: int, block: int = 1024) -> Iterator[tuple[np.ndarray, ...]]:
+    """Pairs of one part's lists that no relation settles, and how many of the part's shingles they share.
 
-    def ordered(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        both = np.unique(np.column_stack((np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y]))), axis=0)
-        return both[:, 0], both[:, 1]
+    Ids of both, the smaller one first, sizes of both, and the count; a pair can come several times.
+    """
+    order = np.lexsort((columns[3], columns[0]))  # by shingle, then by size
+    h, ids, labels, size = (x[order] for x in columns)
+    sets, set_of = np.unique(np.rec.fromarrays((ids, size)), return_inverse=True)
+    begin = np.concatenate(([0], np.flatnonzero(h[1:] != h[:-1]) + 1))
+    end = np.append(begin[1:], len(h))
+    # Lists whose members are all of one component have nothing to compare.
+    several = np.minimum.reduceat(labels, begin) < np.maximum.reduceat(labels, begin)
+    begin, end = begin[several], end[several]
+
+    def open_(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Of two arrays of members, ``x`` the smaller sets: which pairs need a comparison."""
+        return (labels[x] != labels[y]) & (100 * size[x].astype(np.int64) >= percent * size[y].astype(np.int64))
+
+    found: list[np.ndarray] = []
+    held = 0
+
+    def add(x: np.ndarray, y: np.ndarray) -> None:
+        nonlocal held
+        need = open_(x, y)
+        a, b = set_of[x[need]], set_of[y[need]]
+        found.append(np.minimum(a, b) * len(sets) + np.maximum(a, b))
+        held += len(a)
+
+    def counted() -> tuple[np.ndarray, ...]:
+        nonlocal held
+        keys, counts = np.unique(np.concatenate(found), return_counts=True)
+        found.clear()
+        held = 0
+        a, b = sets[keys // len(sets)], sets[keys % len(sets)]
+        return a.f0, b.f0, a.f1, b.f1, counts
 
-    found, held = [], 0
     short = end - begin <= 64
     starts, lengths = begin[short], (end - begin)[short]
     member = np.repeat(starts - np.cumsum(lengths) + lengths, lengths) + np.arange(int(lengths.sum()))
     last = np.repeat(starts + lengths, lengths)
     for d in range(1, int(lengths.max(initial=0))):
-        member, last = member[member + d < last], last[member + d < last]
+        inside = member + d < last
+        member, last = member[inside], last[inside]
         # Members are sorted by size: further ones are larger still.
         near = 100 * size[member].astype(np.int64) >= percent * size[member + d].astype(np.int64)
         member, last = member[near], last[near]
-        need = settled(member, member + d)
-        found.append((member[need], member[need] + d))
-        held += int(need.sum())
-        if held > 2_000_000:
-            yield ordered(*(np.concatenate(x) for x in zip(*found, strict=True)))
-            found, held = [], 0
+        add(member, member + d)
+        if held > 500_000:
+            yield counted()
     for a, b in zip(begin[~short].tolist(), end[~short].tolist(), strict=True):
         for lo in range(a, b, block):
             x = np.arange(lo, min(b, lo + block))
+            # Blocks of sets that are too large for the largest of these are skipped.
             top = int(np.searchsorted(size[a:b], 100 * int(size[x[-1]]) // percent, "right")) + a
             for low in range(lo, top, block):
                 y = np.arange(low, min(top, low + block))
                 if labels[x].min() == labels[x].max() == labels[y].min() == labels[y].max():
                     continue
                 one, two = np.meshgrid(x, y, indexing="ij")
-                one, two = one[one < two], two[one < two]
-                need = settled(one, two)
-                found.append((one[need], two[need]))
-                held += int(need.sum())
-                if held > 2_000_000:
-                    yield ordered(*(np.concatenate(p) for p in zip(*found, strict=True)))
-                    found, held = [], 0
+                inside = one < two
+                add(one[inside], two[inside])
+                if held > 500_000:
+                    yield counted()
     if held:
-        yield ordered(*(np.concatenate(x) for x in zip(*found, strict=True)))
+        yield counted()
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -305,7 +305,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     labelled = written(labelled.select("id", F.coalesce("label", "id").alias("label")), "jaccard-labels")
     index = in_tasks(rows.join(labelled, "id").select("id", "text", "label"), _indexed(shingle, percent, common, parts), "part int, n int, blob binary")
     index = index.repartition(parts, "part").sortWithinPartitions("part")
-    pairs = in_tasks(index, _candidates(percent), "a long, b long").distinct()
+    pairs = in_tasks(index, _candidates(percent), "a long, b long, a_size long, b_size long, n long")
+    pairs = pairs.groupBy("a", "b", "a_size", "b_size").agg(F.sum("n").alias("n"))
+    # What the first shingles do not show is in the rest of one of the sets.
+    rest = F.greatest(*(F.ceil(F.col(x) * percent / 100) - 1 for x in ("a_size", "b_size")))
+    pairs = pairs.where((F.col("n") + rest) * (100 + percent) >= percent * (F.col("a_size") + F.col("b_size"))).select("a", "b").distinct()
     tried = met.select("a", "b")
     pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
     more = written(linked(pairs, texts, shingle, percent), "jaccard-more")
