@@ -5,7 +5,7 @@ A document's set is its distinct shingles of five words. Two documents link when
 order puts shingles of many documents last, so lists of the index are short.
 
 What one set's answers say about another's is used three times. Equal sets are one class with one set that stands for all.
-Sets that agree in a few minimum hashes are first compared with one leader each, and those that link are one component from
+Sets that agree in a few minimum hashes are first compared with one leader each, the most central one, and those that link are one component from
 then on: whatever a member links to, its component has. In the index, a list's members are sorted by size, and
 
 * blocks of sets that are too large for a set are skipped,
@@ -36,8 +36,8 @@ from gridmart.llm.words import Words, mixed, ranges, signed, windows, words_of
 
 SHINGLE, PERCENT = 5, 75
 BINS, BANDS = 32, 8
-#: A shingle is common if that many of a task's documents have it and if its counts add up to a thousandth of all.
-COMMON_IN_TASK, COMMON_LEAST, COMMON_PART = 4, 64, 1000
+#: A shingle is common if that many documents of a batch have it and its counts add up to that part of all documents.
+COMMON_IN_TASK, COMMON_LEAST, COMMON_PART = 2, 64, 4000
 LIST_ROWS = 600_000
 SKETCH = "kind int, doc_id long, size long, signature long, check long, bands array<long>"
 
@@ -272,13 +272,18 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         return sets.select("doc_id", F.col("size").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     texts = rows.join(written(classes.select("id").distinct(), "jaccard-ids"), "id")
 
-    # Sets that agree in a group of least hashes meet one leader, the smallest id of those.
+    # Sets that agree in a group of least hashes meet one leader, the one that meets the most others in all its groups: the
+    # text that copies were made of is near to all of them, the copies are not near to each other.
     banded = written(classes.select("id", "size", F.explode("bands").alias("band")), "jaccard-bands")
-    leaders = banded.groupBy("band").agg(F.min(F.struct("id", "size")).alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "leader")
+    groups = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    banded = written(banded.join(written(groups, "jaccard-groups"), "band"), "jaccard-grouped")
+    others = written(banded.groupBy("id", "size").agg(F.sum("n").alias("others")), "jaccard-others")
+    banded = written(banded.join(others, ["id", "size"]).select("band", "id", "size", "others"), "jaccard-ranked")
+    leaders = banded.groupBy("band").agg(F.max_by(F.struct("id", "size"), F.struct("others", -F.col("id"))).alias("leader"))
     met = banded.join(written(leaders, "jaccard-leaders"), "band")
     small, large = F.least("size", "leader.size"), F.greatest("size", "leader.size")
     met = met.where((F.col("id") != F.col("leader.id")) & (100 * small >= percent * large))
-    met = written(met.select(F.col("leader.id").alias("a"), F.col("id").alias("b")).distinct(), "jaccard-met")
+    met = written(met.select(F.least("leader.id", "id").alias("a"), F.greatest("leader.id", "id").alias("b")).distinct(), "jaccard-met")
     links = written(linked(met, texts, shingle, percent), "jaccard-links")
     # Rows of one id with several sets are one document.
     own = compared.join(classes.select("signature", "check", "size", "id"), ["signature", "check", "size"])
