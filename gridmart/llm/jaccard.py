@@ -10,10 +10,10 @@ then on: whatever a member links to, its component has. In the index, a list's m
 
 * blocks of sets that are too large for a set are skipped,
 * lists, blocks and pairs of members of one component are skipped,
-* a pair counts what it shares by position: among the first shingles it must share so many that the positions after
-  them can make up the rest of the needed intersection.
+* pairs whose positions in a list leave too little after them for the needed intersection are skipped.
 
-What is left is compared exactly, on the whole texts. Candidates are no pairs within a group, as long as its members
+Of what is left, bit maps of the sets rule out pairs that differ in too many shingles, and the rest is compared exactly, on
+the whole texts. Candidates are no pairs within a group, as long as its members
 link to their leaders; nothing is capped, and what the leaders do not settle is compared pair by pair.
 
 Texts are lower-cased (A-Z). A text of fewer than five words is one shingle as a whole; without words a document has no
@@ -39,7 +39,7 @@ BINS, BANDS = 32, 8
 #: A shingle is common if that many documents of a batch have it and its counts add up to that part of all documents.
 COMMON_IN_TASK, COMMON_LEAST, COMMON_PART = 2, 64, 4000
 LIST_ROWS = 600_000
-SKETCH = "kind int, doc_id long, size long, signature long, check long, bands array<long>"
+SKETCH = "kind int, doc_id long, size long, signature long, check long, bands array<long>, bits binary"
 
 
 def shingle_sets(words: Words, shingle: int) -> list[np.ndarray]:
@@ -74,6 +74,38 @@ def bands(own: np.ndarray) -> list[int]:
     return keys[filled.reshape(BANDS, -1).any(axis=1)].view(np.int64).tolist()
 
 
+def bitmap(own: np.ndarray) -> bytes:
+    """As many bits as the set has shingles, rounded up to a power of two; each shingle turns one over.
+
+    The bits in which two maps differ are no more than the shingles in which the sets differ.
+    """
+    n = max(64, 1 << (len(own) - 1).bit_length())
+    counts = np.bincount((own & np.uint64(n - 1)).astype(np.int64), minlength=n)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def _may_link(percent: int) -> Callable:
+    """Pairs whose maps leave room for the needed intersection."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = []
+            columns = (batch.column(c).to_pylist() for c in ("a_size", "b_size", "a_bits", "b_bits"))
+            for i, (m, n, x, y) in enumerate(zip(*columns, strict=True)):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                size = min(len(x), len(y))
+                # A longer map is folded: its halves turn each other over.
+                x, y = (np.bitwise_xor.reduce(z.reshape(-1, size), axis=0) for z in (x, y))
+                apart = int(np.bitwise_count(x ^ y).sum())
+                most = (m + n - apart) // 2
+                if 100 * most >= percent * (m + n - most):
+                    kept.append(i)
+            rows = batch.take(pa.array(kept, pa.int64()))
+            yield pa.RecordBatch.from_arrays([rows.column("a"), rows.column("b")], names=["a", "b"])
+
+    return run
+
+
 def _sketched(shingle: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -81,15 +113,15 @@ def _sketched(shingle: int) -> Callable:
             for words in words_of(batch.column(1), lower=True):
                 for i, own in enumerate(shingle_sets(words, shingle), words.first):
                     if len(own):
-                        rows.append((0, ids[i], len(own), *signature(own), bands(own)))
+                        rows.append((0, ids[i], len(own), *signature(own), bands(own), bitmap(own)))
                         seen.append(own)
                     else:
-                        rows.append((0, ids[i], 0, 0, 0, []))
+                        rows.append((0, ids[i], 0, 0, 0, [], None))
             if seen:
                 values, counts = np.unique(np.concatenate(seen), return_counts=True)
                 often = counts >= COMMON_IN_TASK
-                rows += [(1, None, c, v, 0, []) for v, c in zip(values[often].view(np.int64).tolist(), counts[often].tolist(), strict=True)]
-            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+                rows += [(1, None, c, v, 0, [], None) for v, c in zip(values[often].view(np.int64).tolist(), counts[often].tolist(), strict=True)]
+            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
             names = [x.split()[0] for x in SKETCH.split(", ")]
             for lo in range(0, len(rows), 50_000):
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows[lo : lo + 50_000], strict=True), kinds, strict=True)], names=names)
@@ -144,7 +176,7 @@ def _indexed(shingle: int, percent: int, common, parts: int) -> Callable:
                         if is_late.any():
                             rest = own[is_late][np.argsort(ranks[place[is_late]])]
                             own = np.concatenate((own[~is_late], rest))
-                    out.append((own[:first], np.full(first, ids[i]), np.full(first, labels[i]), np.full(first, n, np.int32)))
+                    out.append((own[:first], np.full(first, ids[i]), np.full(first, labels[i]), np.full(first, n, np.int32), np.arange(first, dtype=np.int32)))
             if not out:
                 continue
             columns = [np.concatenate(x) for x in zip(*out, strict=True)]
@@ -160,7 +192,7 @@ def _indexed(shingle: int, percent: int, common, parts: int) -> Callable:
     return run
 
 
-_KINDS = (np.uint64, np.int64, np.int64, np.int32)
+_KINDS = (np.uint64, np.int64, np.int64, np.int32, np.int32)
 
 
 def _candidates(percent: int) -> Callable:
@@ -172,7 +204,7 @@ def _candidates(percent: int) -> Callable:
         def pairs() -> Iterator[pa.RecordBatch]:
             found = candidates([np.concatenate([x[i] for x in held]) for i in range(len(_KINDS))], percent)
             for columns in found:
-                yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in columns], names=["a", "b", "a_size", "b_size", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in columns], names=["a", "b"])
 
         for batch in batches:
             for p, n, blob in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
@@ -191,13 +223,10 @@ def _candidates(percent: int) -> Callable:
 
 
 def candidates(columns: list[np.ndarray], percent: int, block: int = 1024) -> Iterator[tuple[np.ndarray, ...]]:
-    """Pairs of one part's lists that no relation settles, and how many of the part's shingles they share.
-
-    Ids of both, the smaller one first, sizes of both, and the count; a pair can come several times.
-    """
+    """Pairs of one part's lists that no relation settles, smaller id first; a pair can come several times."""
     order = np.lexsort((columns[3], columns[0]))  # by shingle, then by size
-    h, ids, labels, size = (x[order] for x in columns)
-    sets, set_of = np.unique(np.rec.fromarrays((ids, size)), return_inverse=True)
+    h, ids, labels, size, at = (x[order] for x in columns)
+    known, number = np.unique(ids, return_inverse=True)
     begin = np.concatenate(([0], np.flatnonzero(h[1:] != h[:-1]) + 1))
     end = np.append(begin[1:], len(h))
     # Lists whose members are all of one component have nothing to compare.
@@ -206,7 +235,10 @@ def candidates(columns: list[np.ndarray], percent: int, block: int = 1024) -> It
 
     def open_(x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Of two arrays of members, ``x`` the smaller sets: which pairs need a comparison."""
-        return (labels[x] != labels[y]) & (100 * size[x].astype(np.int64) >= percent * size[y].astype(np.int64))
+        need = (labels[x] != labels[y]) & (100 * size[x].astype(np.int64) >= percent * size[y].astype(np.int64))
+        # If this is the first shingle that they share, no more than the smaller rest can be shared.
+        most = np.minimum(size[x] - at[x], size[y] - at[y]).astype(np.int64)
+        return need & (100 * most >= percent * (size[x].astype(np.int64) + size[y] - most))
 
     found: list[np.ndarray] = []
     held = 0
@@ -214,17 +246,16 @@ def candidates(columns: list[np.ndarray], percent: int, block: int = 1024) -> It
     def add(x: np.ndarray, y: np.ndarray) -> None:
         nonlocal held
         need = open_(x, y)
-        a, b = set_of[x[need]], set_of[y[need]]
-        found.append(np.minimum(a, b) * len(sets) + np.maximum(a, b))
+        a, b = number[x[need]], number[y[need]]
+        found.append(np.minimum(a, b) * len(known) + np.maximum(a, b))
         held += len(a)
 
-    def counted() -> tuple[np.ndarray, ...]:
+    def distinct() -> tuple[np.ndarray, ...]:
         nonlocal held
-        keys, counts = np.unique(np.concatenate(found), return_counts=True)
+        keys = np.unique(np.concatenate(found))
         found.clear()
         held = 0
-        a, b = sets[keys // len(sets)], sets[keys % len(sets)]
-        return a.f0, b.f0, a.f1, b.f1, counts
+        return known[keys // len(known)], known[keys % len(known)]
 
     short = end - begin <= 64
     starts, lengths = begin[short], (end - begin)[short]
@@ -238,7 +269,7 @@ def candidates(columns: list[np.ndarray], percent: int, block: int = 1024) -> It
         member, last = member[near], last[near]
         add(member, member + d)
         if held > 500_000:
-            yield counted()
+            yield distinct()
     for a, b in zip(begin[~short].tolist(), end[~short].tolist(), strict=True):
         for lo in range(a, b, block):
             x = np.arange(lo, min(b, lo + block))
@@ -252,9 +283,9 @@ def candidates(columns: list[np.ndarray], percent: int, block: int = 1024) -> It
                 inside = one < two
                 add(one[inside], two[inside])
                 if held > 500_000:
-                    yield counted()
+                    yield distinct()
     if held:
-        yield counted()
+        yield distinct()
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -262,11 +293,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     sketch = written(in_tasks(rows, _sketched(shingle), SKETCH), "jaccard-sketch")
-    sets = sketch.where("kind = 0").select("doc_id", "size", "signature", "check", "bands")
+    sets = sketch.where("kind = 0").select("doc_id", "size", "signature", "check", "bands", "bits")
     compared = sets.where("size > 0 and doc_id is not null")
 
     # One document stands for all with the same set.
-    classes = written(compared.groupBy("signature", "check", "size").agg(F.min("doc_id").alias("id"), F.min("bands").alias("bands")), "jaccard-classes")
+    classes = written(compared.groupBy("signature", "check", "size").agg(F.min("doc_id").alias("id"), F.min("bands").alias("bands"), F.min("bits").alias("bits")), "jaccard-classes")
     total = classes.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("size")).alias("size")).first()
     if not total["n"]:
         return sets.select("doc_id", F.col("size").alias("n_shingles"), F.col("doc_id").alias("component_id"))
@@ -310,13 +341,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     labelled = written(labelled.select("id", F.coalesce("label", "id").alias("label")), "jaccard-labels")
     index = in_tasks(rows.join(labelled, "id").select("id", "text", "label"), _indexed(shingle, percent, common, parts), "part int, n int, blob binary")
     index = index.repartition(parts, "part").sortWithinPartitions("part")
-    pairs = in_tasks(index, _candidates(percent), "a long, b long, a_size long, b_size long, n long")
-    pairs = pairs.groupBy("a", "b", "a_size", "b_size").agg(F.sum("n").alias("n"))
-    # What the first shingles do not show is in the rest of one of the sets.
-    rest = F.greatest(*(F.ceil(F.col(x) * percent / 100) - 1 for x in ("a_size", "b_size")))
-    pairs = pairs.where((F.col("n") + rest) * (100 + percent) >= percent * (F.col("a_size") + F.col("b_size"))).select("a", "b").distinct()
+    pairs = in_tasks(index, _candidates(percent), "a long, b long").distinct()
     tried = met.select("a", "b")
     pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
+    bits = classes.select("id", "size", "bits")
+    pairs = pairs.join(bits.withColumnsRenamed({"id": "a", "size": "a_size", "bits": "a_bits"}), "a")
+    pairs = pairs.join(bits.withColumnsRenamed({"id": "b", "size": "b_size", "bits": "b_bits"}), "b")
+    pairs = written(in_tasks(pairs, _may_link(percent), "a long, b long").distinct(), "jaccard-near")
     more = written(linked(pairs, texts, shingle, percent), "jaccard-more")
 
     # Components of both kinds of links, back to all documents.
