@@ -1,0 +1,21 @@
+"""The pipeline's stages on the smallest sample, one after the other."""
+
+from corpus_pipeline import STAGES
+from gridmart.llm.tables import written
+
+SAMPLE = "/root/testdata/sf0.001"
+
+
+def test_stages_keep_columns_and_decide(spark):
+    docs = spark.read.parquet(f"{SAMPLE}/documents.parquet")
+    before, columns = docs.count(), docs.columns
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, SAMPLE), name)
+        assert docs.columns == columns
+        assert 0 < docs.count() <= before
+        before = docs.count()
+    pieces = STAGES[-1][1](spark, docs, SAMPLE)
+    assert pieces.where("start = 0").count() == before
+    empty = spark.read.parquet(f"{SAMPLE}/documents.parquet").limit(0)
+    for _, stage in STAGES:
+        assert stage(spark, empty, SAMPLE).count() == 0
