@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from gridmart.llm.tables import in_tasks
 from gridmart.llm.words import Words, ranges, span_hashes, words_of
 
-MAX_TOXIC, MAX_OTHER, MAX_CHARS = 2000, 4000, 10_000
+MAX_TOXIC, MAX_OTHER, MAX_CHARS = 1000, 2000, 10_000
 WINDOW, STRIDE = 32, 24
 UNITS, ATTENTION, INPUTS = 8, 8, 6
 WORD_BITS, GRAM_BITS, GRAMS = 17, 18, (3, 4, 5)
@@ -73,9 +73,9 @@ def vocabulary(words: Words) -> Vocabulary:
         place = np.arange(int(edge[-1])) + np.repeat(begin[:-1] - edge[:-1], count)
         size = np.repeat(np.minimum(lengths + 2, n), count)
         found = ranges(values, place, size)
-        grams.append((found >> np.uint64(64 - GRAM_BITS)).astype(np.int64))
+        grams.append((found >> np.uint64(64 - GRAM_BITS)).astype(np.int32))
         bounds.append(edge[:-1])
-    return Vocabulary((keys >> np.uint64(64 - WORD_BITS)).astype(np.int64), grams, bounds, inverse)
+    return Vocabulary((keys >> np.uint64(64 - WORD_BITS)).astype(np.int32), grams, bounds, inverse.astype(np.int32))
 
 
 def odds(toxic: np.ndarray, other: np.ndarray, n_toxic: float, n_other: float) -> np.ndarray:
@@ -216,7 +216,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * top + self.shift, -60, 60)))
 
 
-def highest(network: Network, features: np.ndarray, inverse: np.ndarray, counts: np.ndarray, at_once: int = 8192) -> tuple[np.ndarray, np.ndarray]:
+def highest(network: Network, features: np.ndarray, inverse: np.ndarray, counts: np.ndarray, at_once: int = 4096) -> tuple[np.ndarray, np.ndarray]:
     """Text and output of every window."""
     text, first, length = cut(counts)
     features = np.vstack((features, np.zeros((1, INPUTS), np.float32)))
