@@ -621,8 +621,8 @@ def alert_windows_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "events").schema
     streaming = spark.newSession()
     streaming.conf.set("spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism)
-    files = streaming.readStream.schema(schema).option("pathGlobFilter", "events*.parquet")
-    runs = files.parquet(sf_dir)
+    # The pattern is part of the path, so that a folder of part files is read like a single file.
+    runs = streaming.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet")
     out = new_scratch(spark, "alerts")
     alerts = alert_windows(runs, is_failure(), "event_type")
     write_alerts(alerts, f"{out}/rows", f"{out}/progress").awaitTermination()
