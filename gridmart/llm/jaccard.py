@@ -12,8 +12,8 @@ then on: whatever a member links to, its component has. In the index, a list's m
 * lists, blocks and pairs of members of one component are skipped,
 * pairs whose positions in a list leave too little after them for the needed intersection are skipped.
 
-Of what is left, bit maps of the sets rule out pairs that differ in too many shingles, and the rest is compared exactly, on
-the whole texts. Candidates are no pairs within a group, as long as its members
+Of what is left, and of the pairs with leaders, bit maps of the sets rule out those that differ in too many shingles, and the
+rest is compared exactly, on the whole texts. Candidates are no pairs within a group, as long as its members
 link to their leaders; nothing is capped, and what the leaders do not settle is compared pair by pair.
 
 Texts are lower-cased (A-Z). A text of fewer than five words is one shingle as a whole; without words a document has no
@@ -148,51 +148,86 @@ def _compared(shingle: int, percent: int) -> Callable:
     return run
 
 
-def linked(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of documents whose sets link; ``texts`` has id and text."""
+def with_room(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose bit maps do not rule a link out; ``classes`` has id, size and bits."""
+    bits = classes.select("id", "size", "bits")
+    pairs = pairs.join(bits.withColumnsRenamed({"id": "a", "size": "a_size", "bits": "a_bits"}), "a")
+    pairs = pairs.join(bits.withColumnsRenamed({"id": "b", "size": "b_size", "bits": "b_bits"}), "b")
+    return in_tasks(pairs, _may_link(percent), "a long, b long").distinct()
+
+
+def linked(pairs: DataFrame, rows: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of documents whose sets link; ``rows`` has id and text, and only texts in pairs move."""
+    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "jaccard-ids")
+    texts = rows.join(ids, "id", "left_semi").dropDuplicates(["id", "text"])
     with_x = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("x_text")), "a")
     both = with_x.join(texts.select(F.col("id").alias("b"), F.col("text").alias("y_text")), "b")
     return in_tasks(both.select("a", "b", "x_text", "y_text"), _compared(shingle, percent), "a long, b long").distinct()
 
 
-def _indexed(shingle: int, percent: int, common, parts: int) -> Callable:
-    """The first shingles of each document, dealt to parts by shingle, as arrays."""
+def _firsts(shingle: int, percent: int, common) -> Callable:
+    """The first shingles of each document, common ones last: ``(id, n, firsts)``, ``n`` of them in its whole set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        late = common.value  # common shingles, ascending by hash, and their ranks
-        hashes, ranks = late
+        hashes, ranks = common.value  # common shingles, ascending by hash, and their ranks
         for batch in batches:
-            ids, labels = (batch.column(x).to_numpy() for x in ("id", "label"))
-            out: list[tuple[np.ndarray, ...]] = []
+            ids = batch.column("id")
             for words in words_of(batch.column("text"), lower=True):
+                rows = []
                 for i, own in enumerate(shingle_sets(words, shingle), words.first):
                     n = len(own)
                     if not n:
                         continue
-                    first = n - -(-percent * n // 100) + 1
                     if len(hashes):
                         place = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)
                         is_late = hashes[place] == own
                         if is_late.any():
                             rest = own[is_late][np.argsort(ranks[place[is_late]])]
                             own = np.concatenate((own[~is_late], rest))
-                    out.append((own[:first], np.full(first, ids[i]), np.full(first, labels[i]), np.full(first, n, np.int32), np.arange(first, dtype=np.int32)))
-            if not out:
+                    rows.append((ids[i].as_py(), n, own[: n - -(-percent * n // 100) + 1].tobytes()))
+                if rows:
+                    columns = [pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.binary()), strict=True)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "firsts"])
+
+    return run
+
+
+def _dealt(parts: int) -> Callable:
+    """The entries of the index, dealt to parts by shingle, packed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            columns = [np.concatenate(x) for x in zip(*out, strict=True)]
-            part = (columns[0] >> np.uint64(11)) % np.uint64(parts)
+            firsts = batch.column("firsts").to_pylist()
+            length = np.array([len(x) // 8 for x in firsts])
+            shingles = np.frombuffer(b"".join(firsts), np.uint64)
+            at = (np.arange(len(shingles)) - np.repeat(np.cumsum(length) - length, length)).astype(np.int32)
+            columns = [shingles, *(np.repeat(batch.column(x).to_numpy(), length) for x in ("id", "label", "n")), at]
+            part = (shingles >> np.uint64(11)) % np.uint64(parts)
             order = np.argsort(part, kind="stable")
             edges = np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64))
             columns = [x[order] for x in columns]
             for p in np.flatnonzero(np.diff(edges)).tolist():
                 a, b = int(edges[p]), int(edges[p + 1])
-                blob = b"".join([np.ascontiguousarray(x[a:b]).tobytes() for x in columns])
+                blob = packed([x[a:b] for x in columns])
                 yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([b - a], pa.int32()), pa.array([blob], pa.binary())], names=["part", "n", "blob"])
 
     return run
 
 
-_KINDS = (np.uint64, np.int64, np.int64, np.int32, np.int32)
+def packed(columns: list[np.ndarray]) -> bytes:
+    """Shingle, id, label, size and position of entries: the shingles as they are, the others as differences, compressed."""
+    shingles, ids, labels, size, at = columns
+    rest = (np.diff(ids, prepend=np.int64(0)), labels - ids, size.astype(np.int32), at)
+    return shingles.tobytes() + pa.compress(b"".join(x.tobytes() for x in rest), codec="zstd", asbytes=True)
+
+
+def unpacked(n: int, blob: bytes) -> list[np.ndarray]:
+    rest = pa.decompress(memoryview(blob)[8 * n :], decompressed_size=24 * n, codec="zstd", asbytes=True)
+    ids = np.cumsum(np.frombuffer(rest, np.int64, n))
+    labels = np.frombuffer(rest, np.int64, n, 8 * n) + ids
+    return [np.frombuffer(blob, np.uint64, n), ids, labels, np.frombuffer(rest, np.int32, n, 16 * n), np.frombuffer(rest, np.int32, n, 20 * n)]
 
 
 def _candidates(percent: int) -> Callable:
@@ -202,7 +237,7 @@ def _candidates(percent: int) -> Callable:
         part, held = None, []
 
         def pairs() -> Iterator[pa.RecordBatch]:
-            found = candidates([np.concatenate([x[i] for x in held]) for i in range(len(_KINDS))], percent)
+            found = candidates([np.concatenate([x[i] for x in held]) for i in range(5)], percent)
             for columns in found:
                 yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in columns], names=["a", "b"])
 
@@ -211,11 +246,8 @@ def _candidates(percent: int) -> Callable:
                 if p != part and held:
                     yield from pairs()
                     held = []
-                part, at, columns = p, 0, []
-                for kind in _KINDS:
-                    columns.append(np.frombuffer(blob, kind, n, at))
-                    at += columns[-1].nbytes
-                held.append(columns)
+                part = p
+                held.append(unpacked(n, blob))
         if held:
             yield from pairs()
 
@@ -301,7 +333,6 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     total = classes.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("size")).alias("size")).first()
     if not total["n"]:
         return sets.select("doc_id", F.col("size").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    texts = rows.join(written(classes.select("id").distinct(), "jaccard-ids"), "id")
 
     # Sets that agree in a group of least hashes meet one leader, the one that meets the most others in all its groups: the
     # text that copies were made of is near to all of them, the copies are not near to each other.
@@ -315,7 +346,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     small, large = F.least("size", "leader.size"), F.greatest("size", "leader.size")
     met = met.where((F.col("id") != F.col("leader.id")) & (100 * small >= percent * large))
     met = written(met.select(F.least("leader.id", "id").alias("a"), F.greatest("leader.id", "id").alias("b")).distinct(), "jaccard-met")
-    links = written(linked(met, texts, shingle, percent), "jaccard-links")
+    near = written(with_room(met, classes, percent), "jaccard-near")
+    links = written(linked(near, rows, shingle, percent), "jaccard-links")
     # Rows of one id with several sets are one document.
     own = compared.join(classes.select("signature", "check", "size", "id"), ["signature", "check", "size"])
     own = written(own.select("doc_id", "signature", "check", "size", "id"), "jaccard-members")
@@ -339,16 +371,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     parts = max(1, int(total["size"]) * (100 - percent) // 100 // LIST_ROWS + 1)
     labelled = classes.select("id").distinct().join(first.withColumnRenamed("node", "id"), "id", "left")
     labelled = written(labelled.select("id", F.coalesce("label", "id").alias("label")), "jaccard-labels")
-    index = in_tasks(rows.join(labelled, "id").select("id", "text", "label"), _indexed(shingle, percent, common, parts), "part int, n int, blob binary")
+    firsts = in_tasks(rows, _firsts(shingle, percent, common), "id long, n int, firsts binary").join(labelled, "id")
+    index = in_tasks(firsts, _dealt(parts), "part int, n int, blob binary")
     index = index.repartition(parts, "part").sortWithinPartitions("part")
     pairs = in_tasks(index, _candidates(percent), "a long, b long").distinct()
-    tried = met.select("a", "b")
-    pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
-    bits = classes.select("id", "size", "bits")
-    pairs = pairs.join(bits.withColumnsRenamed({"id": "a", "size": "a_size", "bits": "a_bits"}), "a")
-    pairs = pairs.join(bits.withColumnsRenamed({"id": "b", "size": "b_size", "bits": "b_bits"}), "b")
-    pairs = written(in_tasks(pairs, _may_link(percent), "a long, b long").distinct(), "jaccard-near")
-    more = written(linked(pairs, texts, shingle, percent), "jaccard-more")
+    pairs = written(pairs.join(met, ["a", "b"], "left_anti"), "jaccard-pairs")
+    near = written(with_room(pairs, classes, percent), "jaccard-near")
+    more = written(linked(near, rows, shingle, percent), "jaccard-more")
 
     # Components of both kinds of links, back to all documents.
     label = components(first.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more))
