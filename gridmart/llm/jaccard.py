@@ -27,6 +27,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +39,7 @@ SHINGLE, PERCENT = 5, 75
 BINS, BANDS = 32, 8
 #: A shingle is common if that many documents of a batch have it and its counts add up to that part of all documents.
 COMMON_IN_TASK, COMMON_LEAST, COMMON_PART = 2, 64, 4000
-LIST_ROWS = 600_000
+LIST_ROWS, ENTRIES = 600_000, 250_000
 SKETCH = "kind int, doc_id long, size long, signature long, check long, bands array<long>, bits binary"
 
 
@@ -90,9 +91,9 @@ def _may_link(percent: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = []
-            columns = (batch.column(c).to_pylist() for c in ("a_size", "b_size", "a_bits", "b_bits"))
-            for i, (m, n, x, y) in enumerate(zip(*columns, strict=True)):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            sizes = (batch.column(c).to_numpy() for c in ("a_size", "b_size"))
+            for i, (m, n, x, y) in enumerate(zip(*sizes, batch.column("a_bits"), batch.column("b_bits"), strict=True)):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 size = min(len(x), len(y))
                 # A longer map is folded: its halves turn each other over.
                 x, y = (np.bitwise_xor.reduce(z.reshape(-1, size), axis=0) for z in (x, y))
@@ -100,7 +101,7 @@ def _may_link(percent: int) -> Callable:
                 most = (m + n - apart) // 2
                 if 100 * most >= percent * (m + n - most):
                     kept.append(i)
-            rows = batch.take(pa.array(kept, pa.int64()))
+            rows = batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
             yield pa.RecordBatch.from_arrays([rows.column("a"), rows.column("b")], names=["a", "b"])
 
     return run
@@ -142,7 +143,7 @@ def _compared(shingle: int, percent: int) -> Callable:
                     same = len(np.intersect1d(x, y, assume_unique=True))
                     if same and 100 * same >= percent * (len(x) + len(y) - same):
                         kept.append(i)
-            rows = batch.take(pa.array(kept, pa.int64()))
+            rows = batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
             yield pa.RecordBatch.from_arrays([rows.column("a"), rows.column("b")], names=["a", "b"])
 
     return run
@@ -193,25 +194,32 @@ def _firsts(shingle: int, percent: int, common) -> Callable:
 
 
 def _dealt(parts: int) -> Callable:
-    """The entries of the index, dealt to parts by shingle, packed."""
+    """The entries of the index, dealt to parts by shingle, packed; ``ENTRIES`` at a time, or those of one document."""
+
+    def packs(ids: np.ndarray, labels: np.ndarray, sizes: np.ndarray, firsts: list[bytes]) -> Iterator[pa.RecordBatch]:
+        length = np.array([len(x) // 8 for x in firsts])
+        shingles = np.frombuffer(b"".join(firsts), np.uint64)
+        part = ((shingles >> np.uint64(11)) % np.uint64(parts)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        edges = np.searchsorted(part[order], np.arange(parts + 1))
+        row = np.repeat(np.arange(len(firsts)), length)[order]
+        at = (order - (np.cumsum(length) - length)[row]).astype(np.int32)
+        for p in np.flatnonzero(np.diff(edges)).tolist():
+            some = slice(int(edges[p]), int(edges[p + 1]))
+            own = row[some]
+            blob = packed([shingles[order[some]], ids[own], labels[own], sizes[own], at[some]])
+            yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([len(own)], pa.int32()), pa.array([blob], pa.binary())], names=["part", "n", "blob"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            firsts = batch.column("firsts").to_pylist()
-            length = np.array([len(x) // 8 for x in firsts])
-            shingles = np.frombuffer(b"".join(firsts), np.uint64)
-            at = (np.arange(len(shingles)) - np.repeat(np.cumsum(length) - length, length)).astype(np.int32)
-            columns = [shingles, *(np.repeat(batch.column(x).to_numpy(), length) for x in ("id", "label", "n")), at]
-            part = (shingles >> np.uint64(11)) % np.uint64(parts)
-            order = np.argsort(part, kind="stable")
-            edges = np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64))
-            columns = [x[order] for x in columns]
-            for p in np.flatnonzero(np.diff(edges)).tolist():
-                a, b = int(edges[p]), int(edges[p + 1])
-                blob = packed([x[a:b] for x in columns])
-                yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([b - a], pa.int32()), pa.array([blob], pa.binary())], names=["part", "n", "blob"])
+            columns = [batch.column(x).to_numpy() for x in ("id", "label", "n")]
+            firsts = batch.column("firsts")
+            ends = np.cumsum(pc.binary_length(firsts).to_numpy().astype(np.int64) // 8)
+            lo = 0
+            while lo < batch.num_rows:
+                hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + ENTRIES, "right")))
+                yield from packs(*(x[lo:hi] for x in columns), firsts.slice(lo, hi - lo).to_pylist())
+                lo = hi
 
     return run
 
