@@ -367,14 +367,13 @@ _QUERIES: dict[str, str] = {
     "climate_full_outer": """
         SELECT state_code, year, month, t.avg_temperature, c.cooling_degree_days,
                h.heating_degree_days, p.precipitation
-        FROM (SELECT state_code, year, month, avg_temperature FROM stg_climate
-              WHERE avg_temperature IS NOT NULL) t
-        FULL JOIN (SELECT state_code, year, month, cooling_degree_days FROM stg_climate
-              WHERE cooling_degree_days >= 50) c USING (state_code, year, month)
-        FULL JOIN (SELECT state_code, year, month, heating_degree_days FROM stg_climate
-              WHERE heating_degree_days >= 300000) h USING (state_code, year, month)
-        FULL JOIN (SELECT state_code, year, month, precipitation FROM stg_climate
-              WHERE precipitation < 50000) p USING (state_code, year, month)""",
+        FROM (SELECT state_code, year, month, avg_temperature FROM stg_climate) t
+        FULL JOIN (SELECT state_code, year + 1 AS year, month, cooling_degree_days FROM stg_climate) c
+            USING (state_code, year, month)
+        FULL JOIN (SELECT state_code, year + 2 AS year, month, heating_degree_days FROM stg_climate) h
+            USING (state_code, year, month)
+        FULL JOIN (SELECT state_code, year + 3 AS year, month, precipitation FROM stg_climate) p
+            USING (state_code, year, month)""",
     "retail_unpivot": _UNPIVOTED,
     "min_year_filter": f"{_UNPIVOTED} WHERE m.year >= 1998",
     "fixed_width_parse": _PARSED_CLIMATE,
@@ -454,6 +453,10 @@ _QUERIES: dict[str, str] = {
         SELECT * REPLACE ({_day('period')},
                CASE WHEN period = DATE '2000-06-01' THEN sales_mwh * 2 ELSE sales_mwh END AS sales_mwh)
         FROM stg_retail""",
+    "staging_reload_misfiled": f"""
+        SELECT * REPLACE (CASE WHEN period = (SELECT max(period) FROM stg_retail) AND sector = 'Commercial'
+                               THEN '2000-06-01' ELSE {_DAY.format('period')} END AS period)
+        FROM stg_retail""",
     "fact_incremental_delta": f"""
         SELECT {_day('period')}, state_code, sector, sales_mwh FROM stg_retail
         WHERE period > DATE '2000-12-01' OR (period = DATE '2000-12-01' AND sector = 'Total')""",

@@ -28,6 +28,7 @@ from gridmart.plans import ingest, measures, reports, views
 from gridmart.plans.pipeline import run_pipeline
 from gridmart.plans.staging import reload_dataset, staging_watermark
 from gridmart.plans.warehouse import (
+    STAGED_BY,
     Warehouse,
     fact_delta,
     fact_watermark,
@@ -217,14 +218,13 @@ def climate_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 def climate_full_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
     climate = warehouse(spark, sf_dir).staging("climate")
     keys = ["state_code", "year", "month"]
-    kept = {
-        "avg_temperature": F.col("avg_temperature").isNotNull(),
-        "cooling_degree_days": F.col("cooling_degree_days") >= 50,
-        "heating_degree_days": F.col("heating_degree_days") >= 300000,
-        "precipitation": F.col("precipitation") < 50000,
-    }
+    # Whole inputs; each metric begins and ends a year later than the one before it.
     return full_outer_merge(
-        [climate.where(rows).select(*keys, metric) for metric, rows in kept.items()], keys
+        [
+            climate.withColumn("year", F.col("year") + later).select(*keys, metric)
+            for later, metric in enumerate(CLIMATE_METRICS)
+        ],
+        keys,
     )
 
 
@@ -309,8 +309,8 @@ def ingest_line_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     value, year = F.col("value"), F.col("year")
     damaged = (
         F.when(year == 1995, F.substring(value, 1, 8))
-        .when(year == 1996, F.concat(F.substring(value, 1, 6), F.lit("199x"), value.substr(11, 1000)))
-        .when(year == 1997, F.concat(F.substring(value, 1, 3), F.lit("099"), value.substr(7, 1000)))
+        .when(year == 1996, F.concat(F.substring(value, 1, 6), F.lit("199x"), F.expr("substring(value, 11)")))
+        .when(year == 1997, F.concat(F.substring(value, 1, 3), F.lit("099"), F.expr("substring(value, 7)")))
         .when(year == 1998, F.regexp_replace(value, r"\s+\S+$", ""))
         .when(year == 1999, F.regexp_replace(value, r"\s(\S+)$", " 12d"))
         .otherwise(value)
@@ -411,6 +411,22 @@ def staging_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wh.staging("retail")
 
 
+def staging_reload_misfiled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest folder has rows of an older month; they stay in it and the older month stays whole."""
+    curated = new_scratch(spark, "curated")
+    wh = Warehouse(spark, new_scratch(spark, "warehouse"))
+    wh.create()
+    retail = warehouse(spark, sf_dir).staging("retail")
+    newest = retail.agg(F.max("period")).first()[0]
+    astray = (F.col("period") == newest) & (F.col("sector") == "Commercial")
+    tables.write_curated(retail.where(F.col("period") <= LAST_FULL_MONTH), curated, "retail")
+    reload_dataset(wh, curated, "retail", LAST_FULL_MONTH, FIRST_MONTH)
+    misfiled = F.when(astray, F.lit(dt.date(2000, 6, 1))).otherwise(F.col("period"))
+    tables.write_curated(retail.withColumn("period", misfiled), curated, "retail")
+    reload_dataset(wh, curated, "retail", newest, FIRST_MONTH)
+    return wh.staging("retail")
+
+
 def early_retail(retail: DataFrame) -> DataFrame:
     """Rows up to the last full year: one sector of an older month and the total rows of the
     last month are missing, and the sales of the last month are too high."""
@@ -433,7 +449,7 @@ def loaded_with(spark: SparkSession, retail: DataFrame) -> Warehouse:
 
 def restage(wh: Warehouse, retail: DataFrame) -> None:
     tables.write_partitioned(
-        retail, wh.path("stg", "retail"), by=("period",), sort=GRAIN["retail"], mode="overwrite"
+        retail, wh.path("stg", "retail"), by=STAGED_BY, sort=GRAIN["retail"], mode="overwrite"
     )
 
 
@@ -667,6 +683,7 @@ _QUERIES: dict[str, Query] = {
     "staging_watermarks": staging_watermarks,
     "fact_watermarks": fact_watermarks,
     "staging_reload": staging_reload,
+    "staging_reload_misfiled": staging_reload_misfiled,
     "fact_incremental_delta": fact_incremental_delta,
     "fact_after_increment": fact_after_increment,
     "fact_rerun_delta": fact_rerun_delta,

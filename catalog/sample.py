@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
-from gridmart.plans.warehouse import Warehouse, load_warehouse
+from gridmart.plans.warehouse import STAGED_BY, Warehouse, load_warehouse
 from gridmart.schemas import DATASETS, GRAIN
 from gridmart.session import new_scratch
 from gridmart.sources.star_schema import SAMPLE
@@ -26,7 +26,7 @@ def build_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
         write_partitioned(
             SAMPLE[dataset](spark, sf_dir),
             wh.path("stg", dataset),
-            by=("period",),
+            by=STAGED_BY,
             sort=GRAIN[dataset],
             mode="overwrite",
         )

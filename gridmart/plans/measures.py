@@ -15,12 +15,12 @@ from gridmart.fixed_values import REPORTING_THROUGH
 class Measure:
     """A name and the aggregate it stands for, made when it is used.
 
-    A measure of the latest month is taken from monthly sums, see ``evaluate``.
+    With ``latest_of`` it is the sum of that column in the newest month, see ``evaluate``.
     """
 
     name: str
     aggregate: Callable[[], Column]
-    of_latest_month: bool = False
+    latest_of: str | None = None
 
     def column(self) -> Column:
         return self.aggregate().alias(self.name)
@@ -60,7 +60,7 @@ AVERAGE_PRICE = Measure("average_electricity_price", _price)
 CUSTOMERS_LATEST_MONTH = Measure(
     "customers_latest_month",
     lambda: F.max_by("customer_count", "full_date"),
-    of_latest_month=True,
+    latest_of="customer_count",
 )
 SALES_PREVIOUS_YEAR = total("retail_sales_previous_year", "sales_mwh_previous_year")
 SALES_YOY = Measure("retail_sales_yoy", _change)
@@ -87,14 +87,6 @@ AVERAGE_TEMPERATURE = mean("average_temperature", "avg_temperature")
 AVERAGE_CDD = mean("average_monthly_cdd", "cooling_degree_days")
 AVERAGE_HDD = mean("average_monthly_hdd", "heating_degree_days")
 
-_MONTHLY_SUMS = (
-    "sales_mwh",
-    "revenue_thousand_dollars",
-    "customer_count",
-    "sales_mwh_previous_year",
-)
-
-
 def evaluate(
     view: DataFrame,
     measures: Sequence[Measure],
@@ -103,15 +95,33 @@ def evaluate(
 ) -> DataFrame:
     """The measures per group of ``by``, over the rows that pass ``where``.
 
-    For a measure of the latest month the view is summed per group and month first; the newest
-    of these sums is then picked per group. Both steps combine before the shuffle.
+    Columns of latest-month measures are summed per group and month in an aggregate of their own,
+    of which the newest month is picked per group, so they do not touch the other measures. All
+    steps combine before the shuffle.
     """
     rows = view if where is None else view.where(where)
-    if any(measure.of_latest_month for measure in measures):
-        rows = rows.groupBy(*dict.fromkeys([*by, "full_date"])).agg(
-            *[F.sum(name).alias(name) for name in _MONTHLY_SUMS]
-        )
-    return rows.groupBy(*by).agg(*[measure.column() for measure in measures])
+    usual = [measure for measure in measures if measure.latest_of is None]
+    latest = [measure for measure in measures if measure.latest_of is not None]
+    if not latest:
+        return rows.groupBy(*by).agg(*[measure.column() for measure in usual])
+    sums = {name: F.sum(name) for name in dict.fromkeys(m.latest_of for m in latest) if name not in by}
+    month = "_month_of_measure"
+    monthly = rows.withColumn(month, F.col("full_date")).groupBy(*by, month).agg(
+        *[total_.alias(name) for name, total_ in sums.items()]
+    )
+    newest = monthly.groupBy(*by).agg(
+        *[F.max_by(m.latest_of, month).alias(m.name) for m in latest]
+    )
+    if not usual:
+        return newest
+    found = rows.groupBy(*by).agg(*[measure.column() for measure in usual])
+    shown = [measure.name for measure in measures]
+    if not by:  # one row each
+        return found.select("*", *[newest.select(m.name).scalar().alias(m.name) for m in latest]).select(*shown)
+    keys = [f"_key_{i}" for i in range(len(by))]
+    newest = newest.withColumnsRenamed(dict(zip(by, keys, strict=True)))
+    same = [found[name].eqNullSafe(newest[key]) for name, key in zip(by, keys, strict=True)]
+    return found.join(newest, same).select(*by, *shown)
 
 
 def reporting_period(df: DataFrame, through=REPORTING_THROUGH) -> DataFrame:

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from gridmart.fixed_values import BOOTSTRAP_PERIOD
 from gridmart.functions.dates import as_period
-from gridmart.plans.warehouse import Warehouse
+from gridmart.plans.warehouse import STAGED_BY, Warehouse
 from gridmart.schemas import DATASETS, GRAIN
-from gridmart.sources.tables import read_curated_months, write_partitioned
+from gridmart.sources.tables import clear_folders, months, read_curated_months, write_partitioned
 
 
 def staging_watermark(staged: DataFrame, start: dt.date = BOOTSTRAP_PERIOD) -> DataFrame:
@@ -26,17 +26,24 @@ def reload_dataset(
     """Replace the staged months from the watermark through ``newest``, both included.
 
     The watermark month comes again, since it may have been incomplete; older months stay as
-    they are. With ``newest`` before the watermark nothing happens.
+    they are. With ``newest`` before the watermark nothing happens. A month is what the curated
+    folder says: a row of another period stays in its folder, for the gate to report, and touches
+    no other month; a folder without rows leaves none staged.
     """
     watermark = staging_watermark(wh.staging(dataset), start).first().watermark
     if watermark <= newest:
         loaded = read_curated_months(wh.spark, curated, dataset, watermark, newest)
+        replaced = months(wh.spark, watermark, newest).collect()  # one per calendar month
+        stored = wh.path("stg", dataset)
+        clear_folders(
+            wh.spark, [f"{stored}/year={m.period.year}/month={m.period.month}" for m in replaced]
+        )
         write_partitioned(
             loaded,
-            wh.path("stg", dataset),
-            by=("period",),
+            stored,
+            by=STAGED_BY,
             sort=GRAIN[dataset],
-            mode="overwrite",
+            mode="append",
             gather=False,
         )
 

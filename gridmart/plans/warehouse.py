@@ -19,6 +19,10 @@ from gridmart.session import spill
 from gridmart.sources.tables import create_table, read_table, write_partitioned
 
 
+#: Staging folders: the curated folder that a row came from, then the month that the row itself names.
+STAGED_BY = ("year", "month", "period")
+
+
 class Star:
     """The dimensions and facts by name, each read when it is first used."""
 
@@ -36,8 +40,8 @@ class Star:
 class Warehouse:
     """Eleven Parquet tables under one folder.
 
-    Staging is partitioned by ``period`` and facts by ``date_key``: the columns of the watermarks
-    and of the replaced ranges.
+    Staging is partitioned by year and month of the load, the replaced ranges, and by ``period``;
+    facts by ``date_key``. So watermarks and range filters work on folder names.
     """
 
     spark: SparkSession
@@ -49,7 +53,7 @@ class Warehouse:
     def create(self) -> None:
         """Create the tables that do not exist yet."""
         tables = [
-            *[(self.path("stg", name), schema, ("period",)) for name, schema in STAGING.items()],
+            *[(self.path("stg", name), schema, STAGED_BY) for name, schema in STAGING.items()],
             *[(self.path("dw", name), schema, ()) for name, schema in DIMENSIONS.items()],
             *[
                 (self.path("dw", f"fact_{name}"), schema, ("date_key",))
@@ -254,8 +258,25 @@ def fact_delta(staged: DataFrame, star: Star, dataset: str) -> DataFrame:
     )
 
 
-def load_fact(wh: Warehouse, dataset: str, *, add_dates: bool = True) -> None:
-    """Append the new rows of a dataset, after its new months unless those are there for sure."""
+def refresh_views(spark: SparkSession) -> None:
+    """Let the registered views of this session see the files that a load has added."""
+    for table in spark.catalog.listTables():
+        if table.isTemporary and table.name.lower().startswith("vw_"):
+            spark.catalog.refreshTable(table.name)
+
+
+def load_fact(wh: Warehouse, dataset: str) -> None:
+    """Append the new months and rows of a dataset."""
+    append_fact(wh, dataset)
+    refresh_views(wh.spark)
+
+
+def append_fact(wh: Warehouse, dataset: str, *, add_dates: bool = True) -> None:
+    """Append the new rows of a dataset, after its new months unless those are there for sure.
+
+    The rows are brought together by month: after a join that shuffles by grain, each task would
+    else leave a file in each month.
+    """
     staged = wh.staging(dataset)
     if add_dates:
         load_dates(wh, staged.select("period"))
@@ -265,7 +286,6 @@ def load_fact(wh: Warehouse, dataset: str, *, add_dates: bool = True) -> None:
         by=("date_key",),
         sort=FACT_GRAIN[dataset],
         mode="append",
-        gather=False,
     )
 
 
@@ -274,10 +294,11 @@ def load_facts(wh: Warehouse) -> None:
     with ThreadPoolExecutor(len(FACTS)) as pool:
         list(
             pool.map(
-                lambda dataset: load_fact(wh, dataset, add_dates=False),
+                lambda dataset: append_fact(wh, dataset, add_dates=False),
                 ("retail", "generation", "climate"),
             )
         )
+    refresh_views(wh.spark)
 
 
 def load_warehouse(wh: Warehouse) -> DataFrame:

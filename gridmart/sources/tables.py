@@ -51,6 +51,13 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
+def clear_folders(spark: SparkSession, folders: Sequence[str]) -> None:
+    """Delete folders of a table; those that are not there are passed over."""
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def write_months(df: DataFrame, path: str, sort: Sequence[str] = ()) -> None:
     """Write ``year=YYYY/month=MM`` folders, replacing those that ``df`` has rows for.
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridmart.plans import views
-from gridmart.plans.warehouse import Warehouse, fact_delta, load_dimensions, load_fact
+from gridmart.plans.warehouse import STAGED_BY, Warehouse, fact_delta, load_dimensions, load_fact
 from gridmart.schemas import GRAIN
 from gridmart.sources import star_schema
 from gridmart.sources.tables import write_partitioned
@@ -97,7 +97,7 @@ def loaded(spark, staging, tmp_path):
     }
     for dataset, values in rows.items():
         write_partitioned(
-            staging(dataset, values), wh.path("stg", dataset), ("period",), GRAIN[dataset], "overwrite"
+            staging(dataset, values), wh.path("stg", dataset), STAGED_BY, GRAIN[dataset], "overwrite"
         )
     load_dimensions(wh)
     return wh

@@ -230,3 +230,11 @@ def test_reports_stop_at_the_reporting_period(two_states):
     assert tuples(everything, "state_code", "total_retail_sales") == [("AL", 400.0), ("TX", 50.0)]
     for name in reports.REPORTS:
         reports.report(name, two_states).schema
+
+
+def test_latest_month_does_not_touch_other_measures(spark):
+    rows = [(dt.date(2020, m, 1), "AL", s, v, c) for m, s, v, c in ((1, "a", 10.0, 1.0), (2, "a", 20.0, 2.0), (2, "b", 30.0, 4.0))]
+    view = spark.createDataFrame(rows, "full_date date, state_code string, sector_name string, sales_mwh double, customer_count double")
+    mixed = [m.mean("average", "sales_mwh"), m.CUSTOMERS_LATEST_MONTH, m.SECTOR_SALES]
+    assert tuple(m.evaluate(view, mixed).first()) == (20.0, 6.0, 60.0)
+    assert tuples(m.evaluate(view, mixed, ["sector_name"])) == [("a", 15.0, 2.0, 30.0), ("b", 30.0, 4.0, 30.0)]

@@ -4,10 +4,12 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from gridmart.fixed_values import CURATED_FOLDER
 from gridmart.operators.gate import DQError
 from gridmart.operators.keys import number_rows
 from gridmart.plans.staging import load_staging, reload_dataset, staging_watermark
 from gridmart.plans.warehouse import (
+    STAGED_BY,
     Warehouse,
     fact_delta,
     fact_watermark,
@@ -15,8 +17,9 @@ from gridmart.plans.warehouse import (
     load_fact,
     load_warehouse,
 )
+from gridmart.plans.views import register_views
 from gridmart.schemas import GRAIN
-from gridmart.sources.tables import write_curated, write_partitioned
+from gridmart.sources.tables import clear_folders, write_curated, write_partitioned
 
 from conftest import climate_row, generation_row, retail_row, tuples
 
@@ -33,7 +36,7 @@ def wh(spark, tmp_path):
 def stage(wh, staging, **rows):
     for dataset, values in rows.items():
         write_partitioned(
-            staging(dataset, values), wh.path("stg", dataset), ("period",), GRAIN[dataset], "overwrite"
+            staging(dataset, values), wh.path("stg", dataset), STAGED_BY, GRAIN[dataset], "overwrite"
         )
 
 
@@ -200,3 +203,42 @@ def test_reload_reads_only_the_newest_months(staging, wh):
     plan = fact_delta(wh.staging("retail"), wh.star(), "retail")._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(period" in plan and "(period" in plan and ">= 2010-03-01" in plan
     assert ">= 20100301)" in plan
+
+
+def test_a_misfiled_row_leaves_older_months_alone(spark, wh, staging, tmp_path):
+    curated = str(tmp_path / "curated")
+    rows = [retail_row(2010, 1, "AL", "Total"), retail_row(2010, 1, "TX", "Total"), retail_row(2010, 2, "AL", "Total")]
+    write_curated(staging("retail", rows), curated, "retail")
+    reload_dataset(wh, curated, "retail", FEB, JAN)
+    misfiled = (JAN, 2010, 3, *retail_row(2010, 1, "GA", "Total")[3:])
+    write_curated(staging("retail", [misfiled]), curated, "retail")
+    for _ in range(2):  # a repeated reload adds nothing
+        reload_dataset(wh, curated, "retail", MAR, JAN)
+        assert tuples(wh.staging("retail"), "period", "month", "state_code") == sorted(
+            [(JAN, 1, "AL"), (JAN, 1, "TX"), (FEB, 2, "AL"), (JAN, 3, "GA")], key=lambda r: tuple((False, str(v)) for v in r)
+        )
+
+
+def test_an_emptied_watermark_month_goes(spark, wh, staging, tmp_path):
+    curated = str(tmp_path / "curated")
+    rows = [retail_row(2010, 1, "AL", "Total"), retail_row(2010, 2, "AL", "Total")]
+    write_curated(staging("retail", rows), curated, "retail")
+    reload_dataset(wh, curated, "retail", FEB, JAN)
+    clear_folders(spark, [f"{curated}/{CURATED_FOLDER['retail']}/year=2010/month=02"])
+    none = staging("retail", []).drop("year", "month")
+    none.write.parquet(f"{curated}/{CURATED_FOLDER['retail']}/year=2010/month=02")
+    reload_dataset(wh, curated, "retail", FEB, JAN)
+    assert tuples(wh.staging("retail"), "period") == [(JAN,)]
+
+
+def test_views_follow_later_loads(spark, wh, staging):
+    stage(wh, staging, retail=[retail_row(2010, 1, "AL", "Total")])
+    load_dimensions(wh)
+    load_fact(wh, "retail")
+    register_views(wh.star())
+    count = "select count(*) from vw_RetailTotal"
+    assert spark.sql(count).first()[0] == 1
+    stage(wh, staging, retail=[retail_row(2010, 2, "AL", "Total")])
+    load_dimensions(wh)
+    load_fact(wh, "retail")
+    assert spark.sql(count).first()[0] == 2
