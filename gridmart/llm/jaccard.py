@@ -160,7 +160,7 @@ def with_room(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 def linked(pairs: DataFrame, rows: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs (a, b) of documents whose sets link; ``rows`` has id and text, and only texts in pairs move."""
     ids = written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "jaccard-ids")
-    texts = rows.join(ids, "id", "left_semi").dropDuplicates(["id", "text"])
+    texts = rows.join(ids, "id", "left_semi")
     with_x = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("x_text")), "a")
     both = with_x.join(texts.select(F.col("id").alias("b"), F.col("text").alias("y_text")), "b")
     return in_tasks(both.select("a", "b", "x_text", "y_text"), _compared(shingle, percent), "a long, b long").distinct()

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,9 +23,19 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 
 def in_tasks(df: DataFrame, run: Callable, schema: str) -> DataFrame:
-    """``df.mapInArrow`` with a function of this library, which the executors get with the job."""
+    """``df.mapInArrow`` with a function of this library, which the executors get with the job.
+
+    Workers are used again by later tasks, so each gives the memory of its batches back when it is done.
+    """
     _ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(whole, schema)
 
 
 def _ship(spark: SparkSession) -> None:
