@@ -1,7 +1,7 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, trained in numpy.
 
-A text is cut into overlapping windows of ``WINDOW`` words, one every ``STRIDE``, so that every word is in one at least. Each
-word has a word input, how much likelier the word is in toxic texts, and character inputs, the same for its runs of three to
+A text has a window of ``WINDOW`` words at each of its words that has so many from there on (stride 1); a shorter text is one
+window. So what stands within a window's length is seen together, wherever in the text it is. Each word has a word input, how much likelier the word is in toxic texts, and character inputs, the same for its runs of three to
 five characters, of which the strongest and the mean count; so a word that was never seen is judged by its stem. Two
 recurrent layers read a window from either end, attention weighs the steps, and a document's score is that of its
 highest window.
@@ -30,7 +30,7 @@ from gridmart.llm.tables import in_tasks
 from gridmart.llm.words import Words, ranges, span_hashes, words_of
 
 MAX_TOXIC, MAX_OTHER, MAX_CHARS = 1000, 2000, 10_000
-WINDOW, STRIDE = 32, 24
+WINDOW = 32
 UNITS, ATTENTION, INPUTS = 8, 8, 6
 WORD_BITS, GRAM_BITS, GRAMS = 17, 18, (3, 4, 5)
 ROUNDS, BATCH, RATE = 6, 256, 0.02
@@ -101,11 +101,11 @@ def inputs(words: Vocabulary, word_odds: np.ndarray, gram_odds: list[np.ndarray]
 
 def cut(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Windows of texts with so many words: text, first word (of all words) and number of words."""
-    per_text = np.maximum(1, -(-(counts - (WINDOW - STRIDE)) // STRIDE))
+    per_text = np.maximum(1, counts - (WINDOW - 1))
     text = np.repeat(np.arange(len(counts)), per_text)
     order = np.arange(len(text)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
     bounds = np.concatenate(([0], np.cumsum(counts)))
-    first = bounds[text] + order * STRIDE
+    first = bounds[text] + order
     return text, first, np.minimum(WINDOW, bounds[text + 1] - first)
 
 
@@ -159,6 +159,55 @@ class Network:
             keep |= {"both": both, "u": u, "weight": weight, "pooled": pooled}
         return pooled @ self.p["o"] + self.p["ob"][0]
 
+    def sliding(self, features: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """The output of the window at each of ``words`` that has ``WINDOW`` words from there on, as :meth:`forward`.
+
+        Every word is projected once, a step reads a slice and writes in place. Units come first; states are kept plus one,
+        so that ``tanh(x) + 1 = 2 / (1 + exp(-2x))`` is one, and each layer has a last unit of one for what is constant.
+        """
+        n = len(words) - WINDOW + 1
+        both = np.ones((WINDOW, 2, UNITS + 1, n), np.float32)
+        own, spare, far = np.empty((3 * UNITS, n), np.float32), np.empty((UNITS, n), np.float32), np.empty((UNITS, n), np.float32)
+        scale = np.repeat(np.array([-1, -1, -2], np.float32), UNITS)
+        shifted = lambda w: np.ascontiguousarray(np.hstack((w, -w.sum(axis=1, keepdims=True))))
+        told = np.vstack((self.p["a"].T * np.float32(-2), self.p["o"][None, :]))
+        told = np.hstack((shifted(told[:, :UNITS]), shifted(told[:, UNITS:])))
+        told[:-1, -1] -= 2 * self.p["ab"]
+        score, worth = np.empty((WINDOW, n), np.float32), np.empty((WINDOW, n), np.float32)
+        with np.errstate(over="ignore"):  # the inverse of infinity is zero
+            for d in range(2):
+                projected = np.ascontiguousarray(((features @ self.p["x" + "fb"[d]] + self.p["c" + "fb"[d]]) * scale)[words].T)
+                weights = shifted((self.p["h" + "fb"[d]] * scale).T)
+                h = np.ones((UNITS + 1, n), np.float32)
+                for t in range(WINDOW) if d == 0 else range(WINDOW - 1, -1, -1):
+                    x = projected[:, t : t + n]
+                    np.matmul(weights, h, out=own)
+                    gates = own[: 2 * UNITS]
+                    gates += x[: 2 * UNITS]
+                    np.exp(gates, out=gates)
+                    gates += 1
+                    np.reciprocal(gates, out=gates)
+                    np.multiply(gates[:UNITS], own[2 * UNITS :], out=spare)
+                    spare += x[2 * UNITS :]
+                    np.exp(spare, out=spare)
+                    spare += 1
+                    np.divide(2, spare, out=spare)
+                    np.subtract(h[:UNITS], spare, out=far)
+                    far *= gates[UNITS:]
+                    h = both[t, d]
+                    np.add(spare, far, out=h[:UNITS])
+            for t in range(WINDOW):
+                found = told @ both[t].reshape(2 * UNITS + 2, n)
+                worth[t] = found[-1]
+                u = found[:-1]
+                np.exp(u, out=u)
+                u += 1
+                np.divide(2, u, out=u)
+                np.matmul(self.p["v"], u, out=score[t])
+        score -= score.max(axis=0)
+        np.exp(score, out=score)
+        return (score * worth).sum(axis=0) / score.sum(axis=0) + self.p["ob"][0]
+
     def gradients(self, features: np.ndarray, place: np.ndarray, alive: np.ndarray, target: np.ndarray, importance: np.ndarray) -> dict[str, np.ndarray]:
         keep: dict = {}
         logit = self.forward(features, place, alive, keep)
@@ -222,9 +271,29 @@ def highest(network: Network, features: np.ndarray, inverse: np.ndarray, counts:
     features = np.vstack((features, np.zeros((1, INPUTS), np.float32)))
     words = np.append(inverse, len(features) - 1)
     logit = np.empty(len(text), np.float32)
-    for lo in range(0, len(text), at_once):
-        place, alive = steps(words, first[lo : lo + at_once], length[lo : lo + at_once])
-        logit[lo : lo + at_once] = network.forward(*_narrow(features, place, alive), alive)
+    whole = counts[text] >= WINDOW
+    short = np.flatnonzero(~whole)
+    for lo in range(0, len(short), at_once):
+        some = short[lo : lo + at_once]
+        place, alive = steps(words, first[some], length[some])
+        logit[some] = network.forward(*_narrow(features, place, alive), alive)
+    # The words of the longer texts one after the other: windows over the end of a text are left out.
+    long = np.repeat(counts >= WINDOW, counts)
+    words = inverse[long]
+    inside = np.zeros(len(inverse), bool)
+    inside[first[whole]] = True
+    inside = inside[long]
+    found = np.empty(len(words), np.float32)
+    for lo in range(0, len(words) - WINDOW + 1, at_once):
+        own = words[lo : lo + at_once + WINDOW - 1]
+        a, b = int(own.min()), int(own.max()) + 1
+        if b - a > len(own):
+            some, own = np.unique(own, return_inverse=True)
+            own_features = features[some]
+        else:
+            own, own_features = own - a, features[a:b]
+        found[lo : lo + len(own) - WINDOW + 1] = network.sliding(own_features, own)
+    logit[whole] = found[inside]
     return text, logit
 
 
@@ -304,7 +373,9 @@ def fit(texts: list[str | None], toxic: np.ndarray) -> Model:
     square = {k: np.zeros_like(v) for k, v in network.p.items()}
     # A first guess of the telling window: the one with the strongest inputs.
     strength = np.append(table[:-1, :4].max(axis=1), -np.inf)
-    logit = np.array([strength[words_at[a : a + b]].max(initial=-1e9) for a, b in zip(first, length, strict=True)], np.float32)
+    logit = np.full(len(text), -1e9, np.float32)
+    for t in range(WINDOW):
+        logit = np.maximum(logit, strength[words_at[np.where(t < length, first + t, -1)]])
     step = 0
     for _ in range(ROUNDS):
         order = np.lexsort((logit, text))

@@ -191,6 +191,30 @@ def test_held_out_accuracy():
     assert fit([], np.zeros(0)).constant == 0.0 and fit(["a"], np.ones(1)).constant == 1.0
 
 
+def test_every_window_is_scored():
+    from gridmart.llm.toxicity import INPUTS, WINDOW, Network, highest
+
+    chance, net = np.random.default_rng(6), Network()
+    features = chance.standard_normal((40, INPUTS)).astype(np.float32)
+    lengths = [0, 1, WINDOW - 1, WINDOW, WINDOW + 1, 200]
+    texts = [chance.integers(0, 40, n) for n in lengths]
+    text, logit = highest(net, features, np.concatenate(texts), np.array(lengths), at_once=50)
+    assert np.bincount(text).tolist() == [1, 1, 1, 1, 2, 200 - WINDOW + 1]
+    at = 0
+    for words in texts:
+        for s in range(max(1, len(words) - WINDOW + 1)):
+            own = words[s : s + WINDOW]
+            place = np.append(own, 0)[: max(1, len(own))][:, None]
+            alone = net.forward(features, place, np.full(place.shape, len(own) > 0))
+            assert logit[at] == pytest.approx(alone[0], abs=1e-4)
+            at += 1
+    # What stands before a passage does not change its score.
+    passage = chance.integers(1, 40, 10)
+    blank = lambda n: np.zeros(n, int)
+    tops = [highest(net, features, w, np.array([len(w)]))[1].max() for k in range(WINDOW, 2 * WINDOW) for w in [np.concatenate((blank(k), passage, blank(WINDOW)))]]
+    assert np.ptp(tops) < 1e-4
+
+
 def test_gradients_match_differences():
     from gridmart.llm.toxicity import INPUTS, Network, steps
 
