@@ -6,9 +6,10 @@ five characters, of which the strongest and the mean count; so a word that was n
 recurrent layers read a window from either end, attention weighs the steps, and a document's score is that of its
 highest window.
 
-Fitting takes a sample of labelled rows that is bounded by ``MAX_TOXIC``, ``MAX_OTHER`` and ``MAX_CHARS`` and
-happens once on the driver. The inputs of a training text come from the counts of the others, so that its own label is
-not among them. In each round the highest window of each text is learnt, with its text's label. The score is calibrated on
+The counts behind the odds of words and runs are those of all labelled rows that are not held out, one text for each id,
+added up in Spark in buckets of a fixed number. Fitting takes a sample of these rows that is bounded by ``MAX_TOXIC``,
+``MAX_OTHER`` and ``MAX_CHARS`` and happens once on the driver. The inputs of a training text come from the counts of the
+others, so that its own label is not among them. In each round the highest window of each text is learnt, with its text's label. The score is calibrated on
 the sample's highest windows at the end. Scoring runs on all windows of all texts in the tasks, with a model of fixed size.
 
 Null and empty texts have one empty window. Labels that are null, and rows without an id, are not used. Where the sample
@@ -17,7 +18,9 @@ lacks one of the two labels every score is the share of toxic labels, or zero wi
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,10 +29,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridmart.llm.tables import in_tasks
+from gridmart.llm.tables import in_tasks, written
 from gridmart.llm.words import Words, ranges, span_hashes, words_of
 
-MAX_TOXIC, MAX_OTHER, MAX_CHARS = 1000, 2000, 10_000
+MAX_TOXIC, MAX_OTHER, MAX_CHARS = 2000, 4000, 10_000
 WINDOW = 32
 UNITS, ATTENTION, INPUTS = 8, 8, 6
 WORD_BITS, GRAM_BITS, GRAMS = 17, 18, (3, 4, 5)
@@ -102,11 +105,10 @@ def inputs(words: Vocabulary, word_odds: np.ndarray, gram_odds: list[np.ndarray]
 def cut(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Windows of texts with so many words: text, first word (of all words) and number of words."""
     per_text = np.maximum(1, counts - (WINDOW - 1))
-    text = np.repeat(np.arange(len(counts)), per_text)
-    order = np.arange(len(text)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
-    bounds = np.concatenate(([0], np.cumsum(counts)))
-    first = bounds[text] + order
-    return text, first, np.minimum(WINDOW, bounds[text + 1] - first)
+    text = np.repeat(np.arange(len(counts), dtype=np.int32), per_text)
+    first = np.arange(len(text), dtype=np.int32)
+    first += np.repeat((np.cumsum(counts) - counts - np.cumsum(per_text) + per_text).astype(np.int32), per_text)
+    return text, first, np.minimum(WINDOW, counts).astype(np.int8)[text]
 
 
 class Network:
@@ -265,17 +267,17 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * top + self.shift, -60, 60)))
 
 
-def highest(network: Network, features: np.ndarray, inverse: np.ndarray, counts: np.ndarray, at_once: int = 4096) -> tuple[np.ndarray, np.ndarray]:
-    """Text and output of every window."""
-    text, first, length = cut(counts)
-    features = np.vstack((features, np.zeros((1, INPUTS), np.float32)))
-    words = np.append(inverse, len(features) - 1)
+def highest(
+    network: Network, features: np.ndarray, inverse: np.ndarray, counts: np.ndarray, at_once: int = 4096, threads: int = 1, windows: tuple | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Text and output of every window; ``windows`` are those of :func:`cut`, if they are known."""
+    text, first, length = windows or cut(counts)
     logit = np.empty(len(text), np.float32)
-    whole = counts[text] >= WINDOW
+    whole = length == WINDOW
     short = np.flatnonzero(~whole)
     for lo in range(0, len(short), at_once):
         some = short[lo : lo + at_once]
-        place, alive = steps(words, first[some], length[some])
+        place, alive = steps(np.append(inverse, len(features)), first[some], length[some])
         logit[some] = network.forward(*_narrow(features, place, alive), alive)
     # The words of the longer texts one after the other: windows over the end of a text are left out.
     long = np.repeat(counts >= WINDOW, counts)
@@ -284,7 +286,8 @@ def highest(network: Network, features: np.ndarray, inverse: np.ndarray, counts:
     inside[first[whole]] = True
     inside = inside[long]
     found = np.empty(len(words), np.float32)
-    for lo in range(0, len(words) - WINDOW + 1, at_once):
+
+    def run(lo: int) -> None:
         own = words[lo : lo + at_once + WINDOW - 1]
         a, b = int(own.min()), int(own.max()) + 1
         if b - a > len(own):
@@ -293,17 +296,26 @@ def highest(network: Network, features: np.ndarray, inverse: np.ndarray, counts:
         else:
             own, own_features = own - a, features[a:b]
         found[lo : lo + len(own) - WINDOW + 1] = network.sliding(own_features, own)
+
+    parts = range(0, len(words) - WINDOW + 1, at_once)
+    if threads > 1:
+        with ThreadPoolExecutor(threads) as pool:
+            list(pool.map(run, parts))
+    else:
+        for lo in parts:
+            run(lo)
     logit[whole] = found[inside]
     return text, logit
 
 
 def _narrow(features: np.ndarray, place: np.ndarray, alive: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The rows from the first to the last that some window has, and a row for none."""
+    none = np.zeros((1, INPUTS), np.float32)
     used = place[alive]
     if not len(used):
-        return features[-1:], np.zeros_like(place)
+        return none, np.zeros_like(place)
     a, b = int(used.min()), int(used.max()) + 1
-    return np.vstack((features[a:b], features[-1:])), np.where(alive, place - a, b - a)
+    return np.vstack((features[a:b], none)), np.where(alive, place - a, b - a)
 
 
 def steps(words: np.ndarray, first: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -314,60 +326,92 @@ def steps(words: np.ndarray, first: np.ndarray, length: np.ndarray) -> tuple[np.
     return words[np.where(alive, at, len(words) - 1)], alive
 
 
-def fit(texts: list[str | None], toxic: np.ndarray) -> Model:
-    """A model of labelled texts; the same for the same texts in the same order."""
-    toxic = np.asarray(toxic, np.float32)
-    n_toxic, n_other = float(toxic.sum()), float(len(toxic) - toxic.sum())
-    if not n_toxic or not n_other:
-        return Model(Network(), np.zeros(0), [], 1.0, 0.0, n_toxic / len(toxic) if len(toxic) else 0.0)
-    slices = [(w, vocabulary(w)) for w in words_of(pa.array(texts, pa.string()))]
-    sizes = [1 << WORD_BITS, *(1 << GRAM_BITS for _ in GRAMS)]
-    counts = [np.zeros((2, n), np.float32) for n in sizes]
+def runs_of(own: Vocabulary) -> list[np.ndarray]:
+    """How many runs each word has, per length."""
+    return [np.diff(np.append(begin, len(grams))) for begin, grams in zip(own.begin, own.grams, strict=True)]
 
-    runs_of: dict[int, np.ndarray] = {}
 
-    def lengths_of(own: Vocabulary, grams: np.ndarray, begin: np.ndarray) -> np.ndarray:
-        """How many runs each word has."""
-        if id(begin) not in runs_of:
-            runs_of[id(begin)] = np.diff(np.append(begin, len(grams)))
-        return runs_of[id(begin)]
+def kinds(own: Vocabulary, runs: list[np.ndarray], some: np.ndarray) -> list[np.ndarray]:
+    """Buckets of some words and of their runs."""
+    out = [own.word[some]]
+    for grams, begin, lengths in zip(own.grams, own.begin, runs, strict=True):
+        length = lengths[some]
+        out.append(grams[np.repeat(begin[some] - np.cumsum(length) + length, length) + np.arange(int(length.sum()))])
+    return out
+
+
+class Counts:
+    """In how many texts of each label every bucket of words and of runs is."""
 
-    def per_text(words: Words, own: Vocabulary) -> Iterator[tuple[int, np.ndarray]]:
+    sizes = (1 << WORD_BITS, *(1 << GRAM_BITS for _ in GRAMS))
+
+    def __init__(self):
+        self.kinds = [np.zeros((2, n), np.int64) for n in self.sizes]
+        self.texts = np.zeros(2, np.int64)
+
+    def add(self, words: Words, toxic: np.ndarray) -> None:
+        own = vocabulary(words)
+        runs = runs_of(own)
         for i in range(len(words.counts)):
-            yield words.first + i, np.unique(own.inverse[words.bounds[i] : words.bounds[i + 1]])
-
-    def kinds(own: Vocabulary, some: np.ndarray) -> list[np.ndarray]:
-        """Buckets of some words and of their runs."""
-        out = [own.word[some]]
-        for grams, begin in zip(own.grams, own.begin, strict=True):
-            length = lengths_of(own, grams, begin)[some]
-            out.append(grams[np.repeat(begin[some] - np.cumsum(length) + length, length) + np.arange(int(length.sum()))])
+            y = int(toxic[words.first + i])
+            self.texts[y] += 1
+            some = np.unique(own.inverse[words.bounds[i] : words.bounds[i + 1]])
+            for c, found in zip(self.kinds, kinds(own, runs, some), strict=True):
+                c[y, np.unique(found)] += 1
+
+    def cells(self) -> tuple[np.ndarray, ...]:
+        """Number, other and toxic texts of each bucket that has some, and as a last number the texts in all."""
+        other, toxic = (np.concatenate([*(c[y] for c in self.kinds), self.texts[y : y + 1]]) for y in (0, 1))
+        at = np.flatnonzero(other + toxic)
+        return at, other[at], toxic[at]
+
+    @classmethod
+    def of_cells(cls, at: np.ndarray, other: np.ndarray, toxic: np.ndarray) -> Counts:
+        out, edges = cls(), np.cumsum((0, *cls.sizes))
+        whole = np.zeros((2, int(edges[-1]) + 1), np.int64)
+        whole[0, at], whole[1, at] = other, toxic
+        out.kinds = [whole[:, lo:hi] for lo, hi in zip(edges[:-1], edges[1:], strict=True)]
+        out.texts = whole[:, -1]
         return out
 
-    for words, own in slices:
-        for i, some in per_text(words, own):
-            for c, found in zip(counts, kinds(own, some), strict=True):
-                c[int(toxic[i]), np.unique(found)] += 1
-    # Inputs of each training text, without itself.
+
+def fit(texts: list[str | None] | pa.Array, toxic: np.ndarray, counted: Counts | None = None) -> Model:
+    """A model of labelled texts; the same for the same texts in the same order.
+
+    ``counted`` are the counts of all labelled texts, with these among them; without, these are all.
+    """
+    toxic = np.asarray(toxic, np.float32)
+    n_toxic, n_other = float(toxic.sum()), float(len(toxic) - toxic.sum())
+    if not n_toxic or not n_other:
+        return Model(Network(), np.zeros(0), [], 1.0, 0.0, n_toxic / len(toxic) if len(toxic) else 0.0)
+    column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+    if counted is None:
+        counted = Counts()
+        for words in words_of(column):
+            counted.add(words, toxic)
+    counts, (all_other, all_toxic) = counted.kinds, counted.texts.astype(float)
+    # Inputs of each training text, without itself; one slice is held at a time.
     features, places, lengths, base = [], [], np.zeros(len(toxic), np.int64), 0
-    for words, own in slices:
-        for i, some in per_text(words, own):
-            y = toxic[i]
-            values = [odds(c[1, k] - y, c[0, k] - (1 - y), n_toxic - y, n_other - 1 + y) for c, k in zip(counts, kinds(own, some), strict=True)]
-            begins = []
-            for begin, grams in zip(own.begin, own.grams, strict=True):
-                length = lengths_of(own, grams, begin)[some]
-                begins.append(np.cumsum(length) - length)
+    for words in words_of(column):
+        own = vocabulary(words)
+        runs = runs_of(own)
+        for i in range(len(words.counts)):
+            whole = own.inverse[words.bounds[i] : words.bounds[i + 1]]
+            some = np.unique(whole)
+            y = int(toxic[words.first + i])
+            values = [odds(c[1, k] - y, c[0, k] - (1 - y), all_toxic - y, all_other - 1 + y) for c, k in zip(counts, kinds(own, runs, some), strict=True)]
+            begins = [np.cumsum(length[some]) - length[some] for length in runs]
             features.append(inputs(Vocabulary(own.word[some], [], begins, some), values[0], values[1:]))
-            whole = own.inverse[words.bounds[i - words.first] : words.bounds[i - words.first + 1]]
-            places.append(np.searchsorted(some, whole) + base)
-            lengths[i] = len(whole)
+            places.append((np.searchsorted(some, whole) + base).astype(np.int32))
+            lengths[words.first + i] = len(whole)
             base += len(some)
     table = np.vstack([*features, np.zeros((1, INPUTS), np.float32)])
+    features.clear()
     inverse = np.concatenate(places)
     words_at = np.append(inverse, len(table) - 1)
     network = Network()
-    text, first, length = cut(lengths)
+    text, first, length = windows = cut(lengths)
+    begin = np.searchsorted(text, np.arange(len(toxic)))
     chance = np.random.Generator(np.random.PCG64(5))
     mean = {k: np.zeros_like(v) for k, v in network.p.items()}
     square = {k: np.zeros_like(v) for k, v in network.p.items()}
@@ -378,8 +422,8 @@ def fit(texts: list[str | None], toxic: np.ndarray) -> Model:
         logit = np.maximum(logit, strength[words_at[np.where(t < length, first + t, -1)]])
     step = 0
     for _ in range(ROUNDS):
-        order = np.lexsort((logit, text))
-        top = order[np.append(text[order][1:] != text[order][:-1], True)]
+        top = np.flatnonzero(logit == np.maximum.reduceat(logit, begin)[text])
+        top = top[np.append(text[top][1:] != text[top][:-1], True)]
         some = np.concatenate((top, chance.integers(0, len(text), len(top) // 4)))
         some = some[(toxic[text[some]] == 0) | np.isin(some, top)]  # other windows of toxic texts tell nothing
         chance.shuffle(some)
@@ -395,11 +439,10 @@ def fit(texts: list[str | None], toxic: np.ndarray) -> Model:
                 square[k] = 0.999 * square[k] + 0.001 * g * g
                 move = mean[k] / (1 - 0.9**step) / (np.sqrt(square[k] / (1 - 0.999**step)) + 1e-8)
                 network.p[k] = (network.p[k] - RATE * move - 1e-4 * network.p[k]).astype(np.float32)
-        text, logit = highest(network, table[:-1], inverse, lengths)
-    best = np.full(len(toxic), -np.inf)
-    np.maximum.at(best, text, logit)
-    slope, shift = calibrated(best, toxic)
-    return Model(network, odds(counts[0][1], counts[0][0], n_toxic, n_other), [odds(c[1], c[0], n_toxic, n_other) for c in counts[1:]], slope, shift)
+        logit = highest(network, table[:-1], inverse, lengths, threads=min(2, os.cpu_count() or 1), windows=windows)[1]
+    slope, shift = calibrated(np.maximum.reduceat(logit, begin).astype(float), toxic)
+    found = [odds(c[1], c[0], all_toxic, all_other) for c in counts]
+    return Model(network, found[0], found[1:], slope, shift)
 
 
 def calibrated(logit: np.ndarray, target: np.ndarray) -> tuple[float, float]:
@@ -420,16 +463,38 @@ def is_held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("long").cast("string")) % 3 == 1, F.lit(False))
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = Counts()
+    for batch in batches:
+        toxic = batch.column(1).to_numpy()
+        for words in words_of(batch.column(0)):
+            counts.add(words, toxic)
+    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in counts.cells()], names=["cell", "other", "toxic"])
+
+
 def trained(docs: DataFrame, labels: DataFrame) -> Model:
     """A model of the labels (doc_id, toxic) of documents (doc_id, text) that are not held out."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~is_held_out(F.col("doc_id")))
     known = known.groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max("toxic").cast("int").alias("toxic"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("text")).where("text is not null")
+    texts = texts.where(F.col("id").isNotNull() & ~is_held_out(F.col("id"))).withColumn("hash", F.xxhash64("text"))
+    # One text of each id, told by its hash before any text moves.
+    chosen = texts.select("id", "hash", F.length("text").alias("n_chars")).join(known, "id")
+    chosen = chosen.groupBy("id").agg(F.max("toxic").alias("toxic"), F.min(F.struct("hash", "n_chars")).alias("own"))
+    chosen = written(chosen.select("id", "toxic", "own.*"), "toxicity-known")
+
+    rows = texts.join(chosen.select("id", "hash", "toxic"), ["id", "hash"]).groupBy("id", "hash").agg(F.first("text").alias("text"), F.first("toxic").alias("toxic"))
+    cells = in_tasks(rows.select("text", "toxic"), _counted, "cell long, other long, toxic long")
+    # A fixed number of cells.
+    cells = cells.groupBy("cell").agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic")).toArrow()
+    counts = Counts.of_cells(*(cells.column(i).to_numpy() for i in range(3)))
+
     by_hash = [F.xxhash64("id"), F.col("id")]
-    few = [known.where(F.col("toxic") == y).orderBy(*by_hash).limit(n) for y, n in ((1, MAX_TOXIC), (0, MAX_OTHER))]
-    sample = F.broadcast(few[0].unionByName(few[1]))  # MAX_TOXIC + MAX_OTHER rows of two numbers
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("text")).where(F.length("text") <= MAX_CHARS)
-    rows = texts.join(sample, "id").orderBy("id", "text").limit(MAX_TOXIC + MAX_OTHER).collect()
-    return fit([x.text for x in rows], np.array([x.toxic for x in rows], np.float32))
+    usable = chosen.where(F.col("n_chars") <= MAX_CHARS).select("id", "hash", "toxic")
+    few = [usable.where(F.col("toxic") == y).orderBy(*by_hash).limit(n) for y, n in ((1, MAX_TOXIC), (0, MAX_OTHER))]
+    sample = F.broadcast(few[0].unionByName(few[1]))  # MAX_TOXIC + MAX_OTHER rows of three numbers
+    found = texts.join(sample, ["id", "hash"]).dropDuplicates(["id"]).orderBy("id").select("text", "toxic").toArrow()
+    return fit(found.column(0).combine_chunks(), found.column(1).to_numpy(), counts)
 
 
 def scored(docs: DataFrame, model: Model, into: str = "score") -> DataFrame:

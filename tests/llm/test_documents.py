@@ -191,6 +191,39 @@ def test_held_out_accuracy():
     assert fit([], np.zeros(0)).constant == 0.0 and fit(["a"], np.ones(1)).constant == 1.0
 
 
+def test_odds_come_from_all_labelled_rows(spark, monkeypatch):
+    import pyarrow as pa
+    from gridmart.llm import toxicity
+    from gridmart.llm.words import words_of
+
+    texts, toxic = toxic_texts(300, 3)
+    rows = [(i, t) for i, t in enumerate(texts)] + [(i, texts[i]) for i in range(0, 300, 7)] + [(1000 + i, None) for i in range(50)]
+    docs = spark.createDataFrame([*rows, (2000, "far " * 4000), (None, "no id")], "doc_id long, text string").repartition(5)
+    marks = [(i, int(y)) for i, y in enumerate(toxic)] + [(1000 + i, 1) for i in range(50)] + [(2000, 0), (3000, 1)]
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int")
+    free = [i for i in [*range(300), 2000] if zlib.crc32(str(i).encode()) % 3 != 1]
+    plain = toxicity.Counts()
+    for i in free:
+        for words in words_of(pa.array([texts[i] if i < 300 else "far " * 4000])):
+            plain.add(words, np.array([toxic[i] if i < 300 else 0]))
+    whole = toxicity.trained(docs, labels)
+    monkeypatch.setattr(toxicity, "MAX_TOXIC", 20)
+    monkeypatch.setattr(toxicity, "MAX_OTHER", 40)
+    sampled, kept = [], toxicity.fit
+
+    def watched(texts, toxic, counted):
+        sampled.append((len(texts), int(sum(toxic))))
+        return kept(texts, toxic, counted)
+
+    monkeypatch.setattr(toxicity, "fit", watched)
+    few = toxicity.trained(docs, labels)
+    # Rows without a text and repeated rows take no place in the sample, and a smaller sample changes no odds.
+    assert sampled == [(60, 20)]
+    for model in (whole, few):
+        for found, c in zip([model.word_odds, *model.gram_odds], plain.kinds, strict=True):
+            assert np.allclose(found, toxicity.odds(c[1], c[0], *plain.texts[::-1].astype(float)))
+
+
 def test_every_window_is_scored():
     from gridmart.llm.toxicity import INPUTS, WINDOW, Network, highest
 
