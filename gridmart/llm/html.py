@@ -2,7 +2,8 @@
 
 Each page's containers are scored by the running text right below them. Spark adds the scores up by host and
 generalised path (tags with their classes, digits taken out) and the best path of each host wins. Every page is
-then extracted anew from the container on the winning path, or from its own best one where it has no such path.
+then extracted anew from all containers on the winning path, in page order, or from those on the path of its own best one where it
+has no such path; so an article that lies in several containers of one kind is whole.
 
 The text is made of blocks in page order, joined by line ends; white space inside a block is one space. Menus,
 headers, footers, side bars, notices, adverts, forms, scripts, styles and comments do not count, told by tag,
@@ -53,7 +54,6 @@ NOISE = frozenset(
 WEAK_NOISE = frozenset(["header", "masthead", "head", "top", "side", "meta"])
 CONTENT = frozenset("article post entry content main body story text".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
-BEST_PER_PAGE = 4
 PART = 1000
 
 
@@ -195,16 +195,21 @@ class Page:
             self.pieces, self.letters, self.linked = [], 0, 0
 
     def best(self) -> list[tuple[float, Element]]:
-        """The page's best containers, the best one first."""
+        """The page's containers that have a score, the best one first."""
         found = [(x.score * CONTAINERS[x.tag], -i, x) for i, x in enumerate(self.elements) if x.score > 0 and not x.noise]
-        return [(s, x) for s, _, x in sorted(found, key=lambda f: f[:2], reverse=True)[:BEST_PER_PAGE]]
+        return [(s, x) for s, _, x in sorted(found, key=lambda f: f[:2], reverse=True)]
 
-    def text_of(self, element: Element) -> str:
-        return "\n".join(x for x, _ in self.blocks[element.first : element.last])
+    def on(self, path: str) -> list[Element]:
+        """All containers on a path that have text, in page order; none lies in another."""
+        found = [x for x in self.elements if not x.noise and x.last > x.first and path.endswith(".".join((x.tag, *x.names)))]
+        return [x for x in found if x.path() == path]
+
+    def text_of(self, elements: list[Element]) -> str:
+        return "\n".join(x for element in elements for x, _ in self.blocks[element.first : element.last])
 
 
 def votes(html: str | None) -> list[tuple[str, int]]:
-    """Generalised paths of a page's best containers and their scores in thousandths of the best."""
+    """Generalised paths of a page's containers and their scores in thousandths of the best."""
     found = Page(html or "").best()
     out: Counter = Counter()
     for score, element in found:
@@ -214,17 +219,15 @@ def votes(html: str | None) -> list[tuple[str, int]]:
 
 
 def extract(html: str | None, path: str | None) -> str:
-    """The main text of a page, from the best container on ``path`` if the page has one."""
+    """The main text of a page, from all containers on ``path`` if the page has one, or else on the path of its best one."""
     if not html:
         return ""
     page = Page(html)
-    if path is not None:
-        tag = path.rpartition("/")[2].partition(".")[0]
-        own = [x for x in page.elements if x.tag == tag and not x.noise and x.last > x.first and x.path() == path]
-        if own:
-            return page.text_of(max(own, key=lambda x: x.score))
-    found = page.best()
-    return page.text_of(found[0][1]) if found else page.text_of(page.root)
+    own = page.on(path) if path is not None else []
+    if not own:
+        found = page.best()
+        own = page.on(found[0][1].path()) if found else [page.root]
+    return page.text_of(own)
 
 
 def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

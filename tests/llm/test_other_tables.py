@@ -8,7 +8,7 @@ from hashlib import sha256
 
 import pytest
 from gridmart.llm.chat import TemplateError, compile_template, escape, fold, format_conversations, parse, read_conversations, unescape
-from gridmart.llm.html import extract, main_text, winning_paths
+from gridmart.llm.html import extract, main_text, votes, winning_paths
 from gridmart.llm.topk import exact_topk
 from gridmart.llm.warc import archived, parse_archive, payload_of, read_archives, write_archives
 
@@ -34,6 +34,23 @@ def test_article_without_the_rest(spark):
     assert extract("<div>" * 3000 + "deep", None) == "deep"
 
 
+def test_article_in_several_containers(spark):
+    parts = [" ".join(f"{w}{n}" for w in "one two three four five six seven eight".split()) for n in ("first", "second", "third")]
+    first, second, third = parts
+    split = f"<div class=content><div class=part><p>{first} {third}</p></div><div class=ad><p>buy</p></div><div class='part w-1/2x'></div><div class=part><p>{second}</p></div></div>"
+    pages = [(i, f"http://p.example/{i}", f"<body>{split}</body>") for i in range(3)]
+    pages += [(10, "http://a.example/1", f"<body><main><article><p>{first}</p></article><article><p>{second}</p><p>{third}</p></article></main></body>")]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in main_text(frame).collect()}
+    assert [found[i] for i in range(3)] == [f"{first} {third}\n{second}"] * 3
+    assert found[10] == "\n".join(parts)
+    # The page's own best containers, and a class with a slash.
+    assert extract(f"<body>{split}</body>", "html/body/none") == extract(f"<body>{split}</body>", None) == f"{first} {third}\n{second}"
+    assert extract(f"<body><div class=w-1/2><p>{first}</p></div><div class=w-1/2><p>{second}</p></div></body>", "body/div.w-/") == f"{first}\n{second}"
+    # All scored containers of a page vote.
+    assert len(votes("<body>" + "".join(f"<div class={c}><p>{first}</p></div>" for c in "abcdefg") + "</body>")) == 8
+
+
 def test_archives_give_back_what_was_written(spark, tmp_path):
     chance = random.Random(2)
     texts = ["".join(chance.choice("aé\r\n<🙂WARC/1.1 ") for _ in range(chance.choice([0, 5, 40_000, 90_000]))) for _ in range(30)]
