@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from gridmart.llm.chat import format_conversations, read_conversations
 from gridmart.llm.html import main_text
 from gridmart.llm.jaccard import near_duplicates
+from gridmart.llm.lexical import ranked_documents
 from gridmart.llm.packing import pack_documents
 from gridmart.llm.pieces import encoding_digests
+from gridmart.llm.resampling import resampled
 from gridmart.llm.rules import judged
+from gridmart.llm.sharding import shard_slots
 from gridmart.llm.substrings import removal_digests
 from gridmart.llm.tables import table
 from gridmart.llm.topk import exact_topk
@@ -76,6 +79,18 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk(rows, rows.where("pmod(vec_id, 100) = 0"), k=10, scale=1024.0)
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+def op12_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_slots(table(spark, sf_dir, "documents"), shards=8)
+
+
+def op13_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_main_text": op1_main_text,
     "op2_substring_dedup": op2_substring_dedup,
@@ -87,6 +102,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": op8_chat_format,
     "op9_piece_encoding": op9_piece_encoding,
     "op10_exact_topk": op10_exact_topk,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_jump_shards": op12_jump_shards,
+    "op13_target_resampling": op13_target_resampling,
 }
 
 #: Base counts of documents, failures of rules by host, and the hosts' shrunk rates, as in gridmart.llm.rules.
@@ -126,6 +144,34 @@ RULES_SQL = r"""
     )
 """
 
+#: Unsigned CRC-32 of the UTF-8 bytes of a text, byte by byte.
+CRC32_SQL = """
+    polynomials as (
+        select list(c order by i) as cells from (
+            select i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as c
+            from (select unnest(range(256)) as i)
+        )
+    ), checked as (
+        select content, xor(list_reduce([4294967295] || list_transform(regexp_extract_all(hex(encode(content)), '..'), lambda h: ('0x' || h)::bigint),
+            lambda c, x: xor(c >> 8, cells[(xor(c, x) & 255) + 1])), 4294967295) as crc
+        from contents, polynomials
+    )
+"""
+
+#: Jumps of keys among 8 and 9 shards, one after the other: ``k`` is the sequence's number, ``j`` the shard that it leads to.
+NEXT_SQL = "(k * 2862933555777941757 + 1) % 18446744073709551616"
+JUMPS_SQL = "".join(
+    f""", jump{i + 1} as (
+        select doc_id, size, text_crc32, k, b8, b9, case when j < 9 then floor((j + 1) * (2147483648::double / ((k >> 33) + 1)::double))::bigint else j end as j
+        from (
+            select doc_id, size, text_crc32, case when j < 9 then {NEXT_SQL} else k end as k, case when j < 8 then j else b8 end as b8,
+                case when j < 9 then j else b9 end as b9, j
+            from jump{i}
+        )
+    )"""
+    for i in range(10)
+)
+
 ORACLE_SQL: dict[str, str] = {
     "op2_substring_dedup": r"""
         with texts as (
@@ -198,6 +244,75 @@ ORACLE_SQL: dict[str, str] = {
         select query_id, (row_number() over (partition by query_id order by score desc, vec_id))::int as rank, vec_id, score
         from s qualify rank <= 10
     """,
+    "op11_lexical_search": r"""
+        with found as (
+            select row_number() over () as r, doc_id,
+                regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms
+            from documents where text is not null
+        ), totals as (
+            select count(*) as n_docs, sum(len(terms))::bigint as length from found where len(terms) > 0
+        ), times as (
+            select r, term, count(*) as tf from (select r, unnest(terms) as term from found) group by r, term
+        ), weights as (
+            select term, floor(1000 * ln((2 * n_docs + 2)::double / (2 * count(*) + 1)))::bigint as w from times, totals group by term, n_docs
+        ), wanted as (
+            select item_id, term, count(*) as repeats from (
+                select item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+                from (select distinct item_id, text from benchmark)
+            ) group by item_id, term
+        ), sizes as (
+            select r, doc_id, 75 + (25 * len(terms) * n_docs) // length as m from found, totals where len(terms) > 0
+        ), scores as (
+            select item_id, r, any_value(doc_id) as doc_id, sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::bigint as score
+            from wanted join times using (term) join weights using (term) join sizes using (r) group by item_id, r
+        )
+        select item_id, (row_number() over (partition by item_id order by score desc, doc_id, r))::int as rank, doc_id, score
+        from scores where score > 0 qualify rank <= 20
+    """,
+    "op12_jump_shards": f"""
+        with contents as (
+            select distinct coalesce(text, '') as content from documents
+        ), {CRC32_SQL}, jump0 as (
+            select doc_id, strlen(content) + 1 as size, crc as text_crc32, ('0x' || substr(md5(coalesce(doc_id::varchar, '')), 1, 16))::ubigint::hugeint as k,
+                0::bigint as b8, 0::bigint as b9, 0::bigint as j
+            from documents join checked on content = coalesce(text, '')
+        ) {JUMPS_SQL}
+        select doc_id, size, text_crc32, 'key' as law, b8::int as shard,
+            row_number() over (partition by b8 order by doc_id nulls last, size, text_crc32) - 1 as slot, b9::int as grown_shard
+        from jump10
+    """,
+    "op13_target_resampling": rf"""
+        with docs as (
+            select row_number() over () as r, doc_id,
+                regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+            from documents
+        ), wanted as (
+            select unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as content
+            from benchmark
+        ), held as (
+            select r, content, count(*) as n from (select r, unnest(words) as content from docs) group by r, content
+        ), contents as (
+            select content from held union select content from wanted
+        ), {CRC32_SQL}, source as (
+            select crc % 10000 as bucket, sum(n) as s from held join checked using (content) group by bucket
+        ), target as (
+            select crc % 10000 as bucket, count(*) as t from wanted join checked using (content) group by bucket
+        ), totals as (
+            select (select coalesce(sum(s), 0) from source) + 10000 as all_s, (select coalesce(sum(t), 0) from target) + 10000 as all_t
+        ), gains as (
+            select bucket, floor(1000 * ln((coalesce(t, 0) + 1)::double * all_s::double / ((s + 1)::double * all_t::double)))::bigint as gain
+            from source left join target using (bucket), totals
+        ), weights as (
+            select r, sum(n * gain)::bigint as weight from held join checked using (content) join gains on bucket = crc % 10000 group by r
+        ), scores as (
+            select r, doc_id, len(words) as n_features, coalesce(weight, 0) as weight, coalesce(weight, 0) + floor(-1000 * ln(-ln(
+                (('0x' || substr(sha256('2024:' || coalesce(doc_id::varchar, '')), 1, 8))::bigint + 0.5::double) / 4294967296::double)))::bigint as score
+            from docs left join weights using (r)
+        ), places as (
+            select r, row_number() over (order by score desc, doc_id nulls last, r) as place, count(*) over () as n from scores where n_features >= 20
+        )
+        select doc_id, n_features, weight, score, case when place <= (10 * n) // 100 then place end as rank from scores left join places using (r)
+    """,
 }
 
 
