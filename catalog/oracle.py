@@ -381,17 +381,18 @@ _QUERIES: dict[str, str] = {
     "ingest_retail_files": _UNPIVOTED,
     "ingest_generation_files": _view("stg_generation", "period"),
     "pipeline_run": f"""
-        SELECT 'climate' AS dataset, count(*) AS fact_rows, count(precipitation) AS known_values,
-               {_KEY.format('min(period)')} AS first_key, {_KEY.format('max(period)')} AS last_key
-        FROM stg_climate
+        SELECT 'climate' AS dataset, {_KEY.format('period')} AS date_key, count(*) AS fact_rows,
+               count(precipitation) AS known_values, round(sum(precipitation), 3) AS total
+        FROM stg_climate GROUP BY period
         UNION ALL
-        SELECT 'retail', count(*) * 5, (SELECT count(*) FROM stg_retail),
-               {_KEY.format('min(period)')}, {_KEY.format('max(period)')}
-        FROM {_SHEET_MONTHS}
+        SELECT 'retail', {_KEY.format('period')}, n * 5, coalesce(known, 0), total
+        FROM (SELECT period, count(*) AS n FROM {_SHEET_MONTHS} GROUP BY period) LEFT JOIN
+             (SELECT period, count(sales_mwh) AS known, round(sum(sales_mwh), 3) AS total
+              FROM stg_retail GROUP BY period) USING (period)
         UNION ALL
-        SELECT 'generation', count(*), count(generation_mwh),
-               {_KEY.format('min(period)')}, {_KEY.format('max(period)')}
-        FROM stg_generation""",
+        SELECT 'generation', {_KEY.format('period')}, count(*), count(generation_mwh),
+               round(sum(generation_mwh), 3)
+        FROM stg_generation GROUP BY period""",
     "latest_file_pick": """
         SELECT 'avg_temperature' AS metric, code AS noaa_state_code, y.year, m.month,
                avg_temperature AS value
@@ -457,6 +458,20 @@ _QUERIES: dict[str, str] = {
         SELECT * REPLACE (CASE WHEN period = (SELECT max(period) FROM stg_retail) AND sector = 'Commercial'
                                THEN '2000-06-01' ELSE {_DAY.format('period')} END AS period)
         FROM stg_retail""",
+    "staging_reload_failed": f"""
+        SELECT * REPLACE ({_day('period')}) FROM stg_retail WHERE period <= DATE '2000-12-01'""",
+    "rejected_ingests": """
+        SELECT dataset, rule, 'refused' AS outcome, row_count
+        FROM (VALUES ('climate', 'repeated grain'), ('climate', 'unknown metric'),
+                     ('climate', 'metric left out'), ('climate', 'no rows'),
+                     ('retail', 'repeated grain'), ('retail', 'month 13'), ('retail', 'no sheet'),
+                     ('retail', 'too few columns'), ('retail', 'no rows'),
+                     ('retail', 'no month column'), ('generation', 'repeated grain'),
+                     ('generation', 'month 13'), ('generation', 'no rows')) AS cases(dataset, rule)
+        JOIN (SELECT 'climate' AS dataset, count(*) AS row_count FROM stg_climate
+              UNION ALL SELECT 'retail', count(*) FROM stg_retail
+              UNION ALL SELECT 'generation', count(*) FROM stg_generation) USING (dataset)""",
+    "view_in_other_session": _view("retail_total"),
     "fact_incremental_delta": f"""
         SELECT {_day('period')}, state_code, sector, sales_mwh FROM stg_retail
         WHERE period > DATE '2000-12-01' OR (period = DATE '2000-12-01' AND sector = 'Total')""",
@@ -480,6 +495,10 @@ _QUERIES: dict[str, str] = {
     ),
     # quality gate and validation
     "dq_report": "\nUNION ALL\n".join(_gate(dataset, source) for dataset, source in _STG.items()),
+    "dq_report_empty": "\nUNION ALL\n".join(
+        _gate(dataset, "(SELECT * FROM stg_retail WHERE false)" if dataset == "retail" else source)
+        for dataset, source in _STG.items()
+    ),
     "dq_report_broken": "\nUNION ALL\n".join(
         _gate(dataset, source) for dataset, source in _BROKEN.items()
     ),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -15,6 +16,7 @@ from gridmart.fixed_values import (
     CLIMATE_ELEMENT,
     CLIMATE_FILE_PREFIX,
     CLIMATE_MISSING,
+    CURATED_FOLDER,
     NOTES_SHEET,
     RAW_FOLDER,
     RAW_WORKBOOK,
@@ -284,7 +286,7 @@ def ingest_generation_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw files of all datasets through to the facts, and what they hold then."""
+    """Raw files of all datasets through to the facts, and what each month of them holds then."""
     raw = write_raw_climate(spark, sf_dir)
     write_raw_workbook(raw_retail_sheet(spark, sf_dir), raw, "retail")
     write_raw_workbook(raw_generation_sheets(spark, sf_dir), raw, "generation")
@@ -294,11 +296,12 @@ def pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = {"climate": "precipitation", "retail": "sales_mwh", "generation": "generation_mwh"}
     return labelled(
         {
-            dataset: wh.fact(dataset).agg(
+            dataset: wh.fact(dataset)
+            .groupBy("date_key")
+            .agg(
                 F.count(F.lit(1)).alias("fact_rows"),
                 F.count(column).alias("known_values"),
-                F.min("date_key").alias("first_key"),
-                F.max("date_key").alias("last_key"),
+                F.round(F.sum(column), 3).alias("total"),
             )
             for dataset, column in measured.items()
         }
@@ -384,12 +387,14 @@ def month_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def staging_watermarks(spark: SparkSession, sf_dir: str) -> DataFrame:
     wh = warehouse(spark, sf_dir)
-    return labelled({d: staging_watermark(wh.staging(d), FIRST_MONTH) for d in DATASETS})
+    found = [(d, staging_watermark(wh, d, FIRST_MONTH)) for d in DATASETS]
+    return spark.createDataFrame(found, "dataset string, watermark date")
 
 
 def fact_watermarks(spark: SparkSession, sf_dir: str) -> DataFrame:
     wh = warehouse(spark, sf_dir)
-    return labelled({d: fact_watermark(wh.fact(d)) for d in DATASETS})
+    found = [(d, fact_watermark(wh, d)) for d in DATASETS]
+    return spark.createDataFrame(found, "dataset string, watermark long")
 
 
 def staging_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -427,6 +432,91 @@ def staging_reload_misfiled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wh.staging("retail")
 
 
+def staging_reload_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reload of all months from the newest staged one on, of which one cannot be read: what was staged stays."""
+    curated = new_scratch(spark, "curated")
+    wh = Warehouse(spark, new_scratch(spark, "warehouse"))
+    wh.create()
+    retail = warehouse(spark, sf_dir).staging("retail")
+    tables.write_curated(retail.where(F.col("period") <= LAST_FULL_MONTH), curated, "retail")
+    reload_dataset(wh, curated, "retail", LAST_FULL_MONTH, FIRST_MONTH)
+    tables.write_curated(doubled_sales(retail, F.lit(True)), curated, "retail")
+    newest = retail.agg(F.max("period")).first()[0]
+    folder = f"{curated}/{CURATED_FOLDER['retail']}/year={newest.year}/month={newest.month:02d}"
+    retail.limit(1).select("sector").write.mode("overwrite").text(folder)  # no Parquet file
+    try:
+        reload_dataset(wh, curated, "retail", newest, FIRST_MONTH)
+    except Exception:
+        return wh.staging("retail")
+    raise AssertionError("The unreadable month was not noticed")
+
+
+def view_in_other_session(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A view of the session catalog, read in a session that was there before the second load."""
+    retail = warehouse(spark, sf_dir).staging("retail")
+    wh = Warehouse(spark, new_scratch(spark, "warehouse"), f"gridmart_{uuid.uuid4().hex[:12]}")
+    views.publish_views(wh)
+    climate = warehouse(spark, sf_dir).staging("climate")
+    tables.write_partitioned(climate, wh.path("stg", "climate"), STAGED_BY, GRAIN["climate"], "overwrite")
+    other = spark.newSession()
+    for rows in (retail.where(F.col("period") <= LAST_FULL_MONTH), retail):
+        restage(wh, rows)
+        load_dimensions(wh)
+        load_fact(wh, "retail")
+        found = other.sql(f"select * from {wh.database}.vw_RetailTotal")
+        found.count()
+    return found
+
+
+def rejected_ingests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Broken raw inputs of every kind: each is refused, and the curated rows are those of before."""
+    wh, curated = warehouse(spark, sf_dir), new_scratch(spark, "curated")
+    for dataset in DATASETS:
+        tables.write_curated(wh.staging(dataset), curated, dataset)
+    lines = all_raw_lines(spark, sf_dir, nation() + 1)
+    retail = spill(raw_retail_sheet(spark, sf_dir), "retail-sheet")
+    sheets = spill(raw_generation_sheets(spark, sf_dir), "generation-sheets")
+    is_data = (F.col("sheet") == RETAIL_SHEET) & (F.size("cells") > 20)
+
+    def month_13(rows: DataFrame, which: Column, place: int) -> DataFrame:
+        cells = F.transform("cells", lambda x, i: F.when(i == place, F.lit("13")).otherwise(x))
+        return rows.withColumn("cells", F.when(which, cells).otherwise(F.col("cells")))
+
+    final_data = F.col("sheet").endswith("Final") & (F.col("row_idx") >= 100)
+    temperature = lines["avg_temperature"]
+    cases: dict[tuple[str, str], Callable[[], DataFrame]] = {
+        ("climate", "repeated grain"): lambda: ingest.climate_frame({**lines, "avg_temperature": temperature.unionByName(temperature)}, min_year=1995),
+        ("climate", "unknown metric"): lambda: checked_lines(temperature, "wind", min_year=1995),
+        ("climate", "metric left out"): lambda: ingest.climate_frame({"avg_temperature": temperature}, min_year=1995),
+        ("climate", "no rows"): lambda: ingest.climate_frame(lines, min_year=2100),
+        ("retail", "repeated grain"): lambda: ingest.retail_frame(retail.unionByName(retail.where(is_data)), min_year=1995),
+        ("retail", "month 13"): lambda: ingest.retail_frame(month_13(retail, is_data, 1), min_year=1995),
+        ("retail", "no sheet"): lambda: ingest.retail_frame(retail.where(F.col("sheet") != RETAIL_SHEET), min_year=1995),
+        ("retail", "too few columns"): lambda: ingest.retail_frame(retail.withColumn("cells", F.slice("cells", 1, 20)), min_year=1995),
+        ("retail", "no rows"): lambda: ingest.retail_frame(retail, min_year=2100),
+        ("retail", "no month column"): lambda: wh.staging("retail").drop("month"),
+        ("generation", "repeated grain"): lambda: ingest.generation_frame(sheets.unionByName(sheets.where(F.col("row_idx") >= 100)), min_year=1995),
+        ("generation", "month 13"): lambda: ingest.generation_frame(month_13(sheets, final_data, 1), min_year=1995),
+        ("generation", "no rows"): lambda: ingest.generation_frame(sheets, min_year=2100),
+    }
+
+    def refused(dataset: str, frame: Callable[[], DataFrame]) -> str:
+        try:
+            ingest.publish(frame(), curated, dataset)
+        except ValueError:
+            return "refused"
+        return "published"
+
+    told = [(d, rule, refused(d, frame)) for (d, rule), frame in cases.items()]
+    # Rows without a month, and no rows at all, replace nothing.
+    for d in DATASETS:
+        rows = wh.staging(d)
+        tables.write_months(rows.withColumn("month", F.lit(None).cast("long")), f"{curated}/{CURATED_FOLDER[d]}")
+        tables.write_months(rows.where("false"), f"{curated}/{CURATED_FOLDER[d]}")
+    left = checks.row_counts({d: tables.read_curated(spark, curated, d) for d in DATASETS})
+    return spark.createDataFrame(told, "dataset string, rule string, outcome string").join(left, "dataset")
+
+
 def early_retail(retail: DataFrame) -> DataFrame:
     """Rows up to the last full year: one sector of an older month and the total rows of the
     last month are missing, and the sales of the last month are too high."""
@@ -473,7 +563,7 @@ def fact_incremental_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     wh = loaded_with(spark, early_retail(retail))
     restage(wh, retail)
     load_dimensions(wh)
-    return named_retail(fact_delta(wh.staging("retail"), wh.star(), "retail"), wh)
+    return named_retail(fact_delta(wh, "retail"), wh)
 
 
 def fact_after_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -499,9 +589,8 @@ def dim_state_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact_rerun_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     wh = warehouse(spark, sf_dir)
-    star = wh.star()
     loaded = checks.row_counts({d: wh.fact(d) for d in DATASETS})
-    to_add = checks.row_counts({d: fact_delta(wh.staging(d), star, d) for d in DATASETS})
+    to_add = checks.row_counts({d: fact_delta(wh, d) for d in DATASETS})
     return loaded.withColumnRenamed("row_count", "fact_rows").join(
         to_add.withColumnRenamed("row_count", "rows_to_add"), "dataset"
     )
@@ -610,7 +699,7 @@ def card_digits(name: str, digits: dict[str, int]) -> Query:
 def dim_filtered_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     star = warehouse(spark, sf_dir).star()
     return views.filtered(
-        views.retail_kpi(star),
+        views.retail_kpi,
         star,
         states=F.col("state_name").isin("NATION_3", "NATION_7", "District of Columbia"),
         dates=F.col("year") == 1999,
@@ -684,12 +773,18 @@ _QUERIES: dict[str, Query] = {
     "fact_watermarks": fact_watermarks,
     "staging_reload": staging_reload,
     "staging_reload_misfiled": staging_reload_misfiled,
+    "staging_reload_failed": staging_reload_failed,
+    "rejected_ingests": rejected_ingests,
+    "view_in_other_session": view_in_other_session,
     "fact_incremental_delta": fact_incremental_delta,
     "fact_after_increment": fact_after_increment,
     "fact_rerun_delta": fact_rerun_delta,
     "dim_state_increment": dim_state_increment,
     "dq_report": of_warehouse(lambda wh: gate_report(wh.all_staging())),
     "dq_report_broken": lambda spark, sf_dir: gate_report(broken_staging(spark, sf_dir)),
+    "dq_report_empty": of_warehouse(
+        lambda wh: gate_report({**wh.all_staging(), "retail": wh.staging("retail").where("sales_mwh < 0")})
+    ),
     "dq_pass": of_warehouse(lambda wh: validate_staging(wh.all_staging())),
     "unexpected_members": unexpected_members,
     "val_row_counts": of_warehouse(lambda wh: checks.row_counts(wh.all_staging())),

@@ -19,6 +19,7 @@ NATIONAL_STATE = "US-TOTAL"
 SECTORS = ("Residential", "Commercial", "Industrial", "Transportation", "Total")
 RETAIL_SHEET = "Monthly-States"
 RETAIL_SKIP_ROWS = 3
+RETAIL_COLUMNS = 24
 
 # --- fixed values: generation workbook --------------------------------------
 NOTES_SHEET = "EnergySource_Notes"

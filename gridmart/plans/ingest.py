@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gridmart.fixed_values import (
@@ -14,6 +14,7 @@ from gridmart.fixed_values import (
     NATIONAL_STATE,
     RAW_FOLDER,
     RAW_WORKBOOK,
+    RETAIL_COLUMNS,
     RETAIL_SHEET,
     RETAIL_SKIP_ROWS,
     SECTORS,
@@ -25,7 +26,7 @@ from gridmart.functions.text import strip
 from gridmart.operators.checks import duplicates, first_rows
 from gridmart.operators.merge import merge_metrics
 from gridmart.schemas import CLIMATE_METRICS, GRAIN, RETAIL_METRICS, SHEET_ROWS, STAGING
-from gridmart.session import spill
+from gridmart.session import own_scratch, spill
 from gridmart.sources.climate_lines import checked_lines, monthly_values, with_state_names
 from gridmart.sources.files import latest_input, named_input
 from gridmart.sources.sheets import cell, find_headers, read_by_header, sheet_problems
@@ -63,19 +64,29 @@ def climate_frame(
 ) -> DataFrame:
     """Text lines per metric to checked climate rows; broken input raises ``ValueError``.
 
-    The text is read once. Of the written lines the check reads one column, and skips the parts
-    without a problem by their statistics.
+    The text is read once and the rows are written once; what is wrong with lines and rows is
+    observed on the way and looked at before anybody gets the rows. Only where no row is left, and
+    with it what was observed, the lines are read once more.
     """
-    lines_read = climate_lines(lines, min_year=min_year).where("kept or problem is not null")
-    text = F.when(F.col("problem").isNotNull(), F.col("line"))
-    checked = spill(lines_read.withColumn("line", text), "climate-lines")
-    broken = checked.where("problem is not null").select("metric", "line", "problem")
-    if not broken.isEmpty():
-        raise ValueError(f"Broken climate lines: {first_rows(broken)}")
-    frame = spill(climate_months(monthly_values(checked)), "climate")
-    repeated = frame.where("copies > 1")
-    if not repeated.isEmpty():
-        raise ValueError(f"Duplicate climate rows: {first_rows(repeated.select(*GRAIN['climate']))}")
+    broken, repeated = Observation(), Observation()
+    is_broken, is_repeated = F.col("problem").isNotNull(), F.col("copies") > 1
+    wrong = F.format_string(" '%s' in month %d", "wrong.value", "wrong.month")
+    place = F.when(F.col("wrong").isNotNull(), wrong).otherwise("")
+    told = F.concat("problem", place, F.lit(" of "), "metric", F.lit(" in line "), "line")
+    figures = [F.count_if(is_broken).alias("n"), F.min(F.when(is_broken, told)).alias("first")]
+    checked = climate_lines(lines, min_year=min_year).where(F.col("kept") | is_broken)
+    rows = climate_months(monthly_values(checked.observe(broken, *figures))).observe(
+        repeated,
+        F.count_if(is_repeated).alias("n"),
+        F.min(F.when(is_repeated, F.to_json(F.struct(*GRAIN["climate"])))).alias("first"),
+    )
+    frame = spill(rows, "climate")
+    some = not frame.isEmpty()
+    found = broken.get if some else checked.agg(*figures).first().asDict()
+    if found["n"]:
+        raise ValueError(f"{found['n']} broken climate lines, such as {found['first']!r}")
+    if some and repeated.get["n"]:
+        raise ValueError(f"Duplicate climate rows, such as {repeated.get['first']}")
     return frame.drop("copies")
 
 
@@ -121,7 +132,24 @@ def retail_rows(sheet_rows: DataFrame, *, min_year: int = DEFAULT_MIN_YEAR) -> D
 
 
 def retail_frame(sheet_rows: DataFrame, *, min_year: int = DEFAULT_MIN_YEAR) -> DataFrame:
-    frame = spill(retail_rows(sheet_rows, min_year=min_year), "retail")
+    """The checked rows of the wide sheet; a missing or too narrow sheet raises ``ValueError``.
+
+    A sheet is as wide as the widest of its rows below the titles, which the scan observes.
+    """
+    shape = Observation()
+    below = F.col("row_idx") >= RETAIL_SKIP_ROWS
+    sheet = sheet_rows.where(F.col("sheet") == RETAIL_SHEET).observe(
+        shape,
+        F.count(F.lit(1)).alias("rows"),
+        F.max(F.when(below, F.size("cells"))).alias("columns"),
+    )
+    frame = spill(retail_rows(sheet, min_year=min_year), "retail")
+    if not shape.get["rows"]:
+        raise ValueError(f"The workbook has no sheet {RETAIL_SHEET!r}")
+    if (shape.get["columns"] or 0) < RETAIL_COLUMNS:
+        raise ValueError(
+            f"Sheet {RETAIL_SHEET!r} has {shape.get['columns'] or 0} columns, needed are {RETAIL_COLUMNS}"
+        )
     check_rows(frame, "retail")
     return frame
 
@@ -203,26 +231,41 @@ def check_rows(frame: DataFrame, dataset: str) -> None:
 # --- jobs -------------------------------------------------------------------
 
 
+def job_figures() -> list[Column]:
+    """What a finished ingest reports of its rows. A month is a bit of a map, of the months since year 1000."""
+    month = F.col("year") * 12 + F.col("month") - 12_000
+    return [
+        F.count(F.lit(1)).alias("rows_written"),
+        F.date_format(F.max("period"), "yyyy-MM").alias("max_period"),
+        F.bitmap_construct_agg(F.pmod(month, F.lit(32_768))).alias("months"),
+    ]
+
+
 def job_result(frame: DataFrame) -> DataFrame:
-    """What a finished ingest reports: rows, newest month and number of monthly folders."""
-    return (
-        frame.groupBy("year", "month")
-        .agg(F.count(F.lit(1)).alias("rows"), F.max("period").alias("period"))
-        .agg(
-            F.lit("success").alias("status"),
-            F.coalesce(F.sum("rows"), F.lit(0)).alias("rows_written"),
-            F.date_format(F.max("period"), "yyyy-MM").alias("max_period"),
-            F.count(F.lit(1)).alias("partitions_written"),
-        )
+    """Rows, newest month and number of monthly folders of a frame."""
+    return frame.agg(*job_figures()).select(
+        F.lit("success").alias("status"),
+        "rows_written",
+        "max_period",
+        F.bitmap_count("months").alias("partitions_written"),
     )
 
 
 def publish(frame: DataFrame, curated: str, dataset: str) -> DataFrame:
-    """Write the months of a checked frame and return its result row; an empty frame is an error."""
+    """Write the months of a checked frame and return its result row; an empty frame is an error.
+
+    The figures are those of the rows that were written, taken while they were.
+    """
     if frame.isEmpty():
         raise ValueError(f"No {dataset} rows to write")
-    write_curated(frame, curated, dataset)
-    return job_result(frame)
+    spark, written = frame.sparkSession, Observation()
+    write_curated(frame, curated, dataset, observe=(written, job_figures()))
+    found = written.get
+    folders = int.from_bytes(found["months"]).bit_count()
+    row = ("success", found["rows_written"], found["max_period"], folders)
+    return spark.createDataFrame(
+        [row], "status string, rows_written long, max_period string, partitions_written long"
+    )
 
 
 def read_sheet_rows(spark: SparkSession, raw: str, dataset: str) -> DataFrame:
@@ -239,21 +282,24 @@ def ingest_climate(
         metric: spark.read.text(latest_input(spark, folder, prefix))
         for metric, prefix in CLIMATE_FILE_PREFIX.items()
     }
-    return publish(climate_frame(lines, min_year=min_year), curated, "climate")
+    with own_scratch(spark):
+        return publish(climate_frame(lines, min_year=min_year), curated, "climate")
 
 
 def ingest_retail(
     spark: SparkSession, raw: str, curated: str, min_year: int = DEFAULT_MIN_YEAR
 ) -> DataFrame:
     rows = read_sheet_rows(spark, raw, "retail")
-    return publish(retail_frame(rows, min_year=min_year), curated, "retail")
+    with own_scratch(spark):
+        return publish(retail_frame(rows, min_year=min_year), curated, "retail")
 
 
 def ingest_generation(
     spark: SparkSession, raw: str, curated: str, min_year: int = DEFAULT_MIN_YEAR
 ) -> DataFrame:
     rows = read_sheet_rows(spark, raw, "generation")
-    return publish(generation_frame(rows, min_year=min_year), curated, "generation")
+    with own_scratch(spark):
+        return publish(generation_frame(rows, min_year=min_year), curated, "generation")
 
 
 INGEST = {

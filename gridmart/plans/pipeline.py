@@ -20,14 +20,19 @@ def run_pipeline(
     warehouse: str,
     min_year: int = DEFAULT_MIN_YEAR,
     start: dt.date = BOOTSTRAP_PERIOD,
+    database: str | None = None,
 ) -> DataFrame:
-    """Ingest the datasets side by side, then load staging up to the months they report."""
+    """Ingest the datasets side by side, then load staging up to the months they report.
+
+    With a ``database`` the star's tables are there too, and the views of
+    :func:`gridmart.plans.views.publish_views` follow the load.
+    """
 
     def ingest(dataset: str) -> tuple[str, str]:
         return dataset, INGEST[dataset](spark, raw, curated, min_year).first().max_period
 
     with ThreadPoolExecutor(len(INGEST)) as pool:
         max_periods = dict(pool.map(ingest, INGEST))
-    wh = Warehouse(spark, warehouse)
+    wh = Warehouse(spark, warehouse, database)
     load_staging(wh, curated, max_periods, start)
     return load_warehouse(wh)

@@ -45,22 +45,15 @@ def category_trend(star: Star, period: Column) -> DataFrame:
 
 
 def state_cards(star: Star, period: Column) -> DataFrame:
-    retail = [m.TOTAL_RETAIL_SALES, m.AVERAGE_PRICE]
-    return cards(
-        m.evaluate(views.retail_kpi(star), retail, where=period),
-        m.evaluate(views.generation_mix(star), [m.TOTAL_GENERATION], where=period),
-        m.evaluate(views.retail_generation_kpi(star), [m.GENERATION_SURPLUS], where=period),
-    )
+    shown = [m.TOTAL_RETAIL_SALES, m.AVERAGE_PRICE, m.TOTAL_GENERATION, m.GENERATION_SURPLUS]
+    return cards(m.evaluate(views.state_months(star), shown, where=period))
 
 
 def state_comparison(star: Star, period: Column) -> DataFrame:
-    retail = m.evaluate(
-        views.retail_kpi(star), [m.TOTAL_RETAIL_SALES, m.AVERAGE_PRICE], ["state_code"], period
-    )
-    surplus = m.evaluate(
-        views.retail_generation_kpi(star), [m.GENERATION_SURPLUS], ["state_code"], period
-    )
-    return retail.join(surplus, "state_code", "full")
+    """States with retail rows, with what they generate beyond their sales."""
+    shown = [m.TOTAL_RETAIL_SALES, m.AVERAGE_PRICE, m.GENERATION_SURPLUS, m.total("retail_rows", "retail_rows")]
+    found = m.evaluate(views.state_months(star), shown, ["state_code"], period)
+    return found.where("retail_rows > 0").drop("retail_rows")
 
 
 def sector_comparison(star: Star, period: Column) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -9,18 +10,24 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridmart.functions.dates import date_key, key_to_date
 from gridmart.functions.labels import state_label
 from gridmart.operators.gate import validate_staging
 from gridmart.operators.keys import number_rows
-from gridmart.schemas import DATASETS, DIMENSIONS, FACT_GRAIN, FACTS, STAGING
-from gridmart.session import spill
+from gridmart.schemas import DATASETS, DIMENSIONS, FACT_GRAIN, FACT_ORDER, FACTS, STAGING
+from gridmart.session import own_scratch, spill
+from gridmart.sources.folders import Folders, partition_values
 from gridmart.sources.tables import create_table, read_table, write_partitioned
 
 
 #: Staging folders: the curated folder that a row came from, then the month that the row itself names.
 STAGED_BY = ("year", "month", "period")
+#: Every load adds folders of its own, below those of the months in facts, and never a file to a folder that is there.
+LOAD = "load"
+#: Setting of a session: the temporary views that its loads refresh.
+REGISTERED = "gridmart.registered.views"
 
 
 class Star:
@@ -38,30 +45,80 @@ class Star:
 
 @dataclass(frozen=True)
 class Warehouse:
-    """Eleven Parquet tables under one folder.
+    """Eleven Parquet tables under one folder, and in ``database`` if there is one.
 
     Staging is partitioned by year and month of the load, the replaced ranges, and by ``period``;
-    facts by ``date_key``. So watermarks and range filters work on folder names.
+    facts by ``date_key`` and load, dimensions by load. So watermarks are read from folder names,
+    and range filters choose folders. Within a month facts are sorted by the keys that views filter
+    by. In the database facts and dimensions are external tables that know their partitions.
     """
 
     spark: SparkSession
     root: str
+    database: str | None = None
 
     def path(self, area: str, name: str) -> str:
         return f"{self.root}/{area}/{name}"
 
+    def star_tables(self) -> dict[str, tuple[T.StructType, tuple[str, ...]]]:
+        """Schema and partition columns of dimensions and facts."""
+        return {
+            **{name: (schema, (LOAD,)) for name, schema in DIMENSIONS.items()},
+            **{f"fact_{name}": (schema, ("date_key", LOAD)) for name, schema in FACTS.items()},
+        }
+
     def create(self) -> None:
         """Create the tables that do not exist yet."""
         tables = [
             *[(self.path("stg", name), schema, STAGED_BY) for name, schema in STAGING.items()],
-            *[(self.path("dw", name), schema, ()) for name, schema in DIMENSIONS.items()],
             *[
-                (self.path("dw", f"fact_{name}"), schema, ("date_key",))
-                for name, schema in FACTS.items()
+                (self.path("dw", name), T.StructType([*schema, T.StructField(LOAD, T.LongType())]), by)
+                for name, (schema, by) in self.star_tables().items()
             ],
         ]
         with ThreadPoolExecutor(len(tables)) as pool:
             list(pool.map(lambda table: create_table(self.spark, *table), tables))
+        if self.database:
+            self._register()
+
+    def _register(self) -> None:
+        self.spark.sql(f"create database if not exists {self.database}")
+        for name, (schema, by) in self.star_tables().items():
+            if self.spark.catalog.tableExists(f"{self.database}.{name}"):
+                continue
+            columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
+            self.spark.sql(
+                f"create table {self.database}.{name} ({columns}, {LOAD} bigint) using parquet "
+                f"partitioned by ({', '.join(by)}) location '{self.path('dw', name)}'"
+            )
+            self._add_partitions(name, by, partition_values(self.spark, self.path("dw", name), by))
+
+    def _add_partitions(self, name: str, by: tuple[str, ...], values: list[tuple]) -> None:
+        """One statement, so that readers see all folders of a load or none."""
+        if values:
+            parts = " ".join(
+                f"partition ({', '.join(f'{c} = {v}' for c, v in zip(by, row, strict=True))})"
+                for row in values
+            )
+            self.spark.sql(f"alter table {self.database}.{name} add if not exists {parts}")
+
+    def append(self, name: str, rows: DataFrame) -> None:
+        """Add rows to a dimension or fact, in new folders."""
+        schema, by = self.star_tables()[name]
+        load = time.time_ns() // 1000
+        path = self.path("dw", name)
+        write_partitioned(
+            rows.select(*schema.fieldNames()).withColumn(LOAD, F.lit(load)),
+            path,
+            by=by,
+            sort=FACT_ORDER.get(name.removeprefix("fact_"), ()),
+            mode="append",
+            gather=name.startswith("fact_"),
+        )
+        if self.database:
+            pattern = "/".join(f"{c}={load if c == LOAD else '*'}" for c in by)
+            new = Folders(self.spark, path).matching(pattern)
+            self._add_partitions(name, by, [tuple(p.split("=", 1)[1] for p in x.split("/")) for x in new])
 
     def staging(self, dataset: str) -> DataFrame:
         return read_table(self.spark, self.path("stg", dataset), STAGING[dataset])
@@ -165,20 +222,16 @@ def keyed_members(members: DataFrame, existing: DataFrame, natural: str, key: st
     return number_rows(new_members(members, existing, natural), natural, key, highest)
 
 
-def _append(wh: Warehouse, name: str, rows: DataFrame) -> None:
-    rows.select(*DIMENSIONS[name].fieldNames()).write.mode("append").parquet(wh.path("dw", name))
-
-
 def load_dates(wh: Warehouse, periods: DataFrame) -> None:
     new = new_members(date_members(periods), wh.dimension("dim_date"), "date_key")
     if not new.isEmpty():  # a rerun leaves no empty files behind
-        _append(wh, "dim_date", new)
+        wh.append("dim_date", new)
 
 
 def load_names(wh: Warehouse, name: str, members: DataFrame, natural: str, key: str) -> None:
     existing = wh.dimension(name)
     if not new_members(members, existing, natural).isEmpty():
-        _append(wh, name, keyed_members(members, existing, natural, key))
+        wh.append(name, keyed_members(members, existing, natural, key))
 
 
 def load_dimensions(wh: Warehouse) -> None:
@@ -187,7 +240,11 @@ def load_dimensions(wh: Warehouse) -> None:
     The members of all dimensions are collected in one pass and written down. The five tables do
     not depend on each other, so their small jobs run side by side.
     """
-    members = spill(staged_members(wh.all_staging()), "members")
+    with own_scratch(wh.spark):
+        _load_members(wh, spill(staged_members(wh.all_staging()), "members"))
+
+
+def _load_members(wh: Warehouse, members: DataFrame) -> None:
     named = {
         "dim_state": (state_members(members), "state_code", "state_key"),
         **{
@@ -201,11 +258,12 @@ def load_dimensions(wh: Warehouse) -> None:
     }
 
     def load(name: str) -> None:
-        if name == "dim_date":
-            months = members.where("dimension = 'dim_date'")
-            load_dates(wh, months.select(F.col("member").cast("date")))
-        else:
-            load_names(wh, name, *named[name])
+        with own_scratch(wh.spark):
+            if name == "dim_date":
+                months = members.where("dimension = 'dim_date'")
+                load_dates(wh, months.select(F.col("member").cast("date")))
+            else:
+                load_names(wh, name, *named[name])
 
     with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
         list(pool.map(load, DIMENSIONS))
@@ -214,9 +272,10 @@ def load_dimensions(wh: Warehouse) -> None:
 # --- facts --------------------------------------------------------------------
 
 
-def fact_watermark(fact: DataFrame) -> DataFrame:
-    """Newest loaded month, 0 for an empty fact. Reads partition values, no data columns."""
-    return fact.agg(F.coalesce(F.max("date_key"), F.lit(0)).alias("watermark"))
+def fact_watermark(wh: Warehouse, dataset: str) -> int:
+    """Newest loaded month, 0 for an empty fact. The folders' names say it; no file is opened."""
+    loaded = partition_values(wh.spark, wh.path("dw", f"fact_{dataset}"), ("date_key",))
+    return max((int(key) for (key,) in loaded if key), default=0)
 
 
 def star_rows(staged: DataFrame, star: Star, dataset: str) -> DataFrame:
@@ -241,28 +300,33 @@ def star_rows(staged: DataFrame, star: Star, dataset: str) -> DataFrame:
     return rows.select(*FACTS[dataset].fieldNames())
 
 
-def fact_delta(staged: DataFrame, star: Star, dataset: str) -> DataFrame:
+def fact_delta(wh: Warehouse, dataset: str, staged: DataFrame | None = None) -> DataFrame:
     """Rows to append: not older than the watermark and not in the fact at its grain.
 
-    Values of rows that are loaded already never change. Rows before the watermark are not looked
-    at on either side, so a regular load reads the newest months only.
+    Values of rows that are loaded already never change. Months above the watermark have no rows in
+    the fact, so theirs go as they are; only the watermark's month is compared, on both sides read
+    by itself. Older months are not looked at.
     """
-    fact = getattr(star, f"fact_{dataset}")
-    watermark = fact_watermark(fact).first().watermark
-    if watermark:
-        staged = staged.where(F.col("period") >= F.lit(key_to_date(watermark)))
-        fact = fact.where(F.col("date_key") >= watermark)
-    grain = list(FACT_GRAIN[dataset])
-    return star_rows(staged, star, dataset).join(fact.select(*grain), grain, "left_anti").select(
-        *FACTS[dataset].fieldNames()
+    star = wh.star()
+    rows = wh.staging(dataset) if staged is None else staged
+    watermark = fact_watermark(wh, dataset)
+    if not watermark:
+        return star_rows(rows, star, dataset)
+    month = F.lit(key_to_date(watermark))
+    grain = [name for name in FACT_GRAIN[dataset] if name != "date_key"]
+    loaded = getattr(star, f"fact_{dataset}").where(F.col("date_key") == watermark)
+    again = star_rows(rows.where(F.col("period") == month), star, dataset).join(
+        loaded.select(*grain), grain, "left_anti"
     )
+    new = star_rows(rows.where(F.col("period") > month), star, dataset)
+    return new.unionByName(again)
 
 
 def refresh_views(spark: SparkSession) -> None:
-    """Let the registered views of this session see the files that a load has added."""
-    for table in spark.catalog.listTables():
-        if table.isTemporary and table.name.lower().startswith("vw_"):
-            spark.catalog.refreshTable(table.name)
+    """Let the temporary views that this session has registered see the files that a load has added."""
+    for name in filter(None, spark.conf.get(REGISTERED, "").split(",")):
+        if spark.catalog.tableExists(name):
+            spark.catalog.refreshTable(name)
 
 
 def load_fact(wh: Warehouse, dataset: str) -> None:
@@ -274,19 +338,11 @@ def load_fact(wh: Warehouse, dataset: str) -> None:
 def append_fact(wh: Warehouse, dataset: str, *, add_dates: bool = True) -> None:
     """Append the new rows of a dataset, after its new months unless those are there for sure.
 
-    The rows are brought together by month: after a join that shuffles by grain, each task would
-    else leave a file in each month.
+    The rows are brought together by month, so that a backfill leaves few files in each.
     """
-    staged = wh.staging(dataset)
     if add_dates:
-        load_dates(wh, staged.select("period"))
-    write_partitioned(
-        fact_delta(staged, wh.star(), dataset),
-        wh.path("dw", f"fact_{dataset}"),
-        by=("date_key",),
-        sort=FACT_GRAIN[dataset],
-        mode="append",
-    )
+        load_dates(wh, wh.staging(dataset).select("period"))
+    wh.append(f"fact_{dataset}", fact_delta(wh, dataset))
 
 
 def load_facts(wh: Warehouse) -> None:

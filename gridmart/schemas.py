@@ -115,5 +115,12 @@ FACT_GRAIN = {
     "generation": ("date_key", "state_key", "producer_type_key", "energy_source_key"),
 }
 
+# The order of a fact's rows within a month: first the keys that views filter by.
+FACT_ORDER = {
+    "climate": ("state_key",),
+    "retail": ("sector_key", "state_key"),
+    "generation": ("producer_type_key", "energy_source_key", "state_key"),
+}
+
 # One row of a spreadsheet: sheet name, zero-based row number, cell texts.
 SHEET_ROWS = _schema(("sheet", _TEXT), ("row_idx", _LONG), ("cells", T.ArrayType(_TEXT)))

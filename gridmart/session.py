@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,6 +17,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
 }
+#: Paths that the innermost block of :func:`own_scratch` of this thread has to remove.
+_kept: ContextVar[list[str] | None] = ContextVar("kept", default=None)
 
 
 def build_session(
@@ -31,16 +36,23 @@ def build_session(
 def scratch_root(spark: SparkSession) -> str:
     """The folder for results that later jobs share: ``spark.checkpoint.dir``, which all executors reach.
 
-    Where it is unset, a folder under ``spark.sql.warehouse.dir`` takes its place, which a cluster shares as well.
+    Where it is unset a session whose tasks run in its own process takes a folder under
+    ``spark.sql.warehouse.dir``. On a cluster nothing says that executors share that one, so there
+    the setting is needed.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("Set spark.checkpoint.dir to a folder that the driver and all executors reach")
     root = root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{root.rstrip('/')}/gridmart-{spark.sparkContext.applicationId}"
 
 
 def new_scratch(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nobody else uses."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    if (kept := _kept.get()) is not None:
+        kept.append(path)
+    return path
 
 
 def spill(df: DataFrame, label: str) -> DataFrame:
@@ -51,3 +63,30 @@ def spill(df: DataFrame, label: str) -> DataFrame:
     path = new_scratch(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder by whatever file system its path names."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
+@contextmanager
+def own_scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end, after errors as well, what the block has put into the shared folder.
+
+    For jobs whose results are stored elsewhere. Blocks do not reach into other threads.
+    """
+    token = _kept.set([])
+    try:
+        yield
+    finally:
+        paths = _kept.get()
+        _kept.reset(token)
+        for path in paths:
+            remove(spark, path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all that this application has put into the shared folder; frames that read it end with it."""
+    remove(spark, scratch_root(spark))

@@ -17,6 +17,7 @@ from gridmart.fixed_values import (
 from gridmart.functions.numbers import is_number
 from gridmart.functions.text import strip
 
+BAD_NUMBER = "invalid numeric value"
 _WHOLE = r"^\s*[+-]?\d+\s*$"
 
 
@@ -33,7 +34,8 @@ def checked_lines(
     """Lines of one metric with the fields cut out and the first broken rule in ``problem``.
 
     Length, year and element are checked in every line, so that a wrong file is noticed; the
-    values only in lines that are kept: a state of the lookup, not before ``min_year``.
+    values only in lines that are kept: a state of the lookup, not before ``min_year``. ``wrong`` has
+    the month and text of the first value that is no number.
     """
     if metric not in CLIMATE_ELEMENT:
         raise ValueError(f"Unsupported metric: {metric}")
@@ -56,9 +58,12 @@ def checked_lines(
         .when(F.col("element") != CLIMATE_ELEMENT[metric], "unexpected element")
         .when(~kept, None)
         .when(F.size("values") != 12, "not 12 monthly values")
-        .when(~F.forall("values", is_number), "invalid numeric value")
+        .when(~F.forall("values", is_number), BAD_NUMBER)
     )
-    return cut.select("*", kept.alias("kept"), problem.alias("problem"))
+    numbered = F.transform("values", lambda text, i: F.struct((i + 1).alias("month"), text.alias("value")))
+    wrong = F.get(F.filter(numbered, lambda x: ~is_number(x.value)), F.lit(0))
+    checked = cut.select("*", kept.alias("kept"), problem.alias("problem"))
+    return checked.withColumn("wrong", F.when(F.col("problem") == BAD_NUMBER, wrong))
 
 
 def monthly_values(checked: DataFrame) -> DataFrame:

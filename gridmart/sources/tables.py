@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,18 +21,22 @@ def write_partitioned(
     mode: str,
     *,
     gather: bool = True,
+    observe: tuple[Observation, Sequence[Column]] | None = None,
 ) -> None:
     """Write ``df`` under ``path`` with one folder per value of ``by``.
 
     ``mode="overwrite"`` replaces only the folders that ``df`` has rows for. ``gather`` rebalances
     the rows, so that folders do not fill up with small files from every task; adaptive execution
     cuts a folder that is too large for one task. Rows that come from a table with the same folders
-    are together already and need no shuffle.
+    are together already and need no shuffle. ``observe`` takes figures of the rows in the tasks that
+    write them, after the last shuffle, so that a repeated task does not count twice.
     """
     rows = df.hint("rebalance", *[F.col(name) for name in by]) if gather else df
+    rows = rows.sortWithinPartitions(*by, *[name for name in sort if name not in by])
+    if observe:
+        rows = rows.observe(observe[0], *observe[1])
     (
-        rows.sortWithinPartitions(*by, *[name for name in sort if name not in by])
-        .write.mode(mode)
+        rows.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by)
         .parquet(path)
@@ -51,14 +55,12 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
-def clear_folders(spark: SparkSession, folders: Sequence[str]) -> None:
-    """Delete folders of a table; those that are not there are passed over."""
-    for folder in folders:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
-
-
-def write_months(df: DataFrame, path: str, sort: Sequence[str] = ()) -> None:
+def write_months(
+    df: DataFrame,
+    path: str,
+    sort: Sequence[str] = (),
+    observe: tuple[Observation, Sequence[Column]] | None = None,
+) -> None:
     """Write ``year=YYYY/month=MM`` folders, replacing those that ``df`` has rows for.
 
     Rows without a year or month belong to no folder and are left out.
@@ -69,12 +71,17 @@ def write_months(df: DataFrame, path: str, sort: Sequence[str] = ()) -> None:
     dated = df.na.drop("any", subset=["year", "month"]).withColumn(
         "month", F.lpad(F.col("month").cast("string"), 2, "0")
     )
-    write_partitioned(dated, path, by=("year", "month"), sort=sort, mode="overwrite")
+    write_partitioned(dated, path, by=("year", "month"), sort=sort, mode="overwrite", observe=observe)
 
 
-def write_curated(df: DataFrame, base: str, dataset: str) -> None:
+def write_curated(
+    df: DataFrame,
+    base: str,
+    dataset: str,
+    observe: tuple[Observation, Sequence[Column]] | None = None,
+) -> None:
     # 'period' is the same in all rows of a folder and sorts like the grain inside it.
-    write_months(df, f"{base}/{CURATED_FOLDER[dataset]}", sort=GRAIN[dataset])
+    write_months(df, f"{base}/{CURATED_FOLDER[dataset]}", sort=GRAIN[dataset], observe=observe)
 
 
 def read_curated(spark: SparkSession, base: str, dataset: str) -> DataFrame:

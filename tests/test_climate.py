@@ -155,3 +155,10 @@ def test_all_states_and_months_against_plain_python(spark):
         for r in build(spark, lines).collect()
     }
     assert got == want
+
+
+def test_the_error_names_month_and_value(spark):
+    values = [str(float(m)) for m in range(12)]
+    values[6] = "7x"
+    with pytest.raises(ValueError, match=r"invalid numeric value '7x' in month 7 of precipitation in line 0010012020"):
+        build(spark, {"precipitation": ["0010012020" + "  " + "  ".join(values)]})

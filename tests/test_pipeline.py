@@ -1,10 +1,15 @@
 """From raw files to the star, twice."""
 
+from pathlib import Path
+
+import pytest
+
 from gridmart.plans import views
 from gridmart.plans.pipeline import run_pipeline
 from gridmart.plans.warehouse import Warehouse
 from gridmart.fixed_values import CLIMATE_ELEMENT, CLIMATE_FILE_PREFIX, CLIMATE_MISSING
 from gridmart.schemas import SHEET_ROWS
+from gridmart.session import scratch_root
 
 from conftest import tuples
 
@@ -43,6 +48,26 @@ def write_raw(spark, raw, newest_month):
         frame.coalesce(1).write.mode("overwrite").parquet(str(raw / name))
 
 
+def test_jobs_remove_their_scratch(spark, tmp_path):
+    raw = tmp_path / "raw"
+    write_raw(spark, raw, newest_month=2)
+    before = set(in_scratch(spark))
+    run_pipeline(spark, str(raw), str(tmp_path / "curated"), str(tmp_path / "warehouse"))
+    assert set(in_scratch(spark)) == before
+    (raw / "eia" / "retail").rename(tmp_path / "away")
+    spark.createDataFrame([("Monthly-States", i, ["2010"]) for i in range(9)], SHEET_ROWS).write.parquet(
+        str(raw / "eia" / "retail" / "HS861M_2010-current")
+    )
+    with pytest.raises(ValueError, match="has 1 columns, needed are 24"):
+        run_pipeline(spark, str(raw), str(tmp_path / "curated"), str(tmp_path / "warehouse"))
+    assert set(in_scratch(spark)) == before
+
+
+def in_scratch(spark):
+    root = Path(scratch_root(spark).removeprefix("file:"))
+    return [p.name for p in root.iterdir()] if root.exists() else []
+
+
 def test_raw_to_star(spark, tmp_path):
     raw, curated, root = tmp_path / "raw", str(tmp_path / "curated"), str(tmp_path / "warehouse")
     write_raw(spark, raw, newest_month=2)

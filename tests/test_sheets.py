@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from gridmart.plans.ingest import generation_frame, publish, retail_frame, retail_rows
+from gridmart.plans.ingest import generation_frame, job_result, publish, retail_frame, retail_rows
 from gridmart.schemas import SHEET_ROWS, STAGING
 from gridmart.sources.sheets import find_headers, read_by_header
 from gridmart.operators import sizes
@@ -149,3 +149,24 @@ def test_many_sheets_join_without_broadcast(spark):
     assert sizes.broadcast_if_small(headers, rows=4) is headers
     large = rows.join(headers.hint("merge"), "sheet").where(F.col("row_idx") > F.col("header_idx"))
     assert small.count() == large.count() == 40
+
+
+def test_a_sheet_of_another_shape_is_an_error(spark):
+    """The table has 24 columns, counted in the widest row below the titles."""
+    narrow = [("Monthly-States", i, ["2020", "1", "AL", "Final", *["1"] * 16]) for i in (3, 4)]
+    with pytest.raises(ValueError, match="has 20 columns, needed are 24"):
+        retail_frame(rows_of(spark, *narrow))
+    with pytest.raises(ValueError, match="has 0 columns"):
+        retail_frame(rows_of(spark, ("Monthly-States", 0, ["Title"] * 30)))
+    with pytest.raises(ValueError, match="no sheet 'Monthly-States'"):
+        retail_frame(rows_of(spark, retail(3, "2020", "1", "AL", "Final", sheet="Other")))
+    # One whole row is enough: the others are filled up with nothing.
+    found = retail_frame(rows_of(spark, *narrow[:1], retail(5, "2020", "2", "AL", "Final")))
+    assert found.where("month = 1 and sector = 'Total'").first().sales_mwh is None
+
+
+def test_an_ingest_reports_what_it_wrote(spark, tmp_path):
+    rows = [retail(3 + i, str(2020 + i // 12), str(1 + i % 12), s, "Final") for i in range(14) for s in ("AL", "TX")]
+    found = publish(retail_frame(rows_of(spark, *rows)), str(tmp_path), "retail").first()
+    assert tuple(found) == ("success", 14 * 2 * 5, "2021-02", 14)
+    assert found.asDict() == job_result(retail_rows(rows_of(spark, *rows))).first().asDict()

@@ -149,10 +149,10 @@ def test_views_have_names_for_sql(spark, star):
 def test_filters_on_dimensions(star):
     s = star(retail=[sold(key(y, 1), st, 3, 1.0) for y in (2019, 2020) for st in (1, 3)])
     kpi = views.retail_kpi(s)
-    texas = views.filtered(kpi, s, states=F.col("state_name") == "Texas", dates=F.col("year") > 2019)
+    texas = views.filtered(views.retail_kpi, s, states=F.col("state_name") == "Texas", dates=F.col("year") > 2019)
     assert tuples(texas, "state_code", "year") == [("TX", 2020)]
     assert texas.columns and set(texas.columns) == set(kpi.columns)
-    assert views.filtered(kpi, s).count() == 4
+    assert views.filtered(views.retail_kpi, s).count() == 4
 
 
 # --- measures ------------------------------------------------------------------------

@@ -1,4 +1,5 @@
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,9 +18,10 @@ from gridmart.plans.warehouse import (
     load_fact,
     load_warehouse,
 )
-from gridmart.plans.views import register_views
+from gridmart.plans.views import publish_views, register_views
 from gridmart.schemas import GRAIN
-from gridmart.sources.tables import clear_folders, write_curated, write_partitioned
+from gridmart.sources.folders import Folders, finish_exchanges, new_exchange
+from gridmart.sources.tables import write_curated, write_partitioned
 
 from conftest import climate_row, generation_row, retail_row, tuples
 
@@ -74,7 +76,7 @@ def staged_sales(wh):
 
 def test_reload_from_the_watermark(spark, staging, wh, tmp_path):
     base = str(tmp_path / "curated")
-    assert staging_watermark(wh.staging("retail")).first().watermark == JAN
+    assert staging_watermark(wh, "retail") == JAN
     curate(staging, base, [JAN, FEB])
     reload_dataset(wh, base, "retail", FEB)
     assert staged_sales(wh) == [(1, 1.0), (2, 2.0)]
@@ -105,6 +107,114 @@ def test_datasets_before_a_failure_stay_loaded(spark, staging, wh, tmp_path):
     assert wh.staging("climate").count() == 1 and wh.staging("generation").count() == 0
 
 
+def break_month(base, month):
+    """A curated month that no reader can open."""
+    folder = Path(base) / CURATED_FOLDER["retail"] / f"year=2010/month={month:02d}"
+    for file in folder.iterdir():
+        file.unlink()
+    (folder / "part-0.parquet").write_text("not a table")
+
+
+def leftovers(wh):
+    return [p.name for p in (Path(wh.root) / "stg").glob("_*")]
+
+
+def test_a_load_that_fails_leaves_the_staged_months(spark, staging, wh, tmp_path):
+    base = str(tmp_path / "curated")
+    curate(staging, base, [JAN, FEB])
+    reload_dataset(wh, base, "retail", FEB, JAN)
+    curate(staging, base, [JAN, FEB, MAR], factor=10.0)
+    break_month(base, 3)
+    for _ in range(2):
+        with pytest.raises(Exception, match="Parquet|parquet"):
+            reload_dataset(wh, base, "retail", MAR, JAN)
+        assert staged_sales(wh) == [(1, 1.0), (2, 2.0)] and leftovers(wh) == []
+    curate(staging, base, [MAR], factor=10.0)
+    reload_dataset(wh, base, "retail", MAR, JAN)
+    assert staged_sales(wh) == [(1, 1.0), (2, 20.0), (3, 30.0)]
+
+
+@pytest.mark.parametrize("fails_at", range(4))
+def test_months_that_were_moved_are_put_back(staging, wh, tmp_path, monkeypatch, fails_at):
+    base = str(tmp_path / "curated")
+    curate(staging, base, [JAN, FEB])
+    reload_dataset(wh, base, "retail", JAN, JAN)
+    reload_dataset(wh, base, "retail", FEB, JAN)
+    curate(staging, base, [FEB, MAR], factor=10.0)
+    move, moves = Folders.move, []
+
+    def failing(self, old, new):
+        if "year=" in old:  # a month
+            moves.append(old)
+            if len(moves) == fails_at + 1:
+                raise OSError("no more")
+        move(self, old, new)
+
+    monkeypatch.setattr(Folders, "move", failing)
+    if fails_at < 3:  # February out, February in, March in
+        with pytest.raises(OSError, match="no more"):
+            reload_dataset(wh, base, "retail", MAR, JAN)
+        assert staged_sales(wh) == [(1, 1.0), (2, 2.0)]
+    else:
+        reload_dataset(wh, base, "retail", MAR, JAN)
+        assert staged_sales(wh) == [(1, 1.0), (2, 20.0), (3, 30.0)]
+    assert leftovers(wh) == []
+
+
+@pytest.mark.parametrize("dies_at", range(3))
+def test_an_exchange_that_was_cut_off_is_finished(staging, wh, tmp_path, monkeypatch, dies_at):
+    base = str(tmp_path / "curated")
+    curate(staging, base, [JAN, FEB])
+    reload_dataset(wh, base, "retail", FEB, JAN)
+    curate(staging, base, [FEB, MAR], factor=10.0)
+    move, moves = Folders.move, []
+
+    class Death(BaseException):
+        """Nothing that a program handles."""
+
+    def dying(self, old, new):
+        if "year=" in old:
+            moves.append(old)
+            if len(moves) == dies_at + 1:
+                raise Death
+        move(self, old, new)
+
+    monkeypatch.setattr(Folders, "move", dying)
+    with pytest.raises(Death):
+        reload_dataset(wh, base, "retail", MAR, JAN)
+    assert leftovers(wh)
+    monkeypatch.setattr(Folders, "move", move)
+    finish_exchanges(Folders(wh.spark, f"{wh.root}/stg"), "retail")
+    assert staged_sales(wh) == [(1, 1.0), (2, 20.0), (3, 30.0)] and leftovers(wh) == []
+
+
+def test_rows_beside_the_table_without_a_plan_are_dropped(staging, wh, tmp_path):
+    base = str(tmp_path / "curated")
+    curate(staging, base, [JAN])
+    reload_dataset(wh, base, "retail", JAN, JAN)
+    tables = Folders(wh.spark, f"{wh.root}/stg")
+    exchange = new_exchange(tables, "retail")
+    curate(staging, f"{wh.root}/stg/{exchange}/new", [FEB])
+    reload_dataset(wh, base, "retail", JAN, JAN)
+    assert staged_sales(wh) == [(1, 1.0)] and leftovers(wh) == []
+
+
+def test_watermarks_open_no_file(staging, wh):
+    stage(wh, staging, retail=[retail_row(2010, m, "AL", "Total") for m in (1, 2)])
+    load_dimensions(wh)
+    load_fact(wh, "retail")
+    for file in [*Path(wh.root).rglob("date_key=20100101/*/*.parquet"), *Path(wh.root).rglob("month=1/*/*.parquet")]:
+        file.write_text("not a table")
+    assert staging_watermark(wh, "retail") == FEB
+    assert fact_watermark(wh, "retail") == 20100201
+    # Nor does a load touch older months.
+    stage(wh, staging, retail=[retail_row(2010, m, "AL", "Total") for m in (2, 3)])
+    with pytest.raises(Exception, match="parquet|Parquet"):
+        wh.fact("retail").agg({"sales_mwh": "sum"}).collect()
+    assert fact_delta(wh, "retail", wh.staging("retail").where("period >= date'2010-02-01'")).count() == 0  # March has no date yet
+    assert staging_watermark(wh, "climate") == JAN and fact_watermark(wh, "climate") == 0
+
+
 # --- dimensions -----------------------------------------------------------------------
 
 
@@ -142,8 +252,8 @@ def test_facts_take_new_rows_from_the_watermark_on(staging, wh):
     ])
     load_dimensions(wh)
     load_fact(wh, "retail")
-    assert fact_watermark(wh.fact("retail")).first().watermark == 20100201
-    assert fact_delta(wh.staging("retail"), wh.star(), "retail").count() == 0
+    assert fact_watermark(wh, "retail") == 20100201
+    assert fact_delta(wh, "retail").count() == 0
     # A late row in January, a changed value and a new row in February, a new month.
     stage(wh, staging, retail=[
         retail_row(2010, 1, "AL", "Total", sales=1.0),
@@ -200,9 +310,9 @@ def test_reload_reads_only_the_newest_months(staging, wh):
     stage(wh, staging, retail=[retail_row(2010, m, "AL", "Total") for m in (1, 2, 3)])
     load_dimensions(wh)
     load_fact(wh, "retail")
-    plan = fact_delta(wh.staging("retail"), wh.star(), "retail")._jdf.queryExecution().toString()
-    assert "PartitionFilters: [isnotnull(period" in plan and "(period" in plan and ">= 2010-03-01" in plan
-    assert ">= 20100301)" in plan
+    plan = fact_delta(wh, "retail")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(period" in plan and "> 2010-03-01" in plan and "= 2010-03-01" in plan
+    assert "= 20100301)" in plan
 
 
 def test_a_misfiled_row_leaves_older_months_alone(spark, wh, staging, tmp_path):
@@ -224,7 +334,7 @@ def test_an_emptied_watermark_month_goes(spark, wh, staging, tmp_path):
     rows = [retail_row(2010, 1, "AL", "Total"), retail_row(2010, 2, "AL", "Total")]
     write_curated(staging("retail", rows), curated, "retail")
     reload_dataset(wh, curated, "retail", FEB, JAN)
-    clear_folders(spark, [f"{curated}/{CURATED_FOLDER['retail']}/year=2010/month=02"])
+    Folders(spark, curated).delete(f"{CURATED_FOLDER['retail']}/year=2010/month=02")
     none = staging("retail", []).drop("year", "month")
     none.write.parquet(f"{curated}/{CURATED_FOLDER['retail']}/year=2010/month=02")
     reload_dataset(wh, curated, "retail", FEB, JAN)
@@ -242,3 +352,47 @@ def test_views_follow_later_loads(spark, wh, staging):
     load_dimensions(wh)
     load_fact(wh, "retail")
     assert spark.sql(count).first()[0] == 2
+
+
+def test_views_of_the_database_are_current_in_every_session(spark, staging, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "warehouse"), f"energy_{tmp_path.name.replace('-', '_')}")
+    publish_views(wh)
+    other = spark.newSession()
+    totals = f"select count(*), count(distinct state_code) from {wh.database}.vw_RetailTotal"
+    details = f"select count(*) from {wh.database}.vw_SectorKPI"
+    assert tuple(other.sql(totals).first()) == (0, 0)
+    stage(wh, staging, retail=[retail_row(2010, 1, "AL", s) for s in ("Total", "Residential")])
+    load_dimensions(wh)
+    load_fact(wh, "retail")
+    assert tuple(other.sql(totals).first()) == (1, 1) and other.sql(details).first()[0] == 1
+    # More rows of the same month, of a new state, and a new month.
+    stage(wh, staging, retail=[retail_row(2010, m, x, s) for m in (1, 2) for x in ("AL", "TX") for s in ("Total", "Residential")])
+    load_dimensions(wh)
+    load_fact(wh, "retail")
+    for session in (other, spark, spark.newSession()):
+        assert tuple(session.sql(totals).first()) == (4, 2)
+    plan = other.sql(f"select * from {wh.database}.vw_RetailTotal where full_date = date'2010-02-01'")
+    assert "dynamicpruning" in plan._jdf.queryExecution().executedPlan().toString().lower()
+    # A database made later finds what is there.
+    late = Warehouse(spark, wh.root, f"{wh.database}_late")
+    publish_views(late)
+    assert tuple(other.sql(totals.replace(wh.database, late.database)).first()) == (4, 2)
+    for database in (wh.database, late.database):
+        spark.sql(f"drop database {database} cascade")
+
+
+def test_publishing_needs_a_database(wh):
+    with pytest.raises(ValueError, match="database"):
+        publish_views(wh)
+
+
+def test_a_load_refreshes_the_registered_views_only(spark, wh, staging, tmp_path):
+    spark.range(1).write.parquet(str(tmp_path / "own"))
+    spark.read.parquet(str(tmp_path / "own")).createOrReplaceTempView("vw_mine")
+    spark.range(1).write.mode("append").parquet(str(tmp_path / "own"))
+    stage(wh, staging, retail=[retail_row(2010, 1, "AL", "Total")])
+    load_dimensions(wh)
+    register_views(wh.star())
+    load_fact(wh, "retail")
+    assert spark.table("vw_mine").count() == 1  # as it was registered
+    spark.catalog.dropTempView("vw_mine")
