@@ -23,8 +23,9 @@ from gridmart.llm.packing import pack_documents
 from gridmart.llm.queries import tokenizer_path
 from gridmart.llm.rules import well_formed
 from gridmart.llm.substrings import without_repeats
-from gridmart.llm.tables import table, written
+from gridmart.llm.tables import table
 from gridmart.llm.toxicity import not_toxic
+from gridmart.session import new_scratch, own_scratch, remove
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,12 +56,20 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", packing),
 ]
 
-#: A trained network and a tokenizer are beyond SQL; tests/llm/test_pipeline.py holds the stages against plain versions.
+#: A trained network and a tokenizer are beyond SQL; tests/llm/test_corpus_pipeline.py holds the run against plain versions.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The stages one after the other. What a stage has written for itself goes when its result is there, and then the one before."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        path = new_scratch(spark, f"stage-{name}")
+        with own_scratch(spark):
+            found = stage(spark, docs, sf_dir)
+            found.write.option("compression", "zstd").parquet(path)
+        docs = spark.read.schema(found.schema).parquet(path)
+        if before:
+            remove(spark, before)
+        before = path
     return docs

@@ -7,7 +7,10 @@ has no such path; so an article that lies in several containers of one kind is w
 
 The text is made of blocks in page order, joined by line ends; white space inside a block is one space. Menus,
 headers, footers, side bars, notices, adverts, forms, scripts, styles and comments do not count, told by tag,
-role, class or id. Character references are decoded, in each run of text by itself. A page cut off inside a tag
+role, class or id. A class or id is only a hint: it does not count for an article, nor for a part that holds over half of the
+page's running text, or over a quarter with an article in it, on a page without another article, unless it is about readers'
+comments. Controls inside a
+paragraph are left out of it and do not end it. Character references are decoded, in each run of text by itself. A page cut off inside a tag
 loses that tag only. A null or empty page has an empty text; a page whose address is null or has no host votes with
 all others of that kind; repeated rows count and return each.
 """
@@ -26,7 +29,7 @@ from pyspark.sql import functions as F
 from gridmart.llm.tables import in_tasks, written
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
+    r"<!--(?:>|->|.*?(?:-->|\Z))|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?:>|\Z)|[^>]*(?:>|\Z))",
     re.S,
 )
@@ -43,6 +46,10 @@ DROPPED = frozenset(
     "head nav footer aside form menu dialog button select option input fieldset svg math canvas object audio video applet "
     "datalist legend".split()
 )
+#: Of these and of raw ones, those that can stand inside a line of text.
+IN_LINE_DROPPED = frozenset(
+    "button select option input svg math canvas object audio video applet datalist script style textarea noscript iframe template".split()
+)
 CONTAINERS = {"article": 5, "main": 4, "body": 2, "section": 2, "div": 2, "td": 2, "center": 2, "blockquote": 1, "li": 1, "dd": 1}
 #: What class and id names tell; a name of the second kind next to one of the third says nothing.
 NOISE = frozenset(
@@ -52,17 +59,22 @@ NOISE = frozenset(
     "respond reply replies form login signup search pagination pager widget toolbar copyright legal skip tags".split()
 )
 WEAK_NOISE = frozenset(["header", "masthead", "head", "top", "side", "meta"])
+READERS = frozenset("comment comments disqus respond reply replies".split())
 CONTENT = frozenset("article post entry content main body story text".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
 PART = 1000
+#: What names say of a part: nothing, a hint, or for sure.
+_NONE, _HINT, _SURE = range(3)
 
 
 class Element:
-    __slots__ = ("tag", "names", "parent", "noise", "score", "first", "last", "linked")
+    __slots__ = ("tag", "names", "parent", "noise", "hint", "within", "score", "first", "last", "linked")
 
     def __init__(self, tag: str, names: tuple, parent: Element | None, noise: bool, first: int):
         self.tag, self.names, self.parent, self.noise = tag, names, parent, noise
         self.first, self.last, self.score, self.linked = first, -1, 0.0, False
+        self.hint: int | None = None  # the part above by whose name alone this is no main text
+        self.within = tag in ("article", "main") or (parent is not None and parent.within)
 
     def path(self) -> str:
         steps, at = [], self
@@ -73,10 +85,10 @@ class Element:
         return "/".join(reversed(steps))
 
 
-def _names(attributes: str) -> tuple[tuple, bool]:
+def _names(attributes: str) -> tuple[tuple, int]:
     """Generalised class names, and whether class, id or role say that this is no main text."""
     if not attributes or len(attributes) < 4:
-        return (), False
+        return (), _NONE
     classes, parts, noise = (), set(), False
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
@@ -88,15 +100,20 @@ def _names(attributes: str) -> tuple[tuple, bool]:
             parts.update(x.lower() for x in _TOKENS.findall(value))
             if name == "class":
                 classes = tuple(sorted({re.sub(r"\d+", "", x) for x in value.split()} - {""}))
-    if parts & NOISE or (parts & WEAK_NOISE and not parts & CONTENT):
-        noise = True
-    return classes, noise
+    if noise or parts & READERS:
+        return classes, _SURE
+    return classes, _HINT if parts & NOISE or (parts & WEAK_NOISE and not parts & CONTENT) else _NONE
 
 
 class Page:
-    """Blocks of text, each with the element that holds it, and the block elements of a page."""
+    """Blocks of text, each with the element that holds it, and the block elements of a page.
+
+    ``hinted`` has the running text of the parts that a name alone keeps out; those in ``kept`` are not.
+    """
 
-    def __init__(self, html: str):
+    def __init__(self, html: str, kept: frozenset[int] = frozenset()):
+        self.kept, self.hinted, self.with_article = kept, Counter(), set()
+        self.running, self.in_article, opened = 0, 0, 0
         self.blocks: list[tuple[str, bool]] = []
         self.elements: list[Element] = []
         self.root = Element("", (), None, False, 0)
@@ -121,7 +138,8 @@ class Page:
                         stack.pop()
                         open_tags[tag] -= 1
                 elif open_tags[tag]:
-                    self.flush(stack[-1])
+                    if tag not in IN_LINE_DROPPED:
+                        self.flush(stack[-1])
                     while True:
                         gone = stack.pop()
                         open_tags[gone.tag] -= 1
@@ -134,7 +152,7 @@ class Page:
             if tag == "br":
                 self.pieces.append(" ")
                 continue
-            block = tag not in INLINE
+            block = tag not in INLINE and tag not in IN_LINE_DROPPED
             if block and not (tag in VOID and tag != "hr"):
                 self.flush(stack[-1])
                 closes = {"li": "li", "dd": "dd", "dt": "dt", "tr": "tr", "td": "td", "th": "th", "option": "option"}.get(tag, "p")
@@ -154,14 +172,22 @@ class Page:
                 close = re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(html, at)
                 at = close.end() if close else n
                 continue
-            names, noise = _names(m[3])
+            names, said = _names(m[3])
             above = stack[-1]
-            noise = noise or above.noise or tag in DROPPED
-            if tag == "header" and not noise:
-                noise = not open_tags["article"]
-            if tag in ("html", "body", "article", "main") and not above.noise and tag != "article":
-                noise = False
-            element = Element(tag, names, above, noise, len(self.blocks))
+            opened += 1
+            if tag in ("html", "body", "main"):
+                said = _NONE
+            sure = said == _SURE or (above.noise and above.hint is None) or tag in DROPPED
+            if tag == "header" and not (sure or above.noise or said):
+                sure = not open_tags["article"]
+            element = Element(tag, names, above, sure or above.noise, len(self.blocks))
+            if not sure:
+                if above.noise:
+                    element.hint = above.hint
+                elif said == _HINT and tag != "article" and opened not in kept:
+                    element.noise, element.hint = True, opened
+                if element.hint is not None and tag in ("article", "main"):
+                    self.with_article.add(element.hint)
             element.linked = above.linked or tag == "a"
             stack.append(element)
             open_tags[tag] += 1
@@ -172,6 +198,13 @@ class Page:
             element.last = len(self.blocks)
 
     def text(self, piece: str, holder: Element) -> None:
+        if not holder.linked and (not holder.noise or holder.hint is not None):
+            running = len(piece.strip())
+            self.running += running
+            if holder.noise:
+                self.hinted[holder.hint] += running
+            elif holder.within:
+                self.in_article += running
         if holder.noise:
             return
         piece = unescape(piece) if "&" in piece else piece
@@ -194,6 +227,12 @@ class Page:
                     at = at.parent
             self.pieces, self.letters, self.linked = [], 0, 0
 
+    def misjudged(self) -> frozenset[int]:
+        """Parts that a name alone keeps out, though they hold so much of a page without another article that they are its text."""
+        if self.in_article:
+            return frozenset()
+        return frozenset(i for i, n in self.hinted.items() if (4 if i in self.with_article else 2) * n > self.running)
+
     def best(self) -> list[tuple[float, Element]]:
         """The page's containers that have a score, the best one first."""
         found = [(x.score * CONTAINERS[x.tag], -i, x) for i, x in enumerate(self.elements) if x.score > 0 and not x.noise]
@@ -208,9 +247,17 @@ class Page:
         return "\n".join(x for element in elements for x, _ in self.blocks[element.first : element.last])
 
 
+def page_of(html: str) -> Page:
+    """A page, read again as long as some part proves to be misjudged; each time one part less can be."""
+    page = Page(html)
+    while wrong := page.misjudged():
+        page = Page(html, page.kept | wrong)
+    return page
+
+
 def votes(html: str | None) -> list[tuple[str, int]]:
     """Generalised paths of a page's containers and their scores in thousandths of the best."""
-    found = Page(html or "").best()
+    found = page_of(html or "").best()
     out: Counter = Counter()
     for score, element in found:
         path = element.path()
@@ -222,7 +269,7 @@ def extract(html: str | None, path: str | None) -> str:
     """The main text of a page, from all containers on ``path`` if the page has one, or else on the path of its best one."""
     if not html:
         return ""
-    page = Page(html)
+    page = page_of(html)
     own = page.on(path) if path is not None else []
     if not own:
         found = page.best()

@@ -5,16 +5,20 @@ A document's set is its distinct shingles of five words. Two documents link when
 order puts shingles of many documents last, so lists of the index are short.
 
 What one set's answers say about another's is used three times. Equal sets are one class with one set that stands for all.
-Sets that agree in a few minimum hashes are first compared with one leader each, the most central one, and those that link are one component from
-then on: whatever a member links to, its component has. In the index, a list's members are sorted by size, and
+Sets that agree in a few minimum hashes are first compared with one leader each, the most central one; those that link are one
+component from then on, and whatever a member links to, its component has. A leader's answers then serve its members: of two
+sets of different components their leaders are compared first. Since the shingles in which a set differs from its leader are
+counted, the leaders' overlap bounds the members': at most what the members have beyond their leaders comes on top, at most what
+they lack goes off. Only pairs that these bounds do not decide are compared themselves.
 
-* blocks of sets that are too large for a set are skipped,
-* lists, blocks and pairs of members of one component are skipped,
-* pairs whose positions in a list leave too little after them for the needed intersection are skipped.
+The lists of the index are skipped by blocks. A list's members are sorted by size class and by the position of the shingle in
+their sets, and cut into blocks. A pair of blocks is skipped as a whole, by its largest rest behind the positions, if these
+leave too little for the needed intersection, if the sizes are too far apart, or if all members are of one component; so is a
+whole list of one component. Pairs of members are only looked at in the blocks that are left.
 
-Of what is left, and of the pairs with leaders, bit maps of the sets rule out those that differ in too many shingles, and the
-rest is compared exactly, on the whole texts. Candidates are no pairs within a group, as long as its members
-link to their leaders; nothing is capped, and what the leaders do not settle is compared pair by pair.
+Before sets are compared, bit maps rule out those that differ in too many shingles; the rest is compared exactly, on the
+whole texts. Candidates are no pairs within a group, as long as its members link to their leaders; nothing is capped, and what
+neither leaders nor bounds settle is compared pair by pair.
 
 Texts are lower-cased (A-Z). A text of fewer than five words is one shingle as a whole; without words a document has no
 set and links with nothing. Null texts have no words. Rows of one id are one document, linked in itself; rows without an
@@ -23,12 +27,13 @@ id link with nothing. Shingles are told by 64-bit hashes.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridmart.llm.components import components
@@ -37,12 +42,31 @@ from gridmart.llm.words import Words, mixed, ranges, signed, windows, words_of
 
 SHINGLE, PERCENT = 5, 75
 BINS, BANDS = 32, 8
-#: A shingle is common if that many documents of a batch have it and its counts add up to that part of all documents.
+#: A shingle is common if that many documents that a task holds at once have it and its counts add up to that part of all documents.
 COMMON_IN_TASK, COMMON_LEAST, COMMON_PART = 2, 64, 4000
-LIST_ROWS, ENTRIES = 600_000, 250_000
+#: The most common shingles that are told apart in the order of all; further ones are like any other.
+MOST_COMMON = 200_000
+LIST_ROWS, ENTRIES, BLOCK, PAIRS_AT_ONCE = 150_000, 100_000, 64, 250_000
+#: What a task holds at once: bytes of texts and shingles to be counted. A longer text is held as a whole.
+TEXT_BYTES, COUNTED = 400_000, 1_000_000
 SKETCH = "kind int, doc_id long, size long, signature long, check long, bands array<long>, bits binary"
 
 
+def _lean(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """:func:`in_tasks`, with all memory given back at the end: workers wait for other tasks, and the many stages without them
+    need the room."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+            if trim:
+                trim(0)
+
+    return in_tasks(df, whole, schema)
+
+
 def shingle_sets(words: Words, shingle: int) -> list[np.ndarray]:
     """The distinct shingle hashes of each text, ascending."""
     hashes = words.hashes()
@@ -85,85 +109,156 @@ def bitmap(own: np.ndarray) -> bytes:
     return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
-def _may_link(percent: int) -> Callable:
-    """Pairs whose maps leave room for the needed intersection."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept = []
-            sizes = (batch.column(c).to_numpy() for c in ("a_size", "b_size"))
-            for i, (m, n, x, y) in enumerate(zip(*sizes, batch.column("a_bits"), batch.column("b_bits"), strict=True)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                size = min(len(x), len(y))
-                # A longer map is folded: its halves turn each other over.
-                x, y = (np.bitwise_xor.reduce(z.reshape(-1, size), axis=0) for z in (x, y))
-                apart = int(np.bitwise_count(x ^ y).sum())
-                most = (m + n - apart) // 2
-                if 100 * most >= percent * (m + n - most):
-                    kept.append(i)
-            rows = batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
-            yield pa.RecordBatch.from_arrays([rows.column("a"), rows.column("b")], names=["a", "b"])
-
-    return run
+def _room(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many shingles each pair can share at most, by its maps."""
+    for batch in batches:
+        sizes = [batch.column(c).to_numpy() for c in ("a_size", "b_size")]
+        most = np.zeros(batch.num_rows, np.int64)
+        for i, (m, n, x, y) in enumerate(zip(*sizes, batch.column("a_bits"), batch.column("b_bits"), strict=True)):
+            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            size = min(len(x), len(y))
+            # A longer map is folded: its halves turn each other over.
+            x, y = (np.bitwise_xor.reduce(z.reshape(-1, size), axis=0) for z in (x, y))
+            most[i] = (m + n - int(np.bitwise_count(x ^ y).sum())) // 2
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *map(pa.array, (*sizes, most))], names=["a", "b", "a_size", "b_size", "most"])
 
 
 def _sketched(shingle: int) -> Callable:
+    kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
+    names = [x.split()[0] for x in SKETCH.split(", ")]
+
+    def rows_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+
+    def common(seen: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        values, counts = np.unique(np.concatenate(seen), return_counts=True)
+        seen.clear()
+        often = counts >= COMMON_IN_TASK
+        values, counts = values[often].view(np.int64), counts[often]
+        if len(values):
+            none = [pa.nulls(len(values), t) for t in kinds]
+            none[0], none[2], none[3] = pa.array(np.ones(len(values), np.int32)), pa.array(counts), pa.array(values)
+            yield pa.RecordBatch.from_arrays(none, names=names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: list[np.ndarray] = []
+        held = 0
         for batch in batches:
-            ids, rows, seen = batch.column(0).to_pylist(), [], []
-            for words in words_of(batch.column(1), lower=True):
+            ids = batch.column(0)
+            for words in words_of(batch.column(1), lower=True, size=TEXT_BYTES):
+                rows = []
                 for i, own in enumerate(shingle_sets(words, shingle), words.first):
                     if len(own):
-                        rows.append((0, ids[i], len(own), *signature(own), bands(own), bitmap(own)))
+                        rows.append((0, ids[i].as_py(), len(own), *signature(own), bands(own), bitmap(own)))
                         seen.append(own)
+                        held += len(own)
                     else:
-                        rows.append((0, ids[i], 0, 0, 0, [], None))
-            if seen:
-                values, counts = np.unique(np.concatenate(seen), return_counts=True)
-                often = counts >= COMMON_IN_TASK
-                rows += [(1, None, c, v, 0, [], None) for v, c in zip(values[often].view(np.int64).tolist(), counts[often].tolist(), strict=True)]
-            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
-            names = [x.split()[0] for x in SKETCH.split(", ")]
-            for lo in range(0, len(rows), 50_000):
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows[lo : lo + 50_000], strict=True), kinds, strict=True)], names=names)
+                        rows.append((0, ids[i].as_py(), 0, 0, 0, [], None))
+                yield rows_of(rows)
+                if held > COUNTED:
+                    yield from common(seen)
+                    held = 0
+        if seen:
+            yield from common(seen)
 
     return run
 
 
-def _compared(shingle: int, percent: int) -> Callable:
-    """Which of the pairs link, on both texts."""
+def _compared(shingle: int) -> Callable:
+    """How many shingles both texts of a pair share, and their sizes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = []
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
-                sets = [[own for words in words_of(part.column(c), lower=True) for own in shingle_sets(words, shingle)] for c in ("x_text", "y_text")]
+            found = np.zeros((batch.num_rows, 3), np.int64)
+            for lo in range(0, batch.num_rows, 250):
+                part = batch.slice(lo, 250)
+                sets = [[own for words in words_of(part.column(c), lower=True, size=TEXT_BYTES) for own in shingle_sets(words, shingle)] for c in ("x_text", "y_text")]
                 for i, (x, y) in enumerate(zip(*sets, strict=True), lo):
-                    same = len(np.intersect1d(x, y, assume_unique=True))
-                    if same and 100 * same >= percent * (len(x) + len(y) - same):
-                        kept.append(i)
-            rows = batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
-            yield pa.RecordBatch.from_arrays([rows.column("a"), rows.column("b")], names=["a", "b"])
+                    found[i] = len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *map(pa.array, found.T)], names=["a", "b", "same", "a_size", "b_size"])
 
     return run
 
 
-def with_room(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose bit maps do not rule a link out; ``classes`` has id, size and bits."""
+def links(same: str | Column, percent: int, a_size: str = "a_size", b_size: str = "b_size") -> Column:
+    """Whether sets of these sizes that share so many shingles link."""
+    same = F.col(same) if isinstance(same, str) else same
+    return (same > 0) & (100 * same >= percent * (F.col(a_size) + F.col(b_size) - same))
+
+
+def room(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) with the number of shingles that they share at most; ``classes`` has id, size and bits."""
     bits = classes.select("id", "size", "bits")
     pairs = pairs.join(bits.withColumnsRenamed({"id": "a", "size": "a_size", "bits": "a_bits"}), "a")
     pairs = pairs.join(bits.withColumnsRenamed({"id": "b", "size": "b_size", "bits": "b_bits"}), "b")
-    return in_tasks(pairs, _may_link(percent), "a long, b long").distinct()
+    return _lean(pairs, _room, "a long, b long, a_size long, b_size long, most long")
 
 
-def linked(pairs: DataFrame, rows: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of documents whose sets link; ``rows`` has id and text, and only texts in pairs move."""
+def overlaps(pairs: DataFrame, rows: DataFrame, shingle: int) -> DataFrame:
+    """The pairs (a, b) of documents with what their sets share; ``rows`` has id and text, and only texts in pairs move."""
+    pairs = pairs.select("a", "b").distinct()
     ids = written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "jaccard-ids")
     texts = rows.join(ids, "id", "left_semi")
     with_x = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("x_text")), "a")
     both = with_x.join(texts.select(F.col("id").alias("b"), F.col("text").alias("y_text")), "b")
-    return in_tasks(both.select("a", "b", "x_text", "y_text"), _compared(shingle, percent), "a long, b long").distinct()
+    return _lean(both.select("a", "b", "x_text", "y_text"), _compared(shingle), "a long, b long, same long, a_size long, b_size long").distinct()
+
+
+def answers(pairs: DataFrame, classes: DataFrame, rows: DataFrame, shingle: int, percent: int, label: str) -> tuple[DataFrame, DataFrame]:
+    """Which pairs (a, b) link, and what all of them share at most: exactly, if ``exact``, or by their maps."""
+    found = written(room(pairs, classes), f"{label}-room")
+    exact = written(overlaps(found.where(links("most", percent)), rows, shingle), f"{label}-exact")
+    at_most = found.groupBy("a", "b").agg(F.max("most").alias("most"))
+    known = exact.groupBy("a", "b").agg(F.max("same").alias("same"))
+    at_most = at_most.join(known, ["a", "b"], "left").select("a", "b", F.coalesce("same", "most").alias("most"), F.col("same").isNotNull().alias("exact"))
+    return exact.where(links("same", percent)), at_most
+
+
+def _pair(a: str, b: str) -> list[Column]:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
+def members_of(leaders: DataFrame, linked: DataFrame, single: DataFrame) -> DataFrame:
+    """``(id, leader, beyond, lacking)``: sets that link to a leader, with the nearest one and what they have and lack of it.
+
+    Only ids with one set are here (``single``), and leaders lead themselves.
+    """
+    both = linked.select("a", "b", "same", "a_size", "b_size").unionByName(
+        linked.select(F.col("b").alias("a"), F.col("a").alias("b"), "same", F.col("b_size").alias("a_size"), F.col("a_size").alias("b_size"))
+    )
+    ids = leaders.select(F.col("leader.id").alias("b")).distinct()
+    near = both.join(ids, "b", "left_semi").join(ids.withColumnRenamed("b", "a"), "a", "left_anti")
+    for side in ("a", "b"):
+        near = near.join(single.withColumnRenamed("id", side), side, "left_semi")
+    best = F.max_by(F.struct("b", "same", "a_size", "b_size"), F.struct("same", -F.col("b"))).alias("best")
+    near = near.groupBy(F.col("a").alias("id")).agg(best)
+    return near.select("id", F.col("best.b").alias("leader"), (F.col("best.a_size") - F.col("best.same")).alias("beyond"), (F.col("best.b_size") - F.col("best.same")).alias("lacking"))
+
+
+def by_leaders(pairs: DataFrame, members: DataFrame, classes: DataFrame, rows: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The links among pairs (a, b) of sets of different components, found by their leaders' answers where these decide."""
+    for side in ("a", "b"):
+        own = members.select(F.col("id").alias(side), *(F.col(c).alias(f"{side}_{c}") for c in ("leader", "beyond", "lacking")))
+        pairs = pairs.join(own, side, "left").withColumn(f"{side}_leader", F.coalesce(f"{side}_leader", side))
+        pairs = pairs.na.fill(0, [f"{side}_beyond", f"{side}_lacking"])
+    pairs = written(pairs, "jaccard-led")
+    first = pairs.select(*_pair("a_leader", "b_leader")).distinct()
+    linked, at_most = answers(first, classes, rows, shingle, percent, "jaccard-leaders")
+    linked = written(linked.select("a", "b").distinct(), "jaccard-leader-links")
+    # Where leaders link, their components are one, and their members' links tell nothing more.
+    rest = pairs.where("a <> a_leader or b <> b_leader").withColumnsRenamed({"a": "x", "b": "y"}).select("*", *_pair("a_leader", "b_leader"))
+    rest = rest.join(linked, ["a", "b"], "left_anti").join(at_most, ["a", "b"]).select(
+        *_pair("x", "y"), "most", "exact", (F.col("a_beyond") + F.col("b_beyond")).alias("beyond"), (F.col("a_lacking") + F.col("b_lacking")).alias("lacking")
+    )
+    # An id can have several sets: what is left open goes by the smallest, what is sure by the largest.
+    size = classes.groupBy("id").agg(F.min("size").alias("least"), F.max("size").alias("size"))
+    for side in ("a", "b"):
+        rest = rest.join(size.select(F.col("id").alias(side), F.col("least").alias(f"{side}_least"), F.col("size").alias(f"{side}_size")), side)
+    upper = F.least(F.col("most") + F.col("beyond"), "a_size", "b_size")
+    rest = written(rest.where(links(upper, percent, "a_least", "b_least")), "jaccard-undecided")
+    sure = F.col("exact") & links(F.col("most") - F.col("lacking"), percent)
+    more, _ = answers(rest.where(~sure).select("a", "b").distinct(), classes, rows, shingle, percent, "jaccard-members")
+    return linked.unionByName(rest.where(sure).select("a", "b")).unionByName(more.select("a", "b")).distinct()
 
 
 def _firsts(shingle: int, percent: int, common) -> Callable:
@@ -173,7 +268,7 @@ def _firsts(shingle: int, percent: int, common) -> Callable:
         hashes, ranks = common.value  # common shingles, ascending by hash, and their ranks
         for batch in batches:
             ids = batch.column("id")
-            for words in words_of(batch.column("text"), lower=True):
+            for words in words_of(batch.column("text"), lower=True, size=TEXT_BYTES):
                 rows = []
                 for i, own in enumerate(shingle_sets(words, shingle), words.first):
                     n = len(own)
@@ -262,34 +357,35 @@ def _candidates(percent: int) -> Callable:
     return run
 
 
-def candidates(columns: list[np.ndarray], percent: int, block: int = 1024) -> Iterator[tuple[np.ndarray, ...]]:
-    """Pairs of one part's lists that no relation settles, smaller id first; a pair can come several times."""
-    order = np.lexsort((columns[3], columns[0]))  # by shingle, then by size
+def candidates(columns: list[np.ndarray], percent: int, block: int = BLOCK, skipped: dict[str, int] | None = None) -> Iterator[tuple[np.ndarray, ...]]:
+    """Pairs of one part's lists that no relation settles, smaller id first; a pair can come several times.
+
+    ``skipped`` takes the number of pairs in blocks that were passed over, and of those that were looked at.
+    """
+    if not len(columns[0]):
+        return
+    # Sizes of a class differ by less than a quarter of what may link.
+    class_ = np.floor(np.log(columns[3]) * (4 / np.log(100 / percent))).astype(np.int16) if percent < 100 else columns[3]
+    order = np.lexsort((columns[4], class_, columns[0]))
     h, ids, labels, size, at = (x[order] for x in columns)
+    class_ = class_[order]
     known, number = np.unique(ids, return_inverse=True)
-    begin = np.concatenate(([0], np.flatnonzero(h[1:] != h[:-1]) + 1))
-    end = np.append(begin[1:], len(h))
+    size, at = size.astype(np.int64), at.astype(np.int64)
+    rest = size - at
+    first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
     # Lists whose members are all of one component have nothing to compare.
-    several = np.minimum.reduceat(labels, begin) < np.maximum.reduceat(labels, begin)
-    begin, end = begin[several], end[several]
-
-    def open_(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """Of two arrays of members, ``x`` the smaller sets: which pairs need a comparison."""
-        need = (labels[x] != labels[y]) & (100 * size[x].astype(np.int64) >= percent * size[y].astype(np.int64))
-        # If this is the first shingle that they share, no more than the smaller rest can be shared.
-        most = np.minimum(size[x] - at[x], size[y] - at[y]).astype(np.int64)
-        return need & (100 * most >= percent * (size[x].astype(np.int64) + size[y] - most))
-
+    open_list = np.minimum.reduceat(labels, first) < np.maximum.reduceat(labels, first)
+    run = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (class_[1:] != class_[:-1]))))
+    in_run = np.arange(len(h)) - np.repeat(run, np.diff(np.append(run, len(h))))
+    lo = np.flatnonzero(in_run % block == 0)
+    hi = np.append(lo[1:], len(h))
+    of_list = np.searchsorted(first, lo, "right") - 1
+    low, high = (f.reduceat(size, lo) for f in (np.minimum, np.maximum))
+    behind = np.maximum.reduceat(rest, lo)
+    least, most = (f.reduceat(labels, lo) for f in (np.minimum, np.maximum))
     found: list[np.ndarray] = []
     held = 0
 
-    def add(x: np.ndarray, y: np.ndarray) -> None:
-        nonlocal held
-        need = open_(x, y)
-        a, b = number[x[need]], number[y[need]]
-        found.append(np.minimum(a, b) * len(known) + np.maximum(a, b))
-        held += len(a)
-
     def distinct() -> tuple[np.ndarray, ...]:
         nonlocal held
         keys = np.unique(np.concatenate(found))
@@ -297,33 +393,45 @@ def candidates(columns: list[np.ndarray], percent: int, block: int = 1024) -> It
         held = 0
         return known[keys // len(known)], known[keys % len(known)]
 
-    short = end - begin <= 64
-    starts, lengths = begin[short], (end - begin)[short]
-    member = np.repeat(starts - np.cumsum(lengths) + lengths, lengths) + np.arange(int(lengths.sum()))
-    last = np.repeat(starts + lengths, lengths)
-    for d in range(1, int(lengths.max(initial=0))):
-        inside = member + d < last
-        member, last = member[inside], last[inside]
-        # Members are sorted by size: further ones are larger still.
-        near = 100 * size[member].astype(np.int64) >= percent * size[member + d].astype(np.int64)
-        member, last = member[near], last[near]
-        add(member, member + d)
-        if held > 500_000:
-            yield distinct()
-    for a, b in zip(begin[~short].tolist(), end[~short].tolist(), strict=True):
-        for lo in range(a, b, block):
-            x = np.arange(lo, min(b, lo + block))
-            # Blocks of sets that are too large for the largest of these are skipped.
-            top = int(np.searchsorted(size[a:b], 100 * int(size[x[-1]]) // percent, "right")) + a
-            for low in range(lo, top, block):
-                y = np.arange(low, min(top, low + block))
-                if labels[x].min() == labels[x].max() == labels[y].min() == labels[y].max():
-                    continue
-                one, two = np.meshgrid(x, y, indexing="ij")
-                inside = one < two
-                add(one[inside], two[inside])
-                if held > 500_000:
-                    yield distinct()
+    def look(x: np.ndarray, y: np.ndarray) -> None:
+        """Take what may link of all pairs of the members of blocks ``x`` and ``y``."""
+        nonlocal held
+        n, width = (hi[x] - lo[x]) * (hi[y] - lo[y]), hi[y] - lo[y]
+        which = np.repeat(np.arange(len(n)), n)
+        i, j = np.divmod(np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n), width[which])
+        i, j = lo[x][which] + i, lo[y][which] + j
+        need = (i < j) & (labels[i] != labels[j])
+        i, j = i[need], j[need]
+        # If this is the first shingle that they share, no more than the smaller rest can be shared.
+        share = np.minimum(rest[i], rest[j])
+        may = 100 * share >= percent * (size[i] + size[j] - share)
+        a, b = number[i[may]], number[j[may]]
+        found.append(np.minimum(a, b) * len(known) + np.maximum(a, b))
+        held += len(a)
+        if skipped is not None:
+            skipped["looked at"] = skipped.get("looked at", 0) + len(need)
+
+    blocks = np.flatnonzero(open_list[of_list])
+    step = 0
+    while len(blocks):
+        x, y = blocks, blocks + step
+        share = np.minimum(behind[x], behind[y])
+        may = 100 * share >= percent * (low[x] + low[y] - share)
+        may &= 100 * np.minimum(high[x], high[y]) >= percent * np.maximum(low[x], low[y])
+        may &= (least[x] != most[x]) | (least[y] != most[y]) | (least[x] != least[y])
+        if skipped is not None:
+            skipped["skipped"] = skipped.get("skipped", 0) + int(((hi[x] - lo[x]) * (hi[y] - lo[y]))[~may].sum())
+        x, y = x[may], y[may]
+        total = np.cumsum((hi[x] - lo[x]) * (hi[y] - lo[y]))
+        cuts = np.arange(PAIRS_AT_ONCE, int(total[-1]), PAIRS_AT_ONCE) if len(total) else []
+        for own in np.split(np.arange(len(x)), np.searchsorted(total, cuts, "right")):
+            if len(own):
+                look(x[own], y[own])
+            if held > PAIRS_AT_ONCE:
+                yield distinct()
+        step += 1
+        blocks = blocks[(blocks + step < len(lo))]
+        blocks = blocks[of_list[blocks + step] == of_list[blocks]]
     if held:
         yield distinct()
 
@@ -332,7 +440,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """``(doc_id, n_shingles, component_id)`` of each row of ``docs``."""
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    sketch = written(in_tasks(rows, _sketched(shingle), SKETCH), "jaccard-sketch")
+    sketch = written(_lean(rows, _sketched(shingle), SKETCH), "jaccard-sketch")
     sets = sketch.where("kind = 0").select("doc_id", "size", "signature", "check", "bands", "bits")
     compared = sets.where("size > 0 and doc_id is not null")
 
@@ -354,23 +462,21 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     small, large = F.least("size", "leader.size"), F.greatest("size", "leader.size")
     met = met.where((F.col("id") != F.col("leader.id")) & (100 * small >= percent * large))
     met = written(met.select(F.least("leader.id", "id").alias("a"), F.greatest("leader.id", "id").alias("b")).distinct(), "jaccard-met")
-    near = written(with_room(met, classes, percent), "jaccard-near")
-    links = written(linked(near, rows, shingle, percent), "jaccard-links")
+    linked = written(answers(met, classes, rows, shingle, percent, "jaccard-met")[0], "jaccard-links")
     # Rows of one id with several sets are one document.
     own = compared.join(classes.select("signature", "check", "size", "id"), ["signature", "check", "size"])
     own = written(own.select("doc_id", "signature", "check", "size", "id"), "jaccard-members")
-    several = own.groupBy("doc_id").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("doc_id")
-    same = own.join(written(several, "jaccard-several"), "doc_id").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
-    links = links.unionByName(same.where("a <> b"))
-    first = components(links)
+    several = own.groupBy("doc_id").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.min("size").alias("small"), F.max("size").alias("large"))
+    several = written(several.select("doc_id", (F.col("least") < F.col("most")).alias("several"), (F.col("small") == F.col("large")).alias("alike")), "jaccard-several")
+    same = own.join(several.where("several").select("doc_id"), "doc_id").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
+    first = components(linked.select("a", "b").unionByName(same.where("a <> b")))
 
     # The index of first shingles, with components.
     late = (
         sketch.where("kind = 1").groupBy("signature").agg(F.sum("size").alias("n"))
         .where(F.col("n") >= max(COMMON_LEAST, total["n"] // COMMON_PART))
     )
-    # At most COMMON_PART times the mean size of a set of them.
-    late = late.select("signature", "n").toPandas()
+    late = late.select("signature", "n").orderBy(F.col("n").desc(), "signature").limit(MOST_COMMON).toPandas()
     hashes = late["signature"].to_numpy(np.int64).view(np.uint64)
     ranks = np.empty(len(late), np.int64)
     ranks[np.lexsort((hashes, late["n"].to_numpy()))] = np.arange(len(late))
@@ -379,13 +485,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     parts = max(1, int(total["size"]) * (100 - percent) // 100 // LIST_ROWS + 1)
     labelled = classes.select("id").distinct().join(first.withColumnRenamed("node", "id"), "id", "left")
     labelled = written(labelled.select("id", F.coalesce("label", "id").alias("label")), "jaccard-labels")
-    firsts = in_tasks(rows, _firsts(shingle, percent, common), "id long, n int, firsts binary").join(labelled, "id")
-    index = in_tasks(firsts, _dealt(parts), "part int, n int, blob binary")
+    firsts = _lean(rows, _firsts(shingle, percent, common), "id long, n int, firsts binary").join(labelled, "id")
+    index = _lean(firsts, _dealt(parts), "part int, n int, blob binary")
     index = index.repartition(parts, "part").sortWithinPartitions("part")
-    pairs = in_tasks(index, _candidates(percent), "a long, b long").distinct()
+    pairs = _lean(index, _candidates(percent), "a long, b long").distinct()
     pairs = written(pairs.join(met, ["a", "b"], "left_anti"), "jaccard-pairs")
-    near = written(with_room(pairs, classes, percent), "jaccard-near")
-    more = written(linked(near, rows, shingle, percent), "jaccard-more")
+    # Sets of one id, and only such, have overlaps and sizes that can be told from the id.
+    single = classes.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n = 1").select("id")
+    single = single.join(several.where("not several and alike").select(F.col("doc_id").alias("id")), "id", "left_semi")
+    members = written(members_of(leaders, linked, single), "jaccard-led-by")
+    more = written(by_leaders(pairs, members, classes, rows, shingle, percent), "jaccard-more")
 
     # Components of both kinds of links, back to all documents.
     label = components(first.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more))

@@ -52,15 +52,20 @@ class WordIds:
     """Ids of texts by a word tokenizer: no token of its model crosses white space or the classes of characters.
 
     Lower case and the split into letters, digits and signs are done here for words of ASCII and U+00C0-U+023F without
-    contractions, the library's model does the rest; other words go through the whole tokenizer.
+    contractions, the library's model does the rest; other words, and those that may hold an added token, go through the whole
+    tokenizer.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
+        #: How the texts of added tokens begin; a word with such a pair is one for the whole tokenizer.
+        added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        if any(len(t) < 2 or _CLASS[list(t)].min() == _SPACE for t in added):
+            raise ValueError(f"Added tokens of one byte or with white space are not supported: {added}")
+        self.added = np.array(sorted({t[0] << 8 | t[1] for t in added}), np.uint16)
         printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         rest = [b for b in range(256) if b not in set(printable)]
         self.letter = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
@@ -72,7 +77,7 @@ class WordIds:
         kind = _CLASS[data]
         pair = data[:-1].astype(np.uint16) << 8 | data[1:]
         odd = kind == _OTHER
-        odd[:-1] |= np.isin(pair, _NO_LETTER) | ((data[:-1] == ord("'")) & _AFTER_QUOTE[data[1:]])
+        odd[:-1] |= np.isin(pair, _NO_LETTER) | np.isin(pair, self.added) | ((data[:-1] == ord("'")) & _AFTER_QUOTE[data[1:]])
         total = np.concatenate(([0], np.cumsum(odd)))
         whole = total[words.ends] > total[words.starts]
         start = np.zeros(len(data) + 1, bool)
@@ -99,7 +104,8 @@ class WordIds:
             return
         starts, ends, whole = self._spans(words)
         hashes = span_hashes(words.data, starts, ends, lower=True)
-        hashes[whole] = mixed(hashes[whole])
+        # Added tokens are told with their case.
+        hashes[whole] = mixed(span_hashes(words.data, starts[whole], ends[whole]) ^ np.uint64(0x5EED))
         keys, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
 
         def make(new: np.ndarray) -> tuple[list[bytes]]:

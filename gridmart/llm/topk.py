@@ -18,7 +18,7 @@ for every block and slice size.
 Rows without an id, and vectors that are null or hold null or non-finite components, take no part. Only
 vectors of one length are compared. A row is no answer to a query of its id, so repeated rows of a query's id
 are not either. Repeated rows of another id count singly. Ties go to the smaller id. Scores are exact as long
-as they fit a long.
+as they fit a long; components beyond 2^62 count as 2^62.
 """
 
 from __future__ import annotations

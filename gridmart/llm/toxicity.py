@@ -1,14 +1,15 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, trained in numpy.
 
 A text has a window of ``WINDOW`` words at each of its words that has so many from there on (stride 1); a shorter text is one
-window. So what stands within a window's length is seen together, wherever in the text it is. Each word has a word input, how much likelier the word is in toxic texts, and character inputs, the same for its runs of three to
-five characters, of which the strongest and the mean count; so a word that was never seen is judged by its stem. Two
+window. So what stands within a window's length is seen together, wherever in the text it is. Each word has a word input, how much likelier the word is in toxic texts, and character inputs, the same for its runs of four,
+six and eight bytes, of which the strongest and the mean count; so a word that was never seen is judged by its stem. Two
 recurrent layers read a window from either end, attention weighs the steps, and a document's score is that of its
 highest window.
 
-The counts behind the odds of words and runs are those of all labelled rows that are not held out, one text for each id,
-added up in Spark in buckets of a fixed number. Fitting takes a sample of these rows that is bounded by ``MAX_TOXIC``,
-``MAX_OTHER`` and ``MAX_CHARS`` and happens once on the driver. The inputs of a training text come from the counts of the
+The counts behind the odds of words and runs are those of the labelled rows that are not held out, one text for each id, of
+which about ``MAX_COUNTED`` are drawn where there are more. Their keys go to the tasks that read the texts, which count in
+buckets of a fixed number, so no text is shuffled. The network learns from a sample of these rows that is bounded by
+``MAX_TOXIC``, ``MAX_OTHER`` and ``MAX_CHARS``, in one task. The inputs of a training text come from the counts of the
 others, so that its own label is not among them. In each round the highest window of each text is learnt, with its text's label. The score is calibrated on
 the sample's highest windows at the end. Scoring runs on all windows of all texts in the tasks, with a model of fixed size.
 
@@ -19,6 +20,7 @@ lacks one of the two labels every score is the share of toxic labels, or zero wi
 from __future__ import annotations
 
 import os
+import pickle
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -32,10 +34,10 @@ from pyspark.sql import types as T
 from gridmart.llm.tables import in_tasks, written
 from gridmart.llm.words import Words, ranges, span_hashes, words_of
 
-MAX_TOXIC, MAX_OTHER, MAX_CHARS = 2000, 4000, 10_000
-WINDOW = 32
-UNITS, ATTENTION, INPUTS = 8, 8, 6
-WORD_BITS, GRAM_BITS, GRAMS = 17, 18, (3, 4, 5)
+MAX_COUNTED, MAX_TOXIC, MAX_OTHER, MAX_CHARS = 500_000, 2000, 4000, 10_000
+WINDOW = 16
+UNITS, ATTENTION, INPUTS = 6, 8, 6
+WORD_BITS, GRAM_BITS, GRAMS = 17, 18, (4, 6, 8)
 ROUNDS, BATCH, RATE = 6, 256, 0.02
 THRESHOLD = 0.7
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -96,7 +98,7 @@ def inputs(words: Vocabulary, word_odds: np.ndarray, gram_odds: list[np.ndarray]
     out[:, 0] = word_odds
     for j, (values, begin) in enumerate(zip(gram_odds, words.begin, strict=True)):
         out[:, 1 + j] = np.maximum.reduceat(values, begin)
-        if GRAMS[j] == 4:
+        if j == 1:
             out[:, 4] = np.add.reduceat(values, begin) / np.diff(np.append(begin, len(values)))
     out[:, :5] /= 3.0
     return out
@@ -268,7 +270,7 @@ class Model:
 
 
 def highest(
-    network: Network, features: np.ndarray, inverse: np.ndarray, counts: np.ndarray, at_once: int = 4096, threads: int = 1, windows: tuple | None = None
+    network: Network, features: np.ndarray, inverse: np.ndarray, counts: np.ndarray, at_once: int = 16_384, threads: int = 1, windows: tuple | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
     """Text and output of every window; ``windows`` are those of :func:`cut`, if they are known."""
     text, first, length = windows or cut(counts)
@@ -341,37 +343,46 @@ def kinds(own: Vocabulary, runs: list[np.ndarray], some: np.ndarray) -> list[np.
 
 
 class Counts:
-    """In how many texts of each label every bucket of words and of runs is."""
+    """How many words of texts of each label fall into every bucket of words and of runs; a text's repeated words count once.
+
+    ``words`` are the totals by label. Texts have weights, so that copies of one can add up to one.
+    """
 
     sizes = (1 << WORD_BITS, *(1 << GRAM_BITS for _ in GRAMS))
 
     def __init__(self):
-        self.kinds = [np.zeros((2, n), np.int64) for n in self.sizes]
-        self.texts = np.zeros(2, np.int64)
+        self.kinds = [np.zeros((2, n)) for n in self.sizes]
+        self.words = np.zeros(2)
 
-    def add(self, words: Words, toxic: np.ndarray) -> None:
+    def add(self, words: Words, toxic: np.ndarray, weight: np.ndarray | None = None) -> None:
+        """Count a slice; ``toxic`` and ``weight`` are those of the whole column."""
         own = vocabulary(words)
-        runs = runs_of(own)
-        for i in range(len(words.counts)):
-            y = int(toxic[words.first + i])
-            self.texts[y] += 1
-            some = np.unique(own.inverse[words.bounds[i] : words.bounds[i + 1]])
-            for c, found in zip(self.kinds, kinds(own, runs, some), strict=True):
-                c[y, np.unique(found)] += 1
+        n = len(own.word)
+        if not n:
+            return
+        text, word = np.divmod(np.unique(np.repeat(np.arange(len(words.counts)), words.counts) * n + own.inverse), n)
+        label = toxic[words.first + text].astype(np.int64)
+        in_texts = np.bincount(label * n + word, None if weight is None else weight[words.first + text], 2 * n).reshape(2, n)
+        self.words += in_texts.sum(axis=1)
+        of_run = [np.repeat(np.arange(n), lengths) for lengths in runs_of(own)]
+        for kind, cells, of in zip(self.kinds, (own.word, *own.grams), (np.arange(n), *of_run), strict=True):
+            for y in (0, 1):
+                if in_texts[y].any():
+                    kind[y] += np.bincount(cells, in_texts[y][of], kind.shape[1])
 
     def cells(self) -> tuple[np.ndarray, ...]:
-        """Number, other and toxic texts of each bucket that has some, and as a last number the texts in all."""
-        other, toxic = (np.concatenate([*(c[y] for c in self.kinds), self.texts[y : y + 1]]) for y in (0, 1))
+        """Number, other and toxic words of each bucket that has some, and as a last number the words in all."""
+        other, toxic = (np.concatenate([*(c[y] for c in self.kinds), self.words[y : y + 1]]) for y in (0, 1))
         at = np.flatnonzero(other + toxic)
         return at, other[at], toxic[at]
 
     @classmethod
     def of_cells(cls, at: np.ndarray, other: np.ndarray, toxic: np.ndarray) -> Counts:
         out, edges = cls(), np.cumsum((0, *cls.sizes))
-        whole = np.zeros((2, int(edges[-1]) + 1), np.int64)
+        whole = np.zeros((2, int(edges[-1]) + 1))
         whole[0, at], whole[1, at] = other, toxic
         out.kinds = [whole[:, lo:hi] for lo, hi in zip(edges[:-1], edges[1:], strict=True)]
-        out.texts = whole[:, -1]
+        out.words = whole[:, -1]
         return out
 
 
@@ -389,7 +400,7 @@ def fit(texts: list[str | None] | pa.Array, toxic: np.ndarray, counted: Counts |
         counted = Counts()
         for words in words_of(column):
             counted.add(words, toxic)
-    counts, (all_other, all_toxic) = counted.kinds, counted.texts.astype(float)
+    counts, (all_other, all_toxic) = counted.kinds, counted.words
     # Inputs of each training text, without itself; one slice is held at a time.
     features, places, lengths, base = [], [], np.zeros(len(toxic), np.int64), 0
     for words in words_of(column):
@@ -399,7 +410,11 @@ def fit(texts: list[str | None] | pa.Array, toxic: np.ndarray, counted: Counts |
             whole = own.inverse[words.bounds[i] : words.bounds[i + 1]]
             some = np.unique(whole)
             y = int(toxic[words.first + i])
-            values = [odds(c[1, k] - y, c[0, k] - (1 - y), all_toxic - y, all_other - 1 + y) for c, k in zip(counts, kinds(own, runs, some), strict=True)]
+            values = []
+            for c, k in zip(counts, kinds(own, runs, some), strict=True):
+                _, place, times = np.unique(k, return_inverse=True, return_counts=True)
+                mine = times[place]
+                values.append(odds(c[1, k] - y * mine, c[0, k] - (1 - y) * mine, all_toxic - y * len(some), all_other - (1 - y) * len(some)))
             begins = [np.cumsum(length[some]) - length[some] for length in runs]
             features.append(inputs(Vocabulary(own.word[some], [], begins, some), values[0], values[1:]))
             places.append((np.searchsorted(some, whole) + base).astype(np.int32))
@@ -463,38 +478,96 @@ def is_held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("long").cast("string")) % 3 == 1, F.lit(False))
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = Counts()
-    for batch in batches:
-        toxic = batch.column(1).to_numpy()
-        for words in words_of(batch.column(0)):
-            counts.add(words, toxic)
-    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in counts.cells()], names=["cell", "other", "toxic"])
+@dataclass
+class Keys:
+    """The rows to learn from: id, hash of the text, label, number of equal rows, and whether the network learns from it."""
 
+    ids: np.ndarray
+    hashes: np.ndarray
+    toxic: np.ndarray
+    copies: np.ndarray
+    sampled: np.ndarray
 
-def trained(docs: DataFrame, labels: DataFrame) -> Model:
-    """A model of the labels (doc_id, toxic) of documents (doc_id, text) that are not held out."""
+    def rows_of(self, ids: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the rows are known, and their places here; ids ascend."""
+        if not len(self.ids):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        place = np.minimum(np.searchsorted(self.ids, ids), len(self.ids) - 1)
+        known = np.flatnonzero((self.ids[place] == ids) & (self.hashes[place] == hashes))
+        return known, place[known]
+
+
+def _counted(keys):
+    """Counts of the known rows of a task, and the texts of those that the network learns from."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, known = Counts(), keys.value
+        names = ["cell", "other", "toxic", "id", "label", "text"]
+        for batch in batches:
+            rows, place = known.rows_of(batch.column(0).to_numpy(), batch.column(1).to_numpy())
+            texts = batch.column(2).take(pa.array(rows))
+            for words in words_of(texts):
+                counts.add(words, known.toxic[place], 1.0 / known.copies[place])
+            own = np.flatnonzero(known.sampled[place])
+            if len(own):
+                none = pa.nulls(len(own), pa.int64()), *(pa.nulls(len(own), pa.float64()) for _ in range(2))
+                found = (pa.array(known.ids[place[own]]), pa.array(known.toxic[place[own]].astype(np.int32)), texts.take(pa.array(own)))
+                yield pa.RecordBatch.from_arrays([*none, *found], names=names)
+        cells = counts.cells()
+        none = (pa.nulls(len(cells[0]), t) for t in (pa.int64(), pa.int32(), pa.string()))
+        yield pa.RecordBatch.from_arrays([*map(pa.array, cells), *none], names=names)
+
+    return run
+
+
+def _fitted(cells):
+    """The model, as one row, from the rows of the sample in one task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = list(batches)
+        columns = [pa.concat_arrays([b.column(i) for b in rows]) if rows else pa.array([], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.string()))]
+        first = pa.array(np.unique(columns[0].to_numpy(), return_index=True)[1])  # repeated rows are learnt once
+        _, toxic, texts = (x.take(first) for x in columns)
+        model = fit(texts, toxic.to_numpy(), Counts.of_cells(*cells.value))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    return run
+
+
+def known_rows(docs: DataFrame, labels: DataFrame) -> Keys:
+    """The keys of labelled documents that are not held out: about ``MAX_COUNTED`` of them, the sample first."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~is_held_out(F.col("doc_id")))
     known = known.groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max("toxic").cast("int").alias("toxic"))
+    texts = docs.select("id", "hash", F.length("text").alias("n_chars")).groupBy("id", "hash").agg(F.first("n_chars").alias("n_chars"), F.count(F.lit(1)).alias("n"))
+    # One text of each id, told by its hash; texts do not move.
+    rows = texts.join(known, "id").groupBy("id").agg(F.max("toxic").alias("toxic"), F.min(F.struct("hash", "n_chars", "n")).alias("own"))
+    rows = written(rows.select("id", "toxic", "own.*", F.xxhash64("id").alias("draw")), "toxicity-known")
+    total = rows.count()
+    if total > MAX_COUNTED:  # a share of all by the hash of the id
+        rows = rows.where(F.shiftrightunsigned("draw", 32) < int(2**32 * (MAX_COUNTED / total)))
+    found = rows.orderBy("id").toArrow()
+    ids, toxic, hashes, n_chars, copies, draw = (found.column(c).to_numpy() for c in ("id", "toxic", "hash", "n_chars", "n", "draw"))
+    sampled = np.zeros(len(ids), bool)
+    for y, most in ((1, MAX_TOXIC), (0, MAX_OTHER)):
+        usable = np.flatnonzero((toxic == y) & (n_chars <= MAX_CHARS))
+        sampled[usable[np.lexsort((ids[usable], draw[usable].view(np.uint64)))[:most]]] = True
+    return Keys(ids, hashes, toxic, copies, sampled)
+
+
+def trained(docs: DataFrame, labels: DataFrame) -> Model:
+    """A model of the labels (doc_id, toxic) of documents (doc_id, text) that are not held out."""
+    context = docs.sparkSession.sparkContext
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("text")).where("text is not null")
     texts = texts.where(F.col("id").isNotNull() & ~is_held_out(F.col("id"))).withColumn("hash", F.xxhash64("text"))
-    # One text of each id, told by its hash before any text moves.
-    chosen = texts.select("id", "hash", F.length("text").alias("n_chars")).join(known, "id")
-    chosen = chosen.groupBy("id").agg(F.max("toxic").alias("toxic"), F.min(F.struct("hash", "n_chars")).alias("own"))
-    chosen = written(chosen.select("id", "toxic", "own.*"), "toxicity-known")
-
-    rows = texts.join(chosen.select("id", "hash", "toxic"), ["id", "hash"]).groupBy("id", "hash").agg(F.first("text").alias("text"), F.first("toxic").alias("toxic"))
-    cells = in_tasks(rows.select("text", "toxic"), _counted, "cell long, other long, toxic long")
+    keys = context.broadcast(known_rows(texts, labels))  # about MAX_COUNTED rows of four numbers
+    found = in_tasks(texts.select("id", "hash", "text"), _counted(keys), "cell long, other double, toxic double, id long, label int, text string")
+    found = written(found, "toxicity-counted")
     # A fixed number of cells.
-    cells = cells.groupBy("cell").agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic")).toArrow()
-    counts = Counts.of_cells(*(cells.column(i).to_numpy() for i in range(3)))
-
-    by_hash = [F.xxhash64("id"), F.col("id")]
-    usable = chosen.where(F.col("n_chars") <= MAX_CHARS).select("id", "hash", "toxic")
-    few = [usable.where(F.col("toxic") == y).orderBy(*by_hash).limit(n) for y, n in ((1, MAX_TOXIC), (0, MAX_OTHER))]
-    sample = F.broadcast(few[0].unionByName(few[1]))  # MAX_TOXIC + MAX_OTHER rows of three numbers
-    found = texts.join(sample, ["id", "hash"]).dropDuplicates(["id"]).orderBy("id").select("text", "toxic").toArrow()
-    return fit(found.column(0).combine_chunks(), found.column(1).to_numpy(), counts)
+    cells = found.where("cell is not null").groupBy("cell").agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic")).toArrow()
+    cells = context.broadcast([cells.column(i).to_numpy() for i in range(3)])
+    sample = found.where("id is not null").select("id", "label", "text")  # MAX_TOXIC + MAX_OTHER texts of MAX_CHARS
+    model = in_tasks(sample.repartition(1), _fitted(cells), "model binary").first()
+    return pickle.loads(model.model) if model else fit([], np.zeros(0))
 
 
 def scored(docs: DataFrame, model: Model, into: str = "score") -> DataFrame:

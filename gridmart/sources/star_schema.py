@@ -137,8 +137,8 @@ def retail_staging(spark: SparkSession, folder: str) -> DataFrame:
 def generation_staging(spark: SparkSession, folder: str) -> DataFrame:
     """Quantities per month, state, producer and source, with the total rows of both.
 
-    The rows shrink to one per supplier, month, producer and source before they meet the
-    suppliers. Pumped storage takes energy in and counts negative.
+    Lines meet parts and suppliers first and are summed once, by state: a sum by supplier before
+    would keep most of the rows and cost a shuffle. Pumped storage takes energy in and counts negative.
     """
     lines = table(spark, folder, "lineitem").select(
         "l_partkey",
@@ -151,11 +151,6 @@ def generation_staging(spark: SparkSession, folder: str) -> DataFrame:
         F.col("p_partkey").alias("l_partkey"),
         _mapped("p_type", SOURCE_OF_TYPE).alias("energy_source"),
     )
-    per_supplier = (
-        lines.join(parts, "l_partkey")
-        .groupBy("l_suppkey", "period", "producer_type", "energy_source")
-        .agg(F.sum("quantity").alias("quantity"))
-    )
     suppliers = table(spark, folder, "supplier").select(
         F.col("s_suppkey").alias("l_suppkey"), _state("s_nationkey").alias("state_code")
     )
@@ -163,7 +158,8 @@ def generation_staging(spark: SparkSession, folder: str) -> DataFrame:
         F.col("energy_source") == SOURCE_OF_TYPE["PROMO"], -F.col("quantity")
     ).otherwise(F.col("quantity"))
     leaf = (
-        per_supplier.join(suppliers, "l_suppkey")
+        lines.join(parts, "l_partkey")
+        .join(suppliers, "l_suppkey")
         .groupBy("period", "state_code", "producer_type", "energy_source")
         .agg(F.sum(signed).alias("quantity"))
     )
@@ -192,29 +188,21 @@ def generation_staging(spark: SparkSession, folder: str) -> DataFrame:
 
 def climate_staging(spark: SparkSession, folder: str) -> DataFrame:
     """Monthly figures per state from order prices; no temperature in February."""
-    per_customer = (
-        table(spark, folder, "orders")
-        .groupBy(F.col("o_custkey").alias("c_custkey"), month_of(F.col("o_orderdate")).alias("period"))
-        .agg(
-            F.sum(_wide(_cents("o_totalprice"))).alias("price"),
-            F.count(F.lit(1)).alias("orders"),
-            F.max("o_totalprice").alias("highest"),
-            F.min("o_totalprice").alias("lowest"),
-        )
-    )
     customers = (
         table(spark, folder, "customer")
         .where(F.col("c_nationkey") != DC_NATION)
-        .select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
+        .select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey"))
     )
+    # Summed once, by state: a sum by customer and month before would keep most of the orders.
     per_state = (
-        per_customer.join(customers, "c_custkey")
-        .groupBy("period", "n_nationkey")
+        table(spark, folder, "orders")
+        .join(customers, "o_custkey")
+        .groupBy("n_nationkey", month_of(F.col("o_orderdate")).alias("period"))
         .agg(
-            (_amount(F.sum("price"), 2) / F.sum("orders") / 10000).alias("mean_price"),
-            F.sum("orders").alias("orders"),
-            F.max("highest").alias("heating_degree_days"),
-            F.min("lowest").alias("precipitation"),
+            (_amount(F.sum(_wide(_cents("o_totalprice"))), 2) / F.count(F.lit(1)) / 10000).alias("mean_price"),
+            F.count(F.lit(1)).alias("orders"),
+            F.max("o_totalprice").alias("heating_degree_days"),
+            F.min("o_totalprice").alias("precipitation"),
         )
     )
     named = per_state.join(table(spark, folder, "nation"), "n_nationkey").withColumns(

@@ -6,10 +6,11 @@ from hashlib import sha256
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from gridmart.llm.jaccard import near_duplicates, one_of_each
 from gridmart.llm.packing import pack, pack_documents
 from gridmart.llm.pieces import PieceCoder, encode_documents, encoding_digests
-from gridmart.llm.queries import tokenizer_path
+from gridmart.llm.queries import op7_toxicity, tokenizer_path
 from gridmart.llm.rules import beta_prior, judged, well_formed
 from gridmart.llm.substrings import removal_digests, without_repeats
 from gridmart.llm.toxicity import fit, not_toxic, scored, trained
@@ -121,9 +122,11 @@ def test_pieces_fill_sequences(spark):
     path = tokenizer_path("word_bpe_49k.json")
     library = Tokenizer.from_file(path)
     rows = [*made(7, 40), (1, None), (2, "It's ÀÉ ×÷ <|x|> İ a1b22 '''s"), (3, "word " * 9000)]
+    chance = random.Random(12)
+    bits = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "endoftext", " ", " ", "\n", "Ab", "é", "e\u0301", "\u00a0", "'s", "7", "漢", "!"]
+    rows += [(100_000 + i, "".join(chance.choice(bits) for _ in range(chance.randint(0, 12)))) for i in range(1500)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     pieces = pack_documents(docs, path).collect()
-    library.encode_special_tokens = True
     ids = {d: [*library.encode(t or "", add_special_tokens=False).ids, 2] for d, t in rows}
     at = dict.fromkeys(ids, 0)
     for p in sorted(pieces, key=lambda p: (p.doc_id, p.start)):
@@ -167,6 +170,65 @@ def test_bad_host_loses_good_documents(spark):
     assert kept == set(range(100, 300))
 
 
+def chained(seed, groups, length):
+    """Groups of texts that drift away from each other word by word, so that many pairs lie near the bound."""
+    chance, rows = random.Random(seed), []
+    for g in range(groups):
+        own = [f"g{g % (groups // 2)}w{i}" for i in range(length)] if g % 3 else [chance.choice(WORDS) for _ in range(length)]
+        for _ in range(chance.randint(3, 14)):
+            own = list(own)
+            for _ in range(chance.randint(0, 3)):
+                own[chance.randrange(length)] = f"x{chance.randrange(900)}"
+            rows.append((len(rows) * 3 + 1, " ".join(own)))
+    return rows + [(rows[5][0], rows[40][1]), (rows[6][0], "another text of the same id")]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_components_of_drifting_groups(spark, seed, monkeypatch):
+    from gridmart.llm import jaccard
+
+    monkeypatch.setattr(jaccard, "LIST_ROWS", 400)  # several parts
+    rows = chained(seed, 12, 90)
+    parent = {d: d for d, _ in rows}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    sets = [(d, shingles(t)) for d, t in rows]
+    for i, (a, x) in enumerate(sets):
+        for b, y in sets[:i]:
+            if 100 * len(x & y) >= 75 * len(x | y):
+                parent[max(root(a), root(b))] = min(root(a), root(b))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert {(r.doc_id, r.component_id) for r in near_duplicates(docs).collect()} == {(d, root(d)) for d, _ in rows}
+
+
+@pytest.mark.parametrize("block", [2, 7, 64])
+def test_blocks_that_are_skipped_have_no_link(block):
+    from gridmart.llm.jaccard import candidates
+
+    chance = np.random.default_rng(block)
+    sets, labels = {}, {}
+    for i in range(220):
+        base = np.arange(i % 20 * 40, i % 20 * 40 + chance.integers(8, 60))
+        sets[i] = set(chance.choice(base, chance.integers(5, len(base) + 1), replace=False).tolist()) if i % 11 else set(range(30))
+        labels[i] = i // 4
+    rows = []
+    for i, own in sets.items():
+        ordered = sorted(own, key=lambda x: -x)
+        for at, shingle in enumerate(ordered[: len(own) - -(-75 * len(own) // 100) + 1]):
+            rows.append((shingle, i, labels[i], len(own), at))
+    columns = [np.array(c, t) for c, t in zip(zip(*rows), (np.uint64, np.int64, np.int64, np.int32, np.int32))]
+    skipped = {}
+    found = {(int(a), int(b)) for x, y in candidates(columns, 75, block, skipped) for a, b in zip(x, y)}
+    want = {(a, b) for a in sets for b in sets if a < b and labels[a] != labels[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    assert want and want <= found and all(labels[a] != labels[b] for a, b in found)
+    assert skipped["skipped"] > 0
+    assert list(candidates([c[:0] for c in columns], 75)) == []
+
+
 def toxic_texts(n=500, seed=1):
     chance, texts, labels = random.Random(seed), [], []
     for i in range(n):
@@ -206,22 +268,63 @@ def test_odds_come_from_all_labelled_rows(spark, monkeypatch):
     for i in free:
         for words in words_of(pa.array([texts[i] if i < 300 else "far " * 4000])):
             plain.add(words, np.array([toxic[i] if i < 300 else 0]))
+    texts_only = docs.withColumn("hash", F.xxhash64("text")).where("text is not null").withColumnRenamed("doc_id", "id")
     whole = toxicity.trained(docs, labels)
     monkeypatch.setattr(toxicity, "MAX_TOXIC", 20)
     monkeypatch.setattr(toxicity, "MAX_OTHER", 40)
-    sampled, kept = [], toxicity.fit
-
-    def watched(texts, toxic, counted):
-        sampled.append((len(texts), int(sum(toxic))))
-        return kept(texts, toxic, counted)
-
-    monkeypatch.setattr(toxicity, "fit", watched)
-    few = toxicity.trained(docs, labels)
+    keys = toxicity.known_rows(texts_only, labels)
     # Rows without a text and repeated rows take no place in the sample, and a smaller sample changes no odds.
-    assert sampled == [(60, 20)]
+    assert keys.ids.tolist() == free and keys.sampled.sum() == 60 and keys.toxic[keys.sampled].sum() == 20
+    assert keys.copies.tolist() == [2 if i < 300 and i % 7 == 0 else 1 for i in free]
+    few = toxicity.trained(docs, labels)
     for model in (whole, few):
         for found, c in zip([model.word_odds, *model.gram_odds], plain.kinds, strict=True):
-            assert np.allclose(found, toxicity.odds(c[1], c[0], *plain.texts[::-1].astype(float)))
+            assert np.allclose(found, toxicity.odds(c[1], c[0], *plain.words[::-1]))
+    assert any((a != b).any() for a, b in zip(whole.network.p.values(), few.network.p.values(), strict=True))
+    # Beyond the bound a share of the rows by the hash of their ids is counted.
+    monkeypatch.setattr(toxicity, "MAX_COUNTED", 80)
+    some = toxicity.known_rows(texts_only, labels)
+    assert 50 < len(some.ids) < 110 and set(some.ids) < set(free)
+
+
+def test_query_of_toxicity(spark):
+    sample = "/root/testdata/sf0.001"
+    found = op7_toxicity(spark, sample).collect()
+    docs = spark.read.parquet(f"{sample}/documents.parquet").collect()
+    assert sorted(r.doc_id for r in found) == sorted(d.doc_id for d in docs)
+    by_text = {}
+    texts = {d.doc_id: d.text for d in docs}
+    for r in found:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
+        assert r.predicted == int(r.score >= 0.7) and 0 <= r.score <= 1
+        assert by_text.setdefault(texts[r.doc_id], r.score) == r.score  # nothing but the text counts
+    # Labels of held-out rows and other columns change nothing.
+    held = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    labels = spark.read.parquet(f"{sample}/labels.parquet")
+    turned = labels.withColumn("toxic", F.when(held, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    rows = spark.read.parquet(f"{sample}/documents.parquet").withColumn("lang", F.lit("xx"))
+    again = {r.doc_id: r.score for r in scored(rows, trained(rows, turned)).collect()}
+    assert again == {r.doc_id: r.score for r in found}
+
+
+def test_counts_of_words_and_runs():
+    """Each distinct word of a text counts once, and each of its runs as often as distinct words have it."""
+    import pyarrow as pa
+    from gridmart.llm import toxicity
+    from gridmart.llm.words import words_of
+
+    texts, label = ["abcde abcde xabcd", "abcde", None, "zz"], np.array([1, 0, 1, 0])
+    counts = toxicity.Counts()
+    for words in words_of(pa.array(texts)):
+        counts.add(words, label, np.array([0.5, 1, 1, 1]))
+    assert counts.words.tolist() == [2, 1]
+    own = toxicity.vocabulary(next(words_of(pa.array(["abcde xabcd"]))))
+    for kind, cells, bounds in zip(counts.kinds[1:], own.grams, own.begin, strict=True):
+        for i, word in enumerate(np.split(cells, bounds[1:])):
+            for run in word:
+                mine = sum(int(run in w) for w in np.split(cells, bounds[1:]))
+                assert kind[1, run] == mine / 2
+    assert counts.kinds[0].sum(axis=1).tolist() == [2, 1]
 
 
 def test_every_window_is_scored():

@@ -126,3 +126,35 @@ def test_topk_matches_all_scores(spark):
     for sizes in ({}, {"block_rows": 50, "query_rows": 2, "slices": 3}):
         assert sorted(map(tuple, exact_topk(frame, asked, **sizes).collect())) == sorted(expected)
     assert exact_topk(frame.limit(0), asked.limit(0)).count() == 0
+
+
+def planted_pages(seed=8):
+    """Pages of several hosts with a known main text each."""
+    chance, rows = random.Random(seed), []
+    word = lambda: "".join(chance.choice("aeiounrstlé") for _ in range(chance.randint(1, 9)))
+    line = lambda n: " ".join(word() for _ in range(n))
+    shells = [
+        ("<div class='wrap has-sidebar'><article>", "</article></div>"),
+        ("<article class='post tag-legal category-social'>", "</article>"),
+        ("<div class='page-header-fixed'><div class=content>", "</div></div>"),
+        ("<main id=top><section class='story'>", "</section></main>"),
+        ("<div class=body><div class='part'>", "</div></div>"),
+    ]
+    for i in range(60):
+        before, after = shells[i % len(shells)]
+        blocks = [line(chance.randint(12, 60)) for _ in range(chance.randint(2, 6))]
+        shown = "".join(
+            f"<p>{b[: len(b) // 2]}<button>buy <b>now</b></button>{b[len(b) // 2 :]}</p><!-->" if chance.random() < 0.3 else f"<p>\n {b.replace(' ', '  ')}</p><!-- > -->"
+            for b in blocks
+        )
+        noise = f"<nav><a href=/>{line(3)}</a></nav><div class=sidebar><p>{line(6)}</p></div><script>var a='</p>';</script>"
+        readers = f"<div id=comments><article class=comment><p>{line(200)}</p></article></div>"
+        rows.append((i, f"https://h{i % len(shells)}.example/{i}", f"<html><body>{noise}{before}{shown}{after}{readers}<footer>{line(9)}</footer>", "\n".join(blocks)))
+    return rows
+
+
+def test_planted_main_texts(spark):
+    rows = planted_pages()
+    pages = spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string").repartition(4)
+    found = {r.page_id: r.text for r in main_text(pages).collect()}
+    assert found == {r[0]: r[3] for r in rows}
