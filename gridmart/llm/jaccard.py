@@ -27,7 +27,6 @@ id link with nothing. Shingles are told by 64-bit hashes.
 
 from __future__ import annotations
 
-import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -52,21 +51,6 @@ TEXT_BYTES, COUNTED = 400_000, 1_000_000
 SKETCH = "kind int, doc_id long, size long, signature long, check long, bands array<long>, bits binary"
 
 
-def _lean(df: DataFrame, run: Callable, schema: str) -> DataFrame:
-    """:func:`in_tasks`, with all memory given back at the end: workers wait for other tasks, and the many stages without them
-    need the room."""
-
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        try:
-            yield from run(batches)
-        finally:
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
-            if trim:
-                trim(0)
-
-    return in_tasks(df, whole, schema)
-
-
 def shingle_sets(words: Words, shingle: int) -> list[np.ndarray]:
     """The distinct shingle hashes of each text, ascending."""
     hashes = words.hashes()
@@ -191,7 +175,7 @@ def room(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     bits = classes.select("id", "size", "bits")
     pairs = pairs.join(bits.withColumnsRenamed({"id": "a", "size": "a_size", "bits": "a_bits"}), "a")
     pairs = pairs.join(bits.withColumnsRenamed({"id": "b", "size": "b_size", "bits": "b_bits"}), "b")
-    return _lean(pairs, _room, "a long, b long, a_size long, b_size long, most long")
+    return in_tasks(pairs, _room, "a long, b long, a_size long, b_size long, most long")
 
 
 def overlaps(pairs: DataFrame, rows: DataFrame, shingle: int) -> DataFrame:
@@ -201,7 +185,7 @@ def overlaps(pairs: DataFrame, rows: DataFrame, shingle: int) -> DataFrame:
     texts = rows.join(ids, "id", "left_semi")
     with_x = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("x_text")), "a")
     both = with_x.join(texts.select(F.col("id").alias("b"), F.col("text").alias("y_text")), "b")
-    return _lean(both.select("a", "b", "x_text", "y_text"), _compared(shingle), "a long, b long, same long, a_size long, b_size long").distinct()
+    return in_tasks(both.select("a", "b", "x_text", "y_text"), _compared(shingle), "a long, b long, same long, a_size long, b_size long").distinct()
 
 
 def answers(pairs: DataFrame, classes: DataFrame, rows: DataFrame, shingle: int, percent: int, label: str) -> tuple[DataFrame, DataFrame]:
@@ -440,7 +424,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """``(doc_id, n_shingles, component_id)`` of each row of ``docs``."""
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    sketch = written(_lean(rows, _sketched(shingle), SKETCH), "jaccard-sketch")
+    sketch = written(in_tasks(rows, _sketched(shingle), SKETCH), "jaccard-sketch")
     sets = sketch.where("kind = 0").select("doc_id", "size", "signature", "check", "bands", "bits")
     compared = sets.where("size > 0 and doc_id is not null")
 
@@ -485,10 +469,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     parts = max(1, int(total["size"]) * (100 - percent) // 100 // LIST_ROWS + 1)
     labelled = classes.select("id").distinct().join(first.withColumnRenamed("node", "id"), "id", "left")
     labelled = written(labelled.select("id", F.coalesce("label", "id").alias("label")), "jaccard-labels")
-    firsts = _lean(rows, _firsts(shingle, percent, common), "id long, n int, firsts binary").join(labelled, "id")
-    index = _lean(firsts, _dealt(parts), "part int, n int, blob binary")
+    firsts = in_tasks(rows, _firsts(shingle, percent, common), "id long, n int, firsts binary").join(labelled, "id")
+    index = in_tasks(firsts, _dealt(parts), "part int, n int, blob binary")
     index = index.repartition(parts, "part").sortWithinPartitions("part")
-    pairs = _lean(index, _candidates(percent), "a long, b long").distinct()
+    pairs = in_tasks(index, _candidates(percent), "a long, b long").distinct()
     pairs = written(pairs.join(met, ["a", "b"], "left_anti"), "jaccard-pairs")
     # Sets of one id, and only such, have overlaps and sizes that can be told from the id.
     single = classes.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n = 1").select("id")

@@ -32,7 +32,7 @@ from gridmart.llm.words import Words, mixed, span_hashes, words_of
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, loss long"
 MAX_TOKENS, MAX_SEGMENTS, LEAST_CUT, BLOCK_TOKENS = 4096, 512, 32, 2_000_000
-MEMO_PARTS, SLICE_BYTES = 2_500_000, 4_000_000
+MEMO_PARTS, SLICE_BYTES = 1_500_000, 1_000_000
 
 
 _SPACE, _LETTER, _DIGIT, _SIGN, _OTHER = range(5)

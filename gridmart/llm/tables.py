@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -25,7 +26,8 @@ def written(df: DataFrame, label: str) -> DataFrame:
 def in_tasks(df: DataFrame, run: Callable, schema: str) -> DataFrame:
     """``df.mapInArrow`` with a function of this library, which the executors get with the job.
 
-    Workers are used again by later tasks, so each gives the memory of its batches back when it is done.
+    Workers wait for later tasks, so each gives the memory of its batches and arrays back when it is done: stages without
+    them need the room.
     """
     _ship(df.sparkSession)
 
@@ -34,6 +36,9 @@ def in_tasks(df: DataFrame, run: Callable, schema: str) -> DataFrame:
             yield from run(batches)
         finally:
             pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+            if trim:
+                trim(0)
 
     return df.mapInArrow(whole, schema)
 

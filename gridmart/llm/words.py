@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 2_000_000
+_STEP = 1 << 18  # tables of powers grow by so many
 
 _generator = np.random.Generator(np.random.PCG64(20_240_607))
 _BYTE = _generator.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -42,7 +43,7 @@ class _Powers:
 
     def upto(self, n: int) -> np.ndarray:
         if len(self.known) < n:
-            factors = np.full(max(n, 2 * len(self.known)), self.base, np.uint64)
+            factors = np.full(-(-n // _STEP) * _STEP, self.base, np.uint64)
             factors[0] = 1
             self.known = np.multiply.accumulate(factors)
         return self.known[:n]
