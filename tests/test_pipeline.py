@@ -1,6 +1,7 @@
 """From raw files to the star, twice."""
 
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 
@@ -63,6 +64,20 @@ def test_jobs_remove_their_scratch(spark, tmp_path):
     assert set(in_scratch(spark)) == before
 
 
+@pytest.mark.parametrize("master", ["spark://host:7077", "yarn", "local-cluster[3,2,1024]", "local[8]", "local"])
+def test_a_cluster_needs_a_shared_folder(master):
+    settings = {"spark.sql.warehouse.dir": "/somewhere"}
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master=master, applicationId="app")
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, other=None: settings.get(key, other)), sparkContext=context)
+    if master.startswith("local") and "cluster" not in master:
+        assert scratch_root(session) == "/somewhere/_scratch/gridmart-app"
+    else:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch_root(session)
+    settings["spark.checkpoint.dir"] = "hdfs://shared/"
+    assert scratch_root(session) == "hdfs://shared/gridmart-app"
+
+
 def in_scratch(spark):
     root = Path(scratch_root(spark).removeprefix("file:"))
     return [p.name for p in root.iterdir()] if root.exists() else []
