@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from gridmart.fixed_values import HEADER_REQUIRED, HEADER_SEARCH_ROWS, NOTES_SHEET
 from gridmart.functions.text import header_text, present
-from gridmart.operators.sizes import broadcast_if_small
 
 # Column to fill -> the rule its header cell has to meet. The first rule that holds decides.
 HEADER_RULES = {
@@ -80,12 +79,13 @@ def sheet_problems(rows: DataFrame, headers: DataFrame) -> DataFrame:
 def read_by_header(rows: DataFrame, headers: DataFrame) -> DataFrame:
     """Data rows of all sheets with the cells under the named columns.
 
-    A workbook has few sheets, so their headers go to all tasks; should there be very many, the
-    join shuffles and adaptive execution splits a sheet that holds most of the rows.
+    Headers that were written down have a size that Spark knows, so those of a few sheets go to all
+    tasks; of very many sheets the join shuffles, and adaptive execution splits a sheet that holds
+    most of the rows.
     """
     return (
         data_sheets(rows)
-        .join(broadcast_if_small(headers), "sheet")
+        .join(headers, "sheet")
         .where(F.col("row_idx") > F.col("header_idx"))
         .select("sheet", *[cell(F.col(f"{name}_at")).alias(name) for name in HEADER_RULES])
     )

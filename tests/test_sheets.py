@@ -1,10 +1,9 @@
 import pytest
-from pyspark.sql import functions as F
 
 from gridmart.plans.ingest import generation_frame, job_result, publish, retail_frame, retail_rows
 from gridmart.schemas import SHEET_ROWS, STAGING
 from gridmart.sources.sheets import find_headers, read_by_header
-from gridmart.operators import sizes
+from gridmart.session import spill
 
 from conftest import tuples
 
@@ -138,17 +137,24 @@ def test_generation_checks(spark):
 
 
 def test_many_sheets_join_without_broadcast(spark):
-    """Beyond the broadcast bound the headers are joined by a shuffle, with the same rows."""
+    """Stored headers are broadcast below Spark's bound; beyond it the join shuffles, with the same rows."""
     rows = rows_of(
         spark,
         *[(f"S{i}", 0, HEADER) for i in range(5)],
         *[(f"S{i % 5}", 1 + i, ["2020", "1", f"{i}", "P", "W", "1"]) for i in range(40)],
     )
-    headers = find_headers(rows)
-    small = read_by_header(rows, headers)
-    assert sizes.broadcast_if_small(headers, rows=4) is headers
-    large = rows.join(headers.hint("merge"), "sheet").where(F.col("row_idx") > F.col("header_idx"))
-    assert small.count() == large.count() == 40
+    headers = spill(find_headers(rows), "headers")
+    joined = read_by_header(rows, headers)
+    assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
+    small = tuples(joined)
+    bound = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(bound, "-1")
+    try:
+        joined = read_by_header(rows, headers)
+        assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert tuples(joined) == small and len(small) == 40
+    finally:
+        spark.conf.unset(bound)
 
 
 def test_a_sheet_of_another_shape_is_an_error(spark):
