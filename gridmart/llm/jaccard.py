@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridmart.llm.components import components
-from gridmart.llm.tables import in_tasks, written
+from gridmart.llm.tables import by_shuffle, in_tasks, written
 from gridmart.llm.words import Words, mixed, ranges, signed, windows, words_of
 
 SHINGLE, PERCENT = 5, 75
@@ -469,7 +469,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     parts = max(1, int(total["size"]) * (100 - percent) // 100 // LIST_ROWS + 1)
     labelled = classes.select("id").distinct().join(first.withColumnRenamed("node", "id"), "id", "left")
     labelled = written(labelled.select("id", F.coalesce("label", "id").alias("label")), "jaccard-labels")
-    firsts = in_tasks(rows, _firsts(shingle, percent, common), "id long, n int, firsts binary").join(labelled, "id")
+    firsts = in_tasks(rows, _firsts(shingle, percent, common), "id long, n int, firsts binary").join(by_shuffle(labelled), "id")
     index = in_tasks(firsts, _dealt(parts), "part int, n int, blob binary")
     index = index.repartition(parts, "part").sortWithinPartitions("part")
     pairs = in_tasks(index, _candidates(percent), "a long, b long").distinct()
@@ -496,6 +496,9 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     found = near_duplicates(docs, doc_id, text).where("doc_id = component_id")
     keys = [f"_{i}_" + "_".join(docs.columns) for i in range(2)]
     kept = written(found.groupBy(F.col("doc_id").alias(keys[0])).agg(F.count(F.lit(1)).alias(keys[1])), "jaccard-kept")
-    rows = docs.join(kept, docs[doc_id].cast("long") == F.col(keys[0]), "left")
-    single = rows.where(F.col(doc_id).isNull() | (F.col(keys[1]) == 1)).select(*docs.columns)
-    return single.unionByName(rows.where(F.col(keys[1]) > 1).select(*docs.columns).dropDuplicates([doc_id]))
+    # Written on their own, so that Spark knows how few they are: documents move once, not again for repeated rows.
+    repeated = written(kept.where(F.col(keys[1]) > 1).select(keys[0]), "jaccard-repeated")
+    same_id = docs[doc_id].cast("long") == F.col(keys[0])
+    single = docs.join(by_shuffle(kept), same_id, "left").where(F.col(doc_id).isNull() | (F.col(keys[1]) == 1))
+    more = docs.join(repeated, same_id, "left_semi")
+    return single.select(*docs.columns).unionByName(more.dropDuplicates([doc_id]))

@@ -23,6 +23,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return _spill(df, label)
 
 
+def by_shuffle(df: DataFrame) -> DataFrame:
+    """``df`` as the other side of a join with all documents: always shuffled, never sent through the driver.
+
+    It grows with the documents. The plan is then the same at all sizes, and what moves grows in proportion.
+    """
+    return df.hint("merge")
+
+
 def in_tasks(df: DataFrame, run: Callable, schema: str) -> DataFrame:
     """``df.mapInArrow`` with a function of this library, which the executors get with the job.
 

@@ -393,3 +393,24 @@ def test_odd_documents(spark, odd):
     assert (7, 29_996, 6) in rows
     gone = {r.doc_id: (r.n_words, r.n_removed) for r in removal_digests(odd).collect()}
     assert gone[6] == (30_000, 0) and gone[7] == (30_000, 30_000) and gone[0] == (0, 0) and gone[None] == (3, 0)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_documents_move_once_at_all_sizes(spark):
+    rows = [(1, "a b c d e f g"), (1, "a b c d e f g"), (2, "A B C D E F G"), (3, "h i j k l m n"), (3, "o p q r s t u"), (None, "a b c d e f g"), (None, "v")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = one_of_each(docs)
+    # The one join that moves all documents, and one with the few ids that repeat.
+    assert plan_of(kept).count("SortMergeJoin") == 1 and plan_of(kept).count("BroadcastHashJoin") == 1
+    found = sorted(map(tuple, kept.collect()), key=str)
+    assert [x[0] for x in found] == [1, 3, None, None]
+    assert found[0] == (1, "a b c d e f g") and found[1][1] in ("h i j k l m n", "o p q r s t u")
+    assert {x[1] for x in found[2:]} == {"a b c d e f g", "v"}
+    words = " ".join(WORDS) + " " + " ".join(reversed(WORDS))
+    docs = spark.createDataFrame([(1, words), (2, "x " + words), (3, "y")], "doc_id long, text string")
+    found = without_repeats(docs)
+    assert "SortMergeJoin" in plan_of(found) and "BroadcastHashJoin" not in plan_of(found)
+    assert sorted(map(tuple, found.collect())) == [(1, words), (2, "x "), (3, "y")]
