@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridmart.llm.components import components
-from gridmart.llm.tables import by_shuffle, in_tasks, written
+from gridmart.llm.tables import by_shuffle, gathered, in_tasks, written
 from gridmart.llm.words import Words, mixed, ranges, signed, windows, words_of
 
 SHINGLE, PERCENT = 5, 75
@@ -181,7 +181,7 @@ def room(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 def overlaps(pairs: DataFrame, rows: DataFrame, shingle: int) -> DataFrame:
     """The pairs (a, b) of documents with what their sets share; ``rows`` has id and text, and only texts in pairs move."""
     pairs = pairs.select("a", "b").distinct()
-    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "jaccard-ids")
+    ids = gathered(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "jaccard-ids")
     texts = rows.join(ids, "id", "left_semi")
     with_x = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("x_text")), "a")
     both = with_x.join(texts.select(F.col("id").alias("b"), F.col("text").alias("y_text")), "b")
@@ -190,7 +190,7 @@ def overlaps(pairs: DataFrame, rows: DataFrame, shingle: int) -> DataFrame:
 
 def answers(pairs: DataFrame, classes: DataFrame, rows: DataFrame, shingle: int, percent: int, label: str) -> tuple[DataFrame, DataFrame]:
     """Which pairs (a, b) link, and what all of them share at most: exactly, if ``exact``, or by their maps."""
-    found = written(room(pairs, classes), f"{label}-room")
+    found = gathered(room(pairs, classes), f"{label}-room")
     exact = written(overlaps(found.where(links("most", percent)), rows, shingle), f"{label}-exact")
     at_most = found.groupBy("a", "b").agg(F.max("most").alias("most"))
     known = exact.groupBy("a", "b").agg(F.max("same").alias("same"))
@@ -225,10 +225,10 @@ def by_leaders(pairs: DataFrame, members: DataFrame, classes: DataFrame, rows: D
         own = members.select(F.col("id").alias(side), *(F.col(c).alias(f"{side}_{c}") for c in ("leader", "beyond", "lacking")))
         pairs = pairs.join(own, side, "left").withColumn(f"{side}_leader", F.coalesce(f"{side}_leader", side))
         pairs = pairs.na.fill(0, [f"{side}_beyond", f"{side}_lacking"])
-    pairs = written(pairs, "jaccard-led")
+    pairs = gathered(pairs, "jaccard-led")
     first = pairs.select(*_pair("a_leader", "b_leader")).distinct()
     linked, at_most = answers(first, classes, rows, shingle, percent, "jaccard-leaders")
-    linked = written(linked.select("a", "b").distinct(), "jaccard-leader-links")
+    linked = gathered(linked.select("a", "b").distinct(), "jaccard-leader-links")
     # Where leaders link, their components are one, and their members' links tell nothing more.
     rest = pairs.where("a <> a_leader or b <> b_leader").withColumnsRenamed({"a": "x", "b": "y"}).select("*", *_pair("a_leader", "b_leader"))
     rest = rest.join(linked, ["a", "b"], "left_anti").join(at_most, ["a", "b"]).select(
@@ -239,7 +239,7 @@ def by_leaders(pairs: DataFrame, members: DataFrame, classes: DataFrame, rows: D
     for side in ("a", "b"):
         rest = rest.join(size.select(F.col("id").alias(side), F.col("least").alias(f"{side}_least"), F.col("size").alias(f"{side}_size")), side)
     upper = F.least(F.col("most") + F.col("beyond"), "a_size", "b_size")
-    rest = written(rest.where(links(upper, percent, "a_least", "b_least")), "jaccard-undecided")
+    rest = gathered(rest.where(links(upper, percent, "a_least", "b_least")), "jaccard-undecided")
     sure = F.col("exact") & links(F.col("most") - F.col("lacking"), percent)
     more, _ = answers(rest.where(~sure).select("a", "b").distinct(), classes, rows, shingle, percent, "jaccard-members")
     return linked.unionByName(rest.where(sure).select("a", "b")).unionByName(more.select("a", "b")).distinct()
@@ -429,29 +429,29 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     compared = sets.where("size > 0 and doc_id is not null")
 
     # One document stands for all with the same set.
-    classes = written(compared.groupBy("signature", "check", "size").agg(F.min("doc_id").alias("id"), F.min("bands").alias("bands"), F.min("bits").alias("bits")), "jaccard-classes")
+    classes = gathered(compared.groupBy("signature", "check", "size").agg(F.min("doc_id").alias("id"), F.min("bands").alias("bands"), F.min("bits").alias("bits")), "jaccard-classes")
     total = classes.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("size")).alias("size")).first()
     if not total["n"]:
         return sets.select("doc_id", F.col("size").alias("n_shingles"), F.col("doc_id").alias("component_id"))
 
     # Sets that agree in a group of least hashes meet one leader, the one that meets the most others in all its groups: the
     # text that copies were made of is near to all of them, the copies are not near to each other.
-    banded = written(classes.select("id", "size", F.explode("bands").alias("band")), "jaccard-bands")
+    banded = gathered(classes.select("id", "size", F.explode("bands").alias("band")), "jaccard-bands")
     groups = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    banded = written(banded.join(written(groups, "jaccard-groups"), "band"), "jaccard-grouped")
-    others = written(banded.groupBy("id", "size").agg(F.sum("n").alias("others")), "jaccard-others")
-    banded = written(banded.join(others, ["id", "size"]).select("band", "id", "size", "others"), "jaccard-ranked")
+    banded = gathered(banded.join(gathered(groups, "jaccard-groups"), "band"), "jaccard-grouped")
+    others = gathered(banded.groupBy("id", "size").agg(F.sum("n").alias("others")), "jaccard-others")
+    banded = gathered(banded.join(others, ["id", "size"]).select("band", "id", "size", "others"), "jaccard-ranked")
     leaders = banded.groupBy("band").agg(F.max_by(F.struct("id", "size"), F.struct("others", -F.col("id"))).alias("leader"))
-    met = banded.join(written(leaders, "jaccard-leaders"), "band")
+    met = banded.join(gathered(leaders, "jaccard-leaders"), "band")
     small, large = F.least("size", "leader.size"), F.greatest("size", "leader.size")
     met = met.where((F.col("id") != F.col("leader.id")) & (100 * small >= percent * large))
-    met = written(met.select(F.least("leader.id", "id").alias("a"), F.greatest("leader.id", "id").alias("b")).distinct(), "jaccard-met")
-    linked = written(answers(met, classes, rows, shingle, percent, "jaccard-met")[0], "jaccard-links")
+    met = gathered(met.select(F.least("leader.id", "id").alias("a"), F.greatest("leader.id", "id").alias("b")).distinct(), "jaccard-met")
+    linked = gathered(answers(met, classes, rows, shingle, percent, "jaccard-met")[0], "jaccard-links")
     # Rows of one id with several sets are one document.
     own = compared.join(classes.select("signature", "check", "size", "id"), ["signature", "check", "size"])
-    own = written(own.select("doc_id", "signature", "check", "size", "id"), "jaccard-members")
+    own = gathered(own.select("doc_id", "signature", "check", "size", "id"), "jaccard-members")
     several = own.groupBy("doc_id").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.min("size").alias("small"), F.max("size").alias("large"))
-    several = written(several.select("doc_id", (F.col("least") < F.col("most")).alias("several"), (F.col("small") == F.col("large")).alias("alike")), "jaccard-several")
+    several = gathered(several.select("doc_id", (F.col("least") < F.col("most")).alias("several"), (F.col("small") == F.col("large")).alias("alike")), "jaccard-several")
     same = own.join(several.where("several").select("doc_id"), "doc_id").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
     first = components(linked.select("a", "b").unionByName(same.where("a <> b")))
 
@@ -468,21 +468,21 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     common = spark.sparkContext.broadcast((hashes[order], ranks[order]))
     parts = max(1, int(total["size"]) * (100 - percent) // 100 // LIST_ROWS + 1)
     labelled = classes.select("id").distinct().join(first.withColumnRenamed("node", "id"), "id", "left")
-    labelled = written(labelled.select("id", F.coalesce("label", "id").alias("label")), "jaccard-labels")
+    labelled = gathered(labelled.select("id", F.coalesce("label", "id").alias("label")), "jaccard-labels")
     firsts = in_tasks(rows, _firsts(shingle, percent, common), "id long, n int, firsts binary").join(by_shuffle(labelled), "id")
     index = in_tasks(firsts, _dealt(parts), "part int, n int, blob binary")
     index = index.repartition(parts, "part").sortWithinPartitions("part")
     pairs = in_tasks(index, _candidates(percent), "a long, b long").distinct()
-    pairs = written(pairs.join(met, ["a", "b"], "left_anti"), "jaccard-pairs")
+    pairs = gathered(pairs.join(met, ["a", "b"], "left_anti"), "jaccard-pairs")
     # Sets of one id, and only such, have overlaps and sizes that can be told from the id.
     single = classes.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n = 1").select("id")
     single = single.join(several.where("not several and alike").select(F.col("doc_id").alias("id")), "id", "left_semi")
-    members = written(members_of(leaders, linked, single), "jaccard-led-by")
-    more = written(by_leaders(pairs, members, classes, rows, shingle, percent), "jaccard-more")
+    members = gathered(members_of(leaders, linked, single), "jaccard-led-by")
+    more = gathered(by_leaders(pairs, members, classes, rows, shingle, percent), "jaccard-more")
 
     # Components of both kinds of links, back to all documents.
     label = components(first.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more))
-    label = written(label, "jaccard-components").withColumnRenamed("node", "id")
+    label = gathered(label, "jaccard-components").withColumnRenamed("node", "id")
     members = own.join(label, "id", "left").select("doc_id", F.col("size").alias("n_shingles"), F.coalesce("label", "id").alias("component_id"))
     rest = sets.where("size = 0 or doc_id is null")
     return members.unionByName(rest.select("doc_id", F.col("size").alias("n_shingles"), F.col("doc_id").alias("component_id")))
@@ -495,9 +495,9 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """
     found = near_duplicates(docs, doc_id, text).where("doc_id = component_id")
     keys = [f"_{i}_" + "_".join(docs.columns) for i in range(2)]
-    kept = written(found.groupBy(F.col("doc_id").alias(keys[0])).agg(F.count(F.lit(1)).alias(keys[1])), "jaccard-kept")
+    kept = gathered(found.groupBy(F.col("doc_id").alias(keys[0])).agg(F.count(F.lit(1)).alias(keys[1])), "jaccard-kept")
     # Written on their own, so that Spark knows how few they are: documents move once, not again for repeated rows.
-    repeated = written(kept.where(F.col(keys[1]) > 1).select(keys[0]), "jaccard-repeated")
+    repeated = gathered(kept.where(F.col(keys[1]) > 1).select(keys[0]), "jaccard-repeated")
     same_id = docs[doc_id].cast("long") == F.col(keys[0])
     single = docs.join(by_shuffle(kept), same_id, "left").where(F.col(doc_id).isNull() | (F.col(keys[1]) == 1))
     more = docs.join(repeated, same_id, "left_semi")

@@ -23,6 +23,16 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return _spill(df, label)
 
 
+def gathered(df: DataFrame, label: str) -> DataFrame:
+    """As ``written``, for tables of ids and numbers: in few files, but two for each core at least.
+
+    A file of a few rows costs more to make than to read; on a local disk Hadoop even starts processes for each.
+    """
+    spark = df.sparkSession
+    files = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)
+    return written(df.coalesce(files), label)
+
+
 def by_shuffle(df: DataFrame) -> DataFrame:
     """``df`` as the other side of a join with all documents: always shuffled, never sent through the driver.
 
